@@ -7,13 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from arborlog.functions.text import number
 
-def dot(features: Sequence[Column], weights: Sequence[float]) -> Column:
-    """Sum of feature · weight; the terms are written out, so the sum is one generated expression."""
-    total = F.lit(0.0)
-    for x, w in zip(features, weights, strict=True):
-        total = total + x * F.lit(float(w))
-    return total
+
+def dot(features: Sequence[str], weights: Sequence[float]) -> Column:
+    """Sum of feature · weight over column names or expression texts, written out as one generated expression."""
+    terms = [f"{x} * {number(w)}" for x, w in zip(features, weights, strict=True)]
+    return F.expr(" + ".join(["0.0D", *terms]))
 
 
 def dot_arrays(a: Column, b: Column) -> Column:

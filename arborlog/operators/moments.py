@@ -7,29 +7,23 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from arborlog.functions.text import literal, number, quoted
+
 
 def moments(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """``feature, n, mean, std`` with the population std, in one pass.
 
     A constant column gets std 1.0 and an empty one (0.0, 1.0), so that a z-score can always divide.
     """
-    aggregates = []
+    aggregates, rows = [], []
     for i, c in enumerate(cols):
-        aggregates += [
-            F.count(c).alias(f"n{i}"),
-            F.avg(c).cast("double").alias(f"mean{i}"),
-            F.stddev_pop(c).alias(f"std{i}"),
-        ]
-    rows = [
-        F.struct(
-            F.lit(c).alias("feature"),
-            F.col(f"n{i}").alias("n"),
-            F.coalesce(F.col(f"mean{i}"), F.lit(0.0)).alias("mean"),
-            F.when(F.col(f"std{i}") > 0, F.col(f"std{i}")).otherwise(1.0).alias("std"),
+        x = quoted(c)
+        aggregates += [f"count({x}) AS n{i}", f"CAST(avg({x}) AS DOUBLE) AS mean{i}", f"stddev_pop({x}) AS std{i}"]
+        rows.append(
+            f"named_struct('feature', {literal(c)}, 'n', n{i}, 'mean', coalesce(mean{i}, 0.0D),"
+            f" 'std', CASE WHEN std{i} > 0 THEN std{i} ELSE 1.0D END)"
         )
-        for i, c in enumerate(cols)
-    ]
-    return df.agg(*aggregates).select(F.inline(F.array(*rows)))
+    return df.selectExpr(*aggregates).selectExpr(f"inline(array({', '.join(rows)}))")
 
 
 def moments_map(table: DataFrame) -> dict[str, tuple[float, float]]:
@@ -40,4 +34,6 @@ def moments_map(table: DataFrame) -> dict[str, tuple[float, float]]:
 def zscore(df: DataFrame, cols: Sequence[str], stats: DataFrame | Mapping[str, tuple[float, float]]) -> DataFrame:
     """Replace each column by (x − mean) / std with statistics that were computed before, on the training part."""
     known = moments_map(stats) if isinstance(stats, DataFrame) else stats
-    return df.withColumns({c: (F.col(c) - F.lit(known[c][0])) / F.lit(known[c][1]) for c in cols})
+    return df.withColumns(
+        {c: F.expr(f"({quoted(c)} - {number(known[c][0])}) / {number(known[c][1])}") for c in cols}
+    )

@@ -8,6 +8,8 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from arborlog.functions.text import literal, quoted
+
 
 class Range(NamedTuple):
     """Allowed values of a column. ``closed`` names the ends that belong to it: both, neither, left or right."""
@@ -32,11 +34,11 @@ def range_filter(df: DataFrame, rules: Iterable[Range | tuple]) -> DataFrame:
 
 def null_profile(df: DataFrame) -> DataFrame:
     """``column, null_count`` for every column, in one pass."""
-    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns])
-    rows = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("null_count")) for c in df.columns])
-    return counts.select(F.inline(rows))
+    counts = [f"count_if({quoted(c)} IS NULL) AS n{i}" for i, c in enumerate(df.columns)]
+    rows = [f"named_struct('column', {literal(c)}, 'null_count', n{i})" for i, c in enumerate(df.columns)]
+    return df.selectExpr(*counts).selectExpr(f"inline(array({', '.join(rows)}))")
 
 
 def drop_nulls(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
     """Drop rows with a null in any column (of ``subset``)."""
-    return df.dropna(how="any", subset=list(subset) if subset else None)
+    return df.dropna(how="any", subset=[quoted(c) for c in subset or df.columns])

@@ -52,12 +52,14 @@ def node_stats(df: DataFrame, label: str, node: str) -> DataFrame:
     )
 
 
-def split_gain(left_n: Column, left_sum: Column, n: Column, total: Column) -> Column:
-    """Variance reduction of a split from count and label sum on the left and in all; null if a side is empty."""
-    left_n, left_sum, n, total = (c.cast("double") for c in (left_n, left_sum, n, total))
-    right_n = n - left_n
-    gap = left_sum / F.nullif(left_n, F.lit(0.0)) - (total - left_sum) / F.nullif(right_n, F.lit(0.0))
-    return left_n * right_n / (n * n) * (gap * gap)
+def split_gain(left_n: str, left_sum: str, n: str = "tn", total: str = "ts") -> Column:
+    """Variance reduction of a split from count and label sum on the left and in all; null if a side is empty.
+
+    The arguments are column names or expression texts.
+    """
+    ln, ls, tn, ts = (f"CAST({c} AS DOUBLE)" for c in (left_n, left_sum, n, total))
+    gap = f"({ls} / nullif({ln}, 0.0D) - ({ts} - {ls}) / nullif({tn} - {ln}, 0.0D))"
+    return F.expr(f"{ln} * ({tn} - {ln}) / ({tn} * {tn}) * ({gap} * {gap})")
 
 
 def with_cells(rows: DataFrame, width: int, bounds: Sequence[Sequence[float]]) -> DataFrame:
@@ -107,15 +109,9 @@ def level_splits(
 
 def _long(rows: DataFrame, width: int, *extra: str) -> DataFrame:
     """One row per (row, feature): ``node, y, feature, value`` and, with ``cell`` as extra, the cell number."""
-    per_feature = [
-        F.struct(
-            F.lit(i).alias("feature"),
-            F.col(f"x{i}").alias("value"),
-            *[F.col(f"b{i}").cast("bigint").alias(e) for e in extra],
-        )
-        for i in range(width)
-    ]
-    return rows.select("node", "y", F.inline(F.array(*per_feature)))
+    cells = [f", '{e}', CAST(b{{i}} AS BIGINT)" for e in extra]
+    shape = "named_struct('feature', {i}, 'value', x{i}" + "".join(cells) + ")"
+    return rows.select("node", "y", F.expr(f"inline(array({', '.join(shape.format(i=i) for i in range(width))}))"))
 
 
 def _midpoint(low: Column, high: Column) -> Column:
@@ -172,23 +168,20 @@ def _border_candidates(cells: DataFrame) -> DataFrame:
 
 
 def _gain_after() -> Column:
-    return split_gain(F.col("cum_n"), F.col("cum_s"), F.col("tn"), F.col("ts"))
+    return split_gain("cum_n", "cum_s")
 
 
 def _inner_bound() -> Column:
     """Upper bound for the gain of any split inside a cell: the best corner of the parallelogram."""
-    n, s, lowest, highest = (F.col(c).cast("double") for c in ("n", "s", "y_min", "y_max"))
-    before_n, before_s = F.col("cum_n") - F.col("n"), F.col("cum_s") - F.col("s")
     # Rows with the greatest label if the cell held only its two extreme labels; they come first or last.
-    top = (s - n * lowest) / F.nullif(highest - lowest, F.lit(0.0))
+    top = "((s - CAST(n AS DOUBLE) * y_min) / nullif(CAST(y_max AS DOUBLE) - y_min, 0.0D))"
     corners = [
-        (before_n + top, before_s + top * highest),
-        (before_n + (n - top), before_s + (n - top) * lowest),
-        (before_n, before_s),
-        (F.col("cum_n"), F.col("cum_s")),
+        (f"(cum_n - n + {top})", f"(cum_s - s + {top} * y_max)"),
+        (f"(cum_n - {top})", f"(cum_s - s + (n - {top}) * y_min)"),
+        ("(cum_n - n)", "(cum_s - s)"),
+        ("cum_n", "cum_s"),
     ]
-    gains = [F.coalesce(split_gain(cn, cs, F.col("tn"), F.col("ts")), F.lit(0.0)) for cn, cs in corners]
-    return F.greatest(*gains)
+    return F.greatest(*[F.coalesce(split_gain(cn, cs), F.lit(0.0)) for cn, cs in corners])
 
 
 def _refined_candidates(

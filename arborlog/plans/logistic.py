@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arborlog.functions.linear import dot, dot_arrays, hard_label, sigmoid
+from arborlog.functions.text import literal, number, quoted
 from arborlog.plans.tree import feature_exprs
 from arborlog.session import local_table
 
@@ -32,35 +33,35 @@ class LinearModel:
         return local_table(spark, _TERMS, [*zip(self.features, self.coefficients), (INTERCEPT, self.intercept)])
 
 
-def _row_error(columns: Sequence[Column], label: Column, weights: Sequence[float]) -> Column:
-    """Predicted probability minus label; the last weight is the bias."""
-    if len(columns) <= WIDE:
-        z = dot(columns, weights[:-1])
+def _chance(features: Sequence[str], weights: Sequence[float]) -> Column:
+    """Predicted probability from expression texts; the last weight is the bias."""
+    if len(features) <= WIDE:
+        z = dot(features, weights[:-1])
     else:
-        z = dot_arrays(F.array(*columns), F.lit([float(w) for w in weights[:-1]]))
-    return sigmoid(z + F.lit(float(weights[-1]))) - label
+        packed = F.expr(f"array({', '.join(features)})")
+        z = dot_arrays(packed, F.expr(f"array({', '.join(number(w) for w in weights[:-1])})"))
+    return sigmoid(z + F.lit(float(weights[-1])))
 
 
 def gradient(df: DataFrame, features: Sequence[str] | str, label: str, weights: Sequence[float]) -> DataFrame:
     """``term, g``: summed gradient (sigmoid(w · x) − y) · x of the log loss, bias last.
 
-    Sums combine on the map side; one row per task is shuffled (one row per term for wide features).
+    Sums combine on the map side; one row per task is shuffled (one row per term and task for wide features).
     """
-    names, columns = feature_exprs(df, features)
-    y = F.col(label).cast("double")
-    rows = df.select(_row_error(columns, y, weights).alias("err"), F.array(*columns, F.lit(1.0)).alias("x"))
+    df, names, exprs = feature_exprs(df, features)
     terms = [*names, INTERCEPT]
-    if len(columns) > WIDE:
-        named = F.element_at(F.lit(terms), F.col("pos") + 1)
+    rows = df.withColumn("_err", _chance(exprs, weights) - F.col(label).cast("double"))
+    if len(exprs) > WIDE:
+        named = F.element_at(F.expr(f"array({', '.join(map(literal, terms))})"), F.col("pos") + 1)
         return (
-            rows.select("err", F.posexplode("x").alias("pos", "value"))
+            rows.select("_err", F.expr(f"posexplode(array({', '.join(exprs)}, 1.0D)) AS (pos, value)"))
             .groupBy("pos")
-            .agg(F.sum(F.col("err") * F.col("value")).alias("g"))
+            .agg(F.sum(F.col("_err") * F.col("value")).alias("g"))
             .select(named.alias("term"), "g")
         )
-    sums = rows.agg(*[F.sum(F.col("err") * F.get("x", F.lit(i))).alias(f"g{i}") for i in range(len(terms))])
-    pairs = [F.struct(F.lit(t).alias("term"), F.col(f"g{i}").alias("g")) for i, t in enumerate(terms)]
-    return sums.select(F.inline(F.array(*pairs)))
+    sums = rows.selectExpr(*[f"sum(_err * {x}) AS g{i}" for i, x in enumerate([*exprs, "1.0D"])])
+    pairs = [f"named_struct('term', {literal(t)}, 'g', g{i})" for i, t in enumerate(terms)]
+    return sums.selectExpr(f"inline(array({', '.join(pairs)}))")
 
 
 def fit_logistic_gd(
@@ -79,9 +80,9 @@ def fit_logistic_gd(
     """
     if reduce not in ("sum", "mean"):
         raise ValueError(f"reduce must be sum or mean, not {reduce!r}")
-    names, columns = feature_exprs(df, features)
+    df, names, exprs = feature_exprs(df, features)
     cols = [f"x{i}" for i in range(len(names))]
-    rows = df.select(*[x.alias(c) for c, x in zip(cols, columns)], F.col(label).cast("double").alias("y"))
+    rows = df.selectExpr(*[f"{x} AS {c}" for c, x in zip(cols, exprs)], f"CAST({quoted(label)} AS DOUBLE) AS y")
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         weights = [0.0] * (len(cols) + 1)
@@ -102,6 +103,9 @@ def score_logistic(
     """Add ``probability`` and the hard ``prediction``, 1.0 from the threshold on."""
     if features is None:
         features = list(model.features)
-    _, columns = feature_exprs(df, features)
-    p = sigmoid(dot(columns, model.coefficients) + F.lit(float(model.intercept)))
-    return df.withColumn("probability", p).withColumn("prediction", hard_label(F.col("probability"), threshold))
+    columns = df.columns
+    df, _, exprs = feature_exprs(df, features)
+    scored = df.withColumn("probability", _chance(exprs, [*model.coefficients, model.intercept]))
+    scored = scored.withColumn("prediction", hard_label(F.col("probability"), threshold))
+    kept = [F.col(quoted(c)) for c in columns if c not in ("probability", "prediction")]
+    return scored.select(*kept, "probability", "prediction")

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from arborlog.functions.buckets import bucket_count, quantile_bounds
+from arborlog.functions.text import quoted
 from arborlog.operators.splits import CELL_ROWS, level_splits, node_stats, with_cells
 from arborlog.session import broadcast_if_small, local_table, reliable_checkpoint
 
@@ -37,8 +38,8 @@ _TABLE = pa.schema(
         ("prediction", pa.float64()),
     ]
 )
-_STEP = pa.schema([("node", pa.int64()), ("feature", pa.int32()), ("threshold", pa.float64())])
-_LEAF = pa.schema([("node", pa.int64()), ("leaf_value", pa.float64())])
+_STEP = pa.schema([("_node", pa.int64()), ("_feature", pa.int32()), ("_threshold", pa.float64())])
+_LEAF = pa.schema([("_node", pa.int64()), ("_leaf", pa.float64())])
 _RULE = pa.schema([("position", pa.int32()), ("node_id", pa.int64()), ("depth", pa.int32()), ("rule", pa.string())])
 _IMPORTANCE = pa.schema([("feature", pa.string()), ("importance", pa.float64())])
 
@@ -105,17 +106,23 @@ class TreeModel:
         )
 
 
-def feature_exprs(df: DataFrame, features: Sequence[str] | str) -> tuple[list[str], list[Column]]:
-    """Names and double expressions of the features: column names, or the name of one array or vector column."""
+def feature_exprs(df: DataFrame, features: Sequence[str] | str) -> tuple[DataFrame, list[str], list[str]]:
+    """Names and double expression texts of the features, which are column names or one array or vector column.
+
+    A vector is unpacked into a helper column of the returned table.
+    """
     if not isinstance(features, str):
-        return list(features), [F.col(c).cast("double") for c in features]
-    is_vector = isinstance(df.schema[features].dataType, VectorUDT)
-    values = vector_to_array(features) if is_vector else F.col(features)
-    first = df.select(F.size(values).alias("width")).first()
+        return df, list(features), [f"CAST({quoted(c)} AS DOUBLE)" for c in features]
+    packed = features
+    if isinstance(df.schema[features].dataType, VectorUDT):
+        packed = "_unpacked"
+        df = df.withColumn(packed, vector_to_array(features))
+    first = df.select(F.size(packed).alias("width")).first()
     width = first["width"] if first else 0
     return (
+        df,
         [f"{features}[{i}]" for i in range(width)],
-        [F.get(values, F.lit(i)).cast("double") for i in range(width)],
+        [f"CAST(get({quoted(packed)}, {i}) AS DOUBLE)" for i in range(width)],
     )
 
 
@@ -134,12 +141,10 @@ def fit_tree(
     0. Equal gains go to the first feature, then to the lowest threshold. Features and label must be free of null and NaN.
     """
     spark = df.sparkSession
-    names, exprs = feature_exprs(df, features)
+    df, names, exprs = feature_exprs(df, features)
     whole_number = isinstance(df.schema[label].dataType, T.IntegralType)
-    y = F.col(label).cast("bigint" if whole_number else "double")
-    rows = df.select(y.alias("y"), *[x.alias(f"x{i}") for i, x in enumerate(exprs)])
-    rows = _checked(rows, len(names), whole_number)
-    n, rows = rows
+    y = f"CAST({quoted(label)} AS {'BIGINT' if whole_number else 'DOUBLE'}) AS y"
+    n, rows = _checked(df.selectExpr(y, *[f"{x} AS x{i}" for i, x in enumerate(exprs)]), len(names), whole_number)
     if n == 0:
         return TreeModel(tuple(names), ())
 
@@ -172,13 +177,9 @@ def fit_tree(
 
 def _checked(rows: DataFrame, width: int, whole_number: bool) -> tuple[int, DataFrame]:
     """Count the rows and refuse null or NaN; whole-number labels stay whole while their sum is sure to fit."""
-    bad = F.col("y").isNull() | F.isnan(F.col("y").cast("double"))
-    for i in range(width):
-        bad = bad | F.col(f"x{i}").isNull() | F.isnan(f"x{i}")
-    row = rows.agg(
-        F.count("*").alias("n"),
-        F.count_if(bad).alias("bad"),
-        F.max(F.abs(F.col("y").cast("double"))).alias("largest"),
+    unfit = " OR ".join(f"{c} IS NULL OR isnan(CAST({c} AS DOUBLE))" for c in ["y", *[f"x{i}" for i in range(width)]])
+    row = rows.selectExpr(
+        "count(*) AS n", f"count_if({unfit}) AS bad", "max(abs(CAST(y AS DOUBLE))) AS largest"
     ).first()
     if row["bad"]:
         raise ValueError(f"{row['bad']} rows have a null or NaN in a feature or the label; drop or fill them first")
@@ -203,26 +204,19 @@ def _level_table(
     return node_stats(level, "y", "node").withColumns(nothing)
 
 
-def _pick(columns: Sequence[Column], position: Column) -> Column:
-    """The column at a position that differs by row."""
-    chosen = F.when(position == 0, columns[0])
-    for i, c in enumerate(columns[1:], start=1):
-        chosen = chosen.when(position == i, c)
-    return chosen
-
-
-def _child(value: Column) -> Column:
-    """Left child where the value is at most the threshold; a missing value goes right."""
-    return F.col("node") * 2 + F.when(value <= F.col("threshold"), 0).otherwise(1)
+def _goes_left(values: Sequence[str]) -> str:
+    """The test of a node on the value of its own feature; a missing value fails it."""
+    cases = " ".join(f"WHEN {i} THEN {x}" for i, x in enumerate(values))
+    return f"(CASE _feature {cases} END) <= _threshold"
 
 
 def _descend(level: DataFrame, splits: DataFrame, count: int, width: int) -> DataFrame:
     """Move rows of split nodes to their children and drop the rows of finished leaves."""
-    value = _pick([F.col(f"x{i}") for i in range(width)], F.col("feature"))
+    left = _goes_left([f"x{i}" for i in range(width)])
     return (
-        level.join(broadcast_if_small(splits, count), "node")
-        .withColumn("node", _child(value))
-        .drop("feature", "threshold")
+        level.join(broadcast_if_small(splits.withColumnRenamed("_node", "node"), count), "node")
+        .withColumn("node", F.expr(f"CASE WHEN {left} THEN 2 * node ELSE 2 * node + 1 END"))
+        .drop("_feature", "_threshold")
     )
 
 
@@ -244,18 +238,20 @@ def score_tree(
         return df.withColumn(output, F.lit(None).cast("double"))
     if features is None:
         features = list(model.features)
-    _, exprs = feature_exprs(df, features)
-    scored = df.withColumn("node", F.lit(1).cast("bigint"))
+    columns = df.columns
+    df, _, exprs = feature_exprs(df, features)
+    move = F.expr(
+        f"CASE WHEN _feature IS NULL THEN _node WHEN {_goes_left(exprs)} THEN 2 * _node ELSE 2 * _node + 1 END"
+    )
+    scored = df.withColumn("_node", F.lit(1).cast("bigint"))
     for depth in range(max(n.depth for n in model.nodes)):
         splits = [(n.node_id, n.feature, n.threshold) for n in model.nodes if n.depth == depth and n.feature is not None]
         step = broadcast_if_small(local_table(spark, _STEP, splits), len(splits))
-        scored = scored.join(step, "node", "left")
-        moved = F.when(F.col("feature").isNull(), F.col("node")).otherwise(_child(_pick(exprs, F.col("feature"))))
-        scored = scored.withColumn("node", moved).drop("feature", "threshold")
+        scored = scored.join(step, "_node", "left").withColumn("_node", move).drop("_feature", "_threshold")
     leaves = [(n.node_id, n.prediction) for n in model.nodes if n.feature is None]
-    value = F.col("leaf_value")
+    value = F.col("_leaf")
     return (
-        scored.join(broadcast_if_small(local_table(spark, _LEAF, leaves), len(leaves)), "node", "left")
+        scored.join(broadcast_if_small(local_table(spark, _LEAF, leaves), len(leaves)), "_node", "left")
         .withColumn(output, inverse(value) if inverse else value)
-        .drop("node", "leaf_value")
+        .select(*[F.col(quoted(c)) for c in columns if c != output], output)
     )

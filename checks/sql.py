@@ -59,8 +59,7 @@ def km(lon1: str, lat1: str, lon2: str, lat2: str) -> str:
         f"(pow(sin((radians({lat2}) - radians({lat1})) / 2), 2) + cos(radians({lat1})) * cos(radians({lat2}))"
         f" * pow(sin((radians({lon2}) - radians({lon1})) / 2), 2))"
     )
-    chord = f"CASE WHEN {chord} > 1 THEN 1.0::DOUBLE ELSE {chord} END"
-    return f"coalesce(6371 * 2 * atan2(sqrt({chord}), sqrt(1 - {chord})), 0.0)"
+    return f"coalesce(6371 * 2 * atan2(sqrt({chord}), sqrt(greatest(1 - {chord}, 0.0::DOUBLE))), 0.0)"
 
 
 FEATURED = f"""featured AS (SELECT id, vendor_id, year(picked)::INTEGER AS pickup_year, month(picked)::INTEGER AS pickup_month,
