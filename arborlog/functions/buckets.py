@@ -62,6 +62,7 @@ def with_buckets(df: DataFrame, columns: dict[str, str], bounds: Sequence[Sequen
             handleInvalid="keep",
         ).transform(df)
         df = df.drop(*[f"_v{i}" for i in cut])
+    # Never null, so that a join on the bucket adds no null test to the scan.
     return df.withColumns(
-        {o: F.col(o).cast("int") if i in cut else F.lit(0) for i, o in enumerate(outputs)}
+        {o: F.coalesce(F.col(o).cast("int"), F.lit(0)) if i in cut else F.lit(0) for i, o in enumerate(outputs)}
     )

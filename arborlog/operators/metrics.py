@@ -63,15 +63,24 @@ def class_metrics(
     return confusion(df, label, prediction, by).groupBy(*by).agg(*totals).select(*by, F.inline(F.array(*rows)))
 
 
-def auc_rank(df: DataFrame, label: str, score: str, by: Sequence[str] = (), buckets: int | None = None) -> DataFrame:
+def auc_rank(
+    df: DataFrame,
+    label: str,
+    score: str,
+    by: Sequence[str] = (),
+    buckets: int | None = None,
+    weight: str | None = None,
+) -> DataFrame:
     """``auc``: chance that a random positive has a higher score than a random negative, ties counting half.
 
     Equals the rank-sum form with average ranks. The negatives below each score are counted directly, which takes no
     difference of large numbers. 0.0 when a class is missing. Give hard 0/1 predictions as the score for the AUC of a
-    classifier at its threshold, or a probability for the AUC of the model.
+    classifier at its threshold, or a probability for the AUC of the model. ``weight`` names a column of row counts, for a
+    table that is already added up.
     """
-    positive = F.when(F.col(label) == 1, 1).otherwise(0)
-    negative = F.when(F.col(label) == 0, 1).otherwise(0)
+    rows = F.col(weight) if weight else F.lit(1)
+    positive = F.when(F.col(label) == 1, rows).otherwise(0)
+    negative = F.when(F.col(label) == 0, rows).otherwise(0)
     ranked = prefix_sums(df, score, {"pos": positive, "neg": negative}, by, buckets)
     below = F.col("cum_neg") - F.col("neg") / 2.0
     won = F.sum(F.col("pos") * below)
@@ -127,15 +136,12 @@ def joined_regression_metrics(
     )
     y = F.col(label).cast("double")
     spread = labels.agg((F.var_pop(y) * F.count(y)).alias("ss_tot"))
-    # Both sides are one row; the constant key only keeps this an equi-join.
-    return (
-        joined.withColumn("_one", F.lit(1))
-        .join(spread.withColumn("_one", F.lit(1)), "_one")
-        .select(
-            "n",
-            F.sqrt(F.col("ss_res") / F.nullif(F.col("n"), F.lit(0))).alias("rmse"),
-            F.coalesce(1 - F.col("ss_res") / F.nullif(F.col("ss_tot"), F.lit(0.0)), F.lit(0.0)).alias("r2"),
-        )
+    # Two one-row tables, stacked and folded into one row.
+    both = joined.unionByName(spread, allowMissingColumns=True).agg(*[F.max(c).alias(c) for c in ("n", "ss_res", "ss_tot")])
+    return both.select(
+        "n",
+        F.sqrt(F.col("ss_res") / F.nullif(F.col("n"), F.lit(0))).alias("rmse"),
+        F.coalesce(1 - F.col("ss_res") / F.nullif(F.col("ss_tot"), F.lit(0.0)), F.lit(0.0)).alias("r2"),
     )
 
 
@@ -162,8 +168,9 @@ def metric_report(
         ],
     )
     report = class_metrics(stacked, "_y", "_p", labels, by=["split"])
-    # Hard predictions have a handful of distinct values, so one bucket is enough for any number of rows.
-    curves = {"auc_hard": auc_rank(stacked, "_y", "_p", by=["split"], buckets=1)}
+    # The counts per label and prediction say all about the hard predictions; a handful of rows needs one bucket.
+    counts = confusion(stacked, "_y", "_p", by=["split"])
+    curves = {"auc_hard": auc_rank(counts, "label", "prediction", by=["split"], buckets=1, weight="n")}
     if score:
         curves["auc"] = auc_rank(stacked, "_y", "_s", by=["split"])
     for name, curve in curves.items():

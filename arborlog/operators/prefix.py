@@ -1,8 +1,9 @@
 """Running sums in value order that no single task has to sort.
 
-1. Aggregate to one row per (group, value); a hot value becomes one row on the map side.
-2. Give every row a range bucket by explicit quantile bounds.
-3. Add up the buckets: a table of at most groups × buckets rows with the running totals before each bucket.
+1. Give every row a range bucket by explicit quantile bounds.
+2. Add up the buckets straight from the rows: the map side leaves one row per bucket and task, the result is a table of at
+   most groups × buckets rows with the running totals before each bucket.
+3. Aggregate to one row per (group, bucket, value); a hot value becomes one row on the map side.
 4. Run a window inside (group, bucket) and add the total before the bucket.
 """
 
@@ -35,21 +36,25 @@ def prefix_sums(
         buckets = bucket_count(rows.count())
     (bounds,) = quantile_bounds(rows, [order], buckets)
 
-    values = rows.groupBy(*group, order).agg(*[F.sum(s).alias(s) for s in names])
+    def added_up(table: DataFrame, *keys: str) -> DataFrame:
+        return table.groupBy(*group, *keys).agg(F.min(order).alias("_first"), *[F.sum(s).alias(s) for s in names])
+
     if not bounds:
         in_order = Window.partitionBy(*group).orderBy(order)
         running = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return values.withColumns(
-            {f"cum_{s}": F.sum(s).over(running) for s in names} | {"next_value": F.lead(order).over(in_order)}
+        return added_up(rows, order).select(
+            *group,
+            order,
+            *names,
+            *[F.sum(s).over(running).alias(f"cum_{s}") for s in names],
+            F.lead(order).over(in_order).alias("next_value"),
         )
 
-    values = with_buckets(values, {order: "_bucket"}, [bounds])
+    rows = with_buckets(rows, {order: "_bucket"}, [bounds])
     by_bucket = Window.partitionBy(*group).orderBy("_bucket")
     earlier = by_bucket.rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        values.groupBy(*group, "_bucket")
-        .agg(F.min(order).alias("_first"), *[F.sum(s).alias(s) for s in names])
-        .select(
+        added_up(rows, "_bucket").select(
             *[F.col(g).alias(f"_{g}") for g in group],
             F.col("_bucket").alias("_at"),
             F.lead("_first").over(by_bucket).alias("_next_first"),
@@ -61,7 +66,7 @@ def prefix_sums(
         same = same & F.col(g).eqNullSafe(F.col(f"_{g}"))
     in_order = Window.partitionBy(*group, "_bucket").orderBy(order)
     running = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return values.join(offsets, same).select(
+    return added_up(rows, "_bucket", order).join(offsets, same).select(
         *group,
         order,
         *names,

@@ -23,10 +23,12 @@ from arborlog.functions.buckets import bucket_count, quantile_bounds, with_bucke
 from arborlog.operators.prefix import prefix_sums
 from arborlog.session import MAX_BROADCAST_ROWS, broadcast_if_small, reliable_checkpoint
 
-# Cells with more rows than this are cut into SUB_CELLS equal ranges before their values are looked at.
+# Cells with more rows than this are cut into equal ranges before their values are looked at; so many per cell that a round
+# makes at most ROUND_CELLS of them.
 CELL_ROWS = 5_000_000
-SUB_CELLS = 1024
-MAX_ROUNDS = 3
+MAX_SUB_CELLS = 1024
+ROUND_CELLS = 4_000_000
+MAX_ROUNDS = 4
 # Slack of the pruning test for rounding in the bound.
 _SLACK = 1 - 1e-9
 
@@ -90,14 +92,23 @@ def best_splits(
 
 
 def level_splits(
-    rows: DataFrame, width: int, in_cells: bool, keep: Callable[[DataFrame], DataFrame], cell_rows: int = CELL_ROWS
+    rows: DataFrame,
+    width: int,
+    in_cells: bool,
+    keep: Callable[[DataFrame], DataFrame],
+    cell_rows: int = CELL_ROWS,
+    halvings: int = 0,
 ) -> DataFrame:
     """``node, n, total, feature, threshold, gain`` of a prepared table ``node, y, x0 … [b0 …]``.
 
     One row per node: its row count and label sum, and its best split or nulls. ``keep`` stores a small table of cells that is
-    read several times (persist or checkpoint).
+    read several times (persist or checkpoint). ``halvings`` merges that many times two neighbouring cells: a level with many
+    nodes has few rows per node, and the number of cells stays the same from level to level.
     """
-    candidates = _refined_candidates(rows, width, keep, cell_rows) if in_cells else _value_candidates(rows, width)
+    if in_cells:
+        candidates = _refined_candidates(rows, width, keep, cell_rows, halvings)
+    else:
+        candidates = _value_candidates(rows, width)
     choice = F.struct("feature", "threshold", "gain")
     rank = F.when(F.col("gain") > 0, F.struct("gain", -F.col("feature"), -F.col("threshold")))
     return (
@@ -107,11 +118,12 @@ def level_splits(
     )
 
 
-def _long(rows: DataFrame, width: int, *extra: str) -> DataFrame:
-    """One row per (row, feature): ``node, y, feature, value`` and, with ``cell`` as extra, the cell number."""
-    cells = [f", '{e}', CAST(b{{i}} AS BIGINT)" for e in extra]
-    shape = "named_struct('feature', {i}, 'value', x{i}" + "".join(cells) + ")"
-    return rows.select("node", "y", F.expr(f"inline(array({', '.join(shape.format(i=i) for i in range(width))}))"))
+def _long(rows: DataFrame, width: int, halvings: int | None = None) -> DataFrame:
+    """One row per (row, feature): ``node, y, feature, value`` and, unless ``halvings`` is None, the cell number."""
+    cell = ", 'cell', CAST(shiftright(b{i}, {k}) AS BIGINT)" if halvings is not None else ""
+    shape = "named_struct('feature', {i}, 'value', x{i}" + cell + ")"
+    parts = [shape.format(i=i, k=halvings) for i in range(width)]
+    return rows.select("node", "y", F.expr(f"inline(array({', '.join(parts)}))"))
 
 
 def _midpoint(low: Column, high: Column) -> Column:
@@ -185,9 +197,9 @@ def _inner_bound() -> Column:
 
 
 def _refined_candidates(
-    rows: DataFrame, width: int, keep: Callable[[DataFrame], DataFrame], cell_rows: int
+    rows: DataFrame, width: int, keep: Callable[[DataFrame], DataFrame], cell_rows: int, halvings: int
 ) -> DataFrame:
-    long = _long(rows, width, "cell")
+    long = _long(rows, width, halvings)
     whole = Window.partitionBy("node", "feature")
     cells = _running(_cell_sums(long), ["node", "feature"]).withColumns(
         {"tn": F.sum("n").over(whole), "ts": F.sum("s").over(whole)}
@@ -214,11 +226,12 @@ def _refined_candidates(
             break
         # Equal ranges between the least and the greatest value of the cell. A cell that spans the whole double range
         # makes the quotient NaN, which lands in the last range; any monotone numbering is right.
-        position = (F.col("value") - F.col("low")) / (F.col("high") - F.col("low")) * SUB_CELLS
-        sub = F.when(position < SUB_CELLS, F.floor(position)).otherwise(SUB_CELLS - 1).cast("bigint")
+        parts = max(16, min(MAX_SUB_CELLS, ROUND_CELLS // max(1, size["cells"])))
+        position = (F.col("value") - F.col("low")) / (F.col("high") - F.col("low")) * parts
+        sub = F.when(position < parts, F.floor(position)).otherwise(parts - 1).cast("bigint")
         long = long.select(
             "node", "y", "feature", "value",
-            F.col("cell").alias("parent"), (F.col("cell") * SUB_CELLS + sub).alias("cell"),
+            F.col("cell").alias("parent"), (F.col("cell") * parts + sub).alias("cell"),
         )
         parents = still_open.select(
             "node", "feature", F.col("cell").alias("parent"), "tn", "ts",

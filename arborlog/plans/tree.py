@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from arborlog.functions.buckets import bucket_count, quantile_bounds
-from arborlog.functions.text import quoted
+from arborlog.functions.text import number, quoted
 from arborlog.operators.splits import CELL_ROWS, level_splits, node_stats, with_cells
 from arborlog.session import broadcast_if_small, local_table, reliable_checkpoint
 
@@ -152,14 +152,22 @@ def fit_tree(
     in_cells = buckets > 1
     if in_cells:
         rows = with_cells(rows, len(names), quantile_bounds(rows, [f"x{i}" for i in range(len(names))], buckets))
-    base = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    # The node number is stored too: as a constant of the plan it would turn the first join into a nested loop.
+    base = rows.withColumn("node", F.lit(1).cast("bigint")).persist(StorageLevel.MEMORY_AND_DISK)
     nodes: list[TreeNode] = []
     try:
-        level = base.withColumn("node", F.lit(1).cast("bigint"))
+        level, splits = base, [(1, None, None)]
         for depth in range(max_depth + 1):
             held: list[DataFrame] = []
             try:
-                found = _level_table(level, len(names), in_cells, depth < max_depth, cell_rows, held).collect()
+                if depth < max_depth:
+                    halvings = _halvings(2 * len(splits), buckets)
+                    table = level_splits(level, len(names), in_cells, _keeper(held), cell_rows, halvings)
+                    table = table.withColumn("mean", F.col("total").cast("double") / F.col("n"))
+                else:
+                    none = F.lit(None)
+                    table = node_stats(level, "y", "node").withColumns({"feature": none, "threshold": none, "gain": none})
+                found = table.collect()
             finally:
                 for cells in held:
                     cells.unpersist()
@@ -170,11 +178,25 @@ def fit_tree(
             level = _descend(level, local_table(spark, _STEP, splits), len(splits), len(names))
             if (depth + 1) % checkpoint_every == 0 and depth + 1 < max_depth:
                 level = reliable_checkpoint(level)
+                base.unpersist()
     finally:
         base.unpersist()
     return TreeModel(tuple(names), tuple(sorted(nodes)))
 
 
+def _keeper(held: list[DataFrame]) -> Callable[[DataFrame], DataFrame]:
+    def keep(cells: DataFrame) -> DataFrame:
+        held.append(cells.persist(StorageLevel.MEMORY_AND_DISK))
+        return cells
+
+    return keep
+
+
+def _halvings(nodes: int, buckets: int) -> int:
+    """How often to merge neighbouring cells so that all nodes together have about as many as the root; 16 stay at least."""
+    return max(0, min((nodes // 2).bit_length() - 1, buckets.bit_length() - 5))
+
+
 def _checked(rows: DataFrame, width: int, whole_number: bool) -> tuple[int, DataFrame]:
     """Count the rows and refuse null or NaN; whole-number labels stay whole while their sum is sure to fit."""
     unfit = " OR ".join(f"{c} IS NULL OR isnan(CAST({c} AS DOUBLE))" for c in ["y", *[f"x{i}" for i in range(width)]])
@@ -188,22 +210,6 @@ def _checked(rows: DataFrame, width: int, whole_number: bool) -> tuple[int, Data
     return row["n"], rows
 
 
-def _level_table(
-    level: DataFrame, width: int, in_cells: bool, may_split: bool, cell_rows: int, held: list[DataFrame]
-) -> DataFrame:
-    """``node, n, mean, feature, threshold, gain`` for every node of a level, at most 2^level rows."""
-
-    def keep(cells: DataFrame) -> DataFrame:
-        held.append(cells.persist(StorageLevel.MEMORY_AND_DISK))
-        return cells
-
-    if may_split:
-        table = level_splits(level, width, in_cells, keep, cell_rows)
-        return table.withColumn("mean", F.col("total").cast("double") / F.col("n"))
-    nothing = {"feature": F.lit(None), "threshold": F.lit(None), "gain": F.lit(None)}
-    return node_stats(level, "y", "node").withColumns(nothing)
-
-
 def _goes_left(values: Sequence[str]) -> str:
     """The test of a node on the value of its own feature; a missing value fails it."""
     cases = " ".join(f"WHEN {i} THEN {x}" for i, x in enumerate(values))
@@ -238,13 +244,19 @@ def score_tree(
         return df.withColumn(output, F.lit(None).cast("double"))
     if features is None:
         features = list(model.features)
-    columns = df.columns
+    kept = [F.col(quoted(c)) for c in df.columns if c != output]
     df, _, exprs = feature_exprs(df, features)
     move = F.expr(
         f"CASE WHEN _feature IS NULL THEN _node WHEN {_goes_left(exprs)} THEN 2 * _node ELSE 2 * _node + 1 END"
     )
-    scored = df.withColumn("_node", F.lit(1).cast("bigint"))
-    for depth in range(max(n.depth for n in model.nodes)):
+    root = model.nodes[0]
+    if root.feature is None:
+        value = F.lit(root.prediction)
+        return df.withColumn(output, inverse(value) if inverse else value).select(*kept, output)
+    # The root is one test for all rows and needs no join.
+    first = F.expr(f"CASE WHEN {exprs[root.feature]} <= {number(root.threshold)} THEN 2 ELSE 3 END")
+    scored = df.withColumn("_node", first.cast("bigint"))
+    for depth in range(1, max(n.depth for n in model.nodes)):
         splits = [(n.node_id, n.feature, n.threshold) for n in model.nodes if n.depth == depth and n.feature is not None]
         step = broadcast_if_small(local_table(spark, _STEP, splits), len(splits))
         scored = scored.join(step, "_node", "left").withColumn("_node", move).drop("_feature", "_threshold")
@@ -253,5 +265,5 @@ def score_tree(
     return (
         scored.join(broadcast_if_small(local_table(spark, _LEAF, leaves), len(leaves)), "_node", "left")
         .withColumn(output, inverse(value) if inverse else value)
-        .select(*[F.col(quoted(c)) for c in columns if c != output], output)
+        .select(*kept, output)
     )
