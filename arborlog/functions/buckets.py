@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 MAX_BUCKETS = 4096
 ROWS_PER_BUCKET = 250_000
 SMALL_TABLE_ROWS = 2_000_000
+BOUND_ROWS_PER_BUCKET = 500
 
 
 def bucket_count(rows: int) -> int:
@@ -27,14 +28,18 @@ def _constant_array(numbers: Sequence[float]) -> Column:
     return F.split(F.lit(",".join(repr(n) for n in numbers)), ",").cast("array<double>")
 
 
-def quantile_bounds(df: DataFrame, cols: Sequence[str], buckets: int) -> list[list[float]]:
+def quantile_bounds(df: DataFrame, cols: Sequence[str], buckets: int, rows: int | None = None) -> list[list[float]]:
     """For each column, at most ``buckets`` − 1 ascending distinct bounds at approximate quantiles.
 
     One pass for all columns: the sketches merge on the map side and one row of bounds reaches the driver. A value that
-    fills several quantiles gives one bound.
+    fills several quantiles gives one bound. The bounds only decide how even the buckets are, never a result; with the row
+    count of a large table given, they come from some 500 rows per bucket (as a range partitioner takes them), so that the
+    sketches of many thousand tasks stay tiny where they meet.
     """
     if buckets < 2:
         return [[] for _ in cols]
+    if rows and rows > 2 * BOUND_ROWS_PER_BUCKET * buckets:
+        df = df.sample(BOUND_ROWS_PER_BUCKET * buckets / rows, seed=24)
     steps = _constant_array([i / buckets for i in range(1, buckets)])
     sketches = []
     for i, c in enumerate(cols):

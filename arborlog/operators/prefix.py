@@ -32,9 +32,11 @@ def prefix_sums(
     """
     group, names = list(group), list(sums)
     rows = df.select(*group, order, *[c.alias(s) for s, c in sums.items()])
+    count = None
     if buckets is None:
-        buckets = bucket_count(rows.count())
-    (bounds,) = quantile_bounds(rows, [order], buckets)
+        count = rows.count()
+        buckets = bucket_count(count)
+    (bounds,) = quantile_bounds(rows, [order], buckets, count)
 
     def added_up(table: DataFrame, *keys: str) -> DataFrame:
         return table.groupBy(*group, *keys).agg(F.min(order).alias("_first"), *[F.sum(s).alias(s) for s in names])

@@ -83,10 +83,12 @@ def best_splits(
         F.col(label).alias("y"),
         *[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(features)],
     )
+    count = None
     if buckets is None:
-        buckets = bucket_count(rows.count())
+        count = rows.count()
+        buckets = bucket_count(count)
     if buckets > 1:
-        rows = with_cells(rows, width, quantile_bounds(rows, [f"x{i}" for i in range(width)], buckets))
+        rows = with_cells(rows, width, quantile_bounds(rows, [f"x{i}" for i in range(width)], buckets, count))
     found = level_splits(rows, width, buckets > 1, keep=reliable_checkpoint)
     return found.filter(F.col("feature").isNotNull()).select("node", "feature", "threshold", "gain")
 

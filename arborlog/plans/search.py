@@ -12,6 +12,7 @@ from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from arborlog.functions.buckets import SMALL_TABLE_ROWS
 from arborlog.session import local_table
 
 _RESULT = pa.schema([("params", pa.string()), ("value", pa.float64()), ("is_best", pa.bool_())])
@@ -29,17 +30,20 @@ def grid_search(
     grid: Sequence[Mapping[str, Any]],
     fit: Callable[..., Any],
     label: str,
-    parallelism: int = 3,
+    parallelism: int | None = None,
 ) -> SearchResult:
     """Fit one model per entry of ``grid`` and take the one with the lowest RMSE on ``validation``; the first wins ties.
 
-    ``fit(train, **params)`` gives a model of Spark ML. Both parts are persisted once; the fits share the executors, and one
-    pass over the validation part scores all models. The table is ``params, value, is_best``.
+    ``fit(train, **params)`` gives a model of Spark ML. Both parts are persisted once, and one pass over the validation part
+    scores all models. On a small table the fits run side by side, as one alone leaves cores idle; on a large one they run one
+    after another, as every fit of Spark ML holds its own copy of the rows. The table is ``params, value, is_best``.
     """
     spark = train.sparkSession
     train = train.persist(StorageLevel.MEMORY_AND_DISK)
     validation = validation.persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        if parallelism is None:
+            parallelism = len(grid) if train.count() < SMALL_TABLE_ROWS else 1
         run = inheritable_thread_target(spark)(lambda params: fit(train, **params))
         with ThreadPoolExecutor(max_workers=min(parallelism, len(grid))) as pool:
             models = list(pool.map(run, grid))

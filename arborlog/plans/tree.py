@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from arborlog.functions.buckets import bucket_count, quantile_bounds
+from arborlog.functions.buckets import SMALL_TABLE_ROWS, bucket_count, quantile_bounds
 from arborlog.functions.text import number, quoted
 from arborlog.operators.splits import CELL_ROWS, level_splits, node_stats, with_cells
 from arborlog.session import broadcast_if_small, local_table, reliable_checkpoint
@@ -151,7 +151,10 @@ def fit_tree(
     buckets = buckets or bucket_count(n)
     in_cells = buckets > 1
     if in_cells:
-        rows = with_cells(rows, len(names), quantile_bounds(rows, [f"x{i}" for i in range(len(names))], buckets))
+        rows = with_cells(rows, len(names), quantile_bounds(rows, [f"x{i}" for i in range(len(names))], buckets, n))
+    if n < SMALL_TABLE_ROWS:
+        # A small table often is one or two files; the levels should use more cores than that.
+        rows = rows.repartition(min(spark.sparkContext.defaultParallelism, n // 10_000 + 1))
     # The node number is stored too: as a constant of the plan it would turn the first join into a nested loop.
     base = rows.withColumn("node", F.lit(1).cast("bigint")).persist(StorageLevel.MEMORY_AND_DISK)
     nodes: list[TreeNode] = []

@@ -48,11 +48,11 @@ def test_best_split_by_hand(spark):
     df, names = table(spark, x, np.array([1, 1, 5, 5]))
     for buckets in (1, 3):
         assert [tuple(r) for r in best_splits(df, names, "y", buckets=buckets).collect()] == [(1, 0, 2.5, 4.0)]
-        for x2, y2 in (([[7.0]] * 4, [1, 1, 5, 5]), ([[1.0], [2.0], [3.0], [4.0]], [5, 5, 5, 5])):
-            flat, _ = table(spark, np.array(x2), np.array(y2))
-            assert best_splits(flat, names, "y", buckets=buckets).count() == 0
-        twice, both = table(spark, np.c_[x, x], np.array([1, 1, 5, 5]))
-        assert best_splits(twice, both, "y", buckets=buckets).first()["feature"] == 0
+    for x2, y2 in (([[7.0]] * 4, [1, 1, 5, 5]), ([[1.0], [2.0], [3.0], [4.0]], [5, 5, 5, 5])):
+        flat, _ = table(spark, np.array(x2), np.array(y2))
+        assert best_splits(flat, names, "y").count() == 0
+    twice, both = table(spark, np.c_[x, x], np.array([1, 1, 5, 5]))
+    assert best_splits(twice, both, "y").first()["feature"] == 0
 
 
 def test_threshold_between_neighbouring_doubles(spark):
@@ -109,7 +109,7 @@ def test_tree_by_hand(spark):
     assert again == model
 
 
-@pytest.mark.parametrize("options", [{}, {"buckets": 8}, {"buckets": 6, "cell_rows": 15}, {"checkpoint_every": 1}])
+@pytest.mark.parametrize("options", [{}, {"buckets": 8}, {"buckets": 64, "cell_rows": 15}, {"checkpoint_every": 1}])
 def test_tree_equals_brute_force(spark, options):
     x, y = sample(7)
     df, names = table(spark, x, y)

@@ -76,6 +76,10 @@ def test_buckets_follow_the_sort_order(spark):
     per_value = with_buckets(df, {"v": "b"}, bounds).groupBy("v").agg(F.countDistinct("b").alias("d"))
     assert per_value.filter("d > 1").count() == 0
     assert bucket_count(10) == 1 and bucket_count(10**13) == 4096
+    # Bounds from a part of the rows cut just as well.
+    many = spark.range(20000).selectExpr("CAST(id AS DOUBLE) AS v")
+    cut = with_buckets(many, {"v": "b"}, quantile_bounds(many, ["v"], 4, rows=20000)).groupBy("b").count().collect()
+    assert len(cut) == 4 and all(3500 < r["count"] < 6500 for r in cut)
     # One value everywhere gives one bound and still a valid numbering.
     same = frame(spark, [(1.0,)] * 20, "v double")
     assert with_buckets(same, {"v": "b"}, quantile_bounds(same, ["v"], 8)).select("b").distinct().count() == 1
