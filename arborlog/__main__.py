@@ -26,7 +26,9 @@ def main() -> None:
     fraud.add_argument("--scale", action="store_true", help="z-score the features first")
     args = parser.parse_args()
 
-    spark = SparkSession.builder.appName(f"arborlog-{args.job}").getOrCreate()
+    # Above 8,000 bytes the JVM does not compile a generated method; let the planner split such stages.
+    builder = SparkSession.builder.appName(f"arborlog-{args.job}").config("spark.sql.codegen.hugeMethodLimit", "8000")
+    spark = builder.getOrCreate()
     if args.job == "trips":
         result = run_trip_files(spark, args.train, args.test, args.output, args.tree, args.single_file)
         for table in (result.search, result.metrics, result.importance):

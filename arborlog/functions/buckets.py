@@ -13,13 +13,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MAX_BUCKETS = 4096
-ROWS_PER_BUCKET = 250_000
+ROWS_PER_BUCKET = 50_000
 SMALL_TABLE_ROWS = 2_000_000
 BOUND_ROWS_PER_BUCKET = 500
 
 
 def bucket_count(rows: int) -> int:
-    """Buckets for a table of this size: one for small tables, else one per 250,000 rows up to 4,096."""
+    """Buckets for a table of this size: one for small tables, else one per 50,000 rows up to 4,096."""
     return 1 if rows < SMALL_TABLE_ROWS else min(MAX_BUCKETS, rows // ROWS_PER_BUCKET)
 
 

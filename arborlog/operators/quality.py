@@ -40,5 +40,12 @@ def null_profile(df: DataFrame) -> DataFrame:
 
 
 def drop_nulls(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
-    """Drop rows with a null in any column (of ``subset``)."""
-    return df.dropna(how="any", subset=[quoted(c) for c in subset or df.columns])
+    """Drop rows with a null in any column (of ``subset``).
+
+    Written as one test per column, which a columnar scan can take over; columns that cannot be null need none.
+    """
+    fields = {f.name: f for f in df.schema.fields}
+    for c in subset or df.columns:
+        if fields[c].nullable:
+            df = df.filter(F.col(quoted(c)).isNotNull())
+    return df

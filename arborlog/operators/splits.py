@@ -14,7 +14,7 @@ candidate is lost, and the shuffles carry cells instead of values.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -120,11 +120,11 @@ def level_splits(
     )
 
 
-def _long(rows: DataFrame, width: int, halvings: int | None = None) -> DataFrame:
+def _long(rows: DataFrame, positions: Iterable[int], halvings: int | None = None) -> DataFrame:
     """One row per (row, feature): ``node, y, feature, value`` and, unless ``halvings`` is None, the cell number."""
     cell = ", 'cell', CAST(shiftright(b{i}, {k}) AS BIGINT)" if halvings is not None else ""
     shape = "named_struct('feature', {i}, 'value', x{i}" + cell + ")"
-    parts = [shape.format(i=i, k=halvings) for i in range(width)]
+    parts = [shape.format(i=i, k=halvings) for i in positions]
     return rows.select("node", "y", F.expr(f"inline(array({', '.join(parts)}))"))
 
 
@@ -136,7 +136,7 @@ def _midpoint(low: Column, high: Column) -> Column:
 
 def _value_candidates(rows: DataFrame, width: int) -> DataFrame:
     running = prefix_sums(
-        _long(rows, width), "value", {"n": F.lit(1), "s": F.col("y")}, group=["node", "feature"], buckets=1
+        _long(rows, range(width)), "value", {"n": F.lit(1), "s": F.col("y")}, group=["node", "feature"], buckets=1
     )
     whole = Window.partitionBy("node", "feature")
     # The last value of a feature has no split after it (its gain is null) but keeps its node in the result.
@@ -201,7 +201,7 @@ def _inner_bound() -> Column:
 def _refined_candidates(
     rows: DataFrame, width: int, keep: Callable[[DataFrame], DataFrame], cell_rows: int, halvings: int
 ) -> DataFrame:
-    long = _long(rows, width, halvings)
+    long = _long(rows, range(width), halvings)
     whole = Window.partitionBy("node", "feature")
     cells = _running(_cell_sums(long), ["node", "feature"]).withColumns(
         {"tn": F.sum("n").over(whole), "ts": F.sum("s").over(whole)}
@@ -217,7 +217,14 @@ def _refined_candidates(
             .filter(_inner_bound() >= F.coalesce(F.col("best"), F.lit(0.0)) * _SLACK)
             .drop("best")
         )
-        size = still_open.agg(F.count("*").alias("cells"), F.coalesce(F.max("n"), F.lit(0)).alias("rows")).first()
+        size = still_open.agg(
+            F.count("*").alias("cells"),
+            F.coalesce(F.max("n"), F.lit(0)).alias("rows"),
+            F.sort_array(F.collect_set("feature")).alias("features"),
+        ).first()
+        if round_ == 0 and size["features"]:
+            # Features without an open cell are out from here on.
+            long = _long(rows, size["features"], halvings)
         if size["cells"] > MAX_BROADCAST_ROWS:
             # Too many cells to send everywhere: the values are aggregated first and then meet their cell in a shuffle.
             break

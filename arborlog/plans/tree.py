@@ -27,6 +27,11 @@ from arborlog.session import broadcast_if_small, local_table, reliable_checkpoin
 # The chain of joins is cut by a checkpoint after this many levels.
 CHECKPOINT_EVERY = 8
 
+# The wording of a rule listing.
+LEFT_RULE = "If feature[{}] <= {:.2f}"
+RIGHT_RULE = "Else feature[{}] > {:.2f}"
+LEAF_RULE = "Predict: {:.2f}"
+
 _TABLE = pa.schema(
     [
         ("node_id", pa.int64()),
@@ -96,11 +101,10 @@ class TreeModel:
                 lines.append((node_id // 2, node.depth - 1, heading))
             if node.feature is None:
                 value = inverse(node.prediction) if inverse else node.prediction
-                lines.append((node_id, node.depth, f"Predict: {value:.2f}"))
+                lines.append((node_id, node.depth, LEAF_RULE.format(value)))
             else:
-                test = f"feature[{node.feature}]", f"{node.threshold:.2f}"
-                waiting.append((2 * node_id + 1, f"Else {test[0]} > {test[1]}"))
-                waiting.append((2 * node_id, f"If {test[0]} <= {test[1]}"))
+                waiting.append((2 * node_id + 1, RIGHT_RULE.format(node.feature, node.threshold)))
+                waiting.append((2 * node_id, LEFT_RULE.format(node.feature, node.threshold)))
         return local_table(
             spark, _RULE, [(i, node_id, depth, " " * 4 * depth + text) for i, (node_id, depth, text) in enumerate(lines)]
         )

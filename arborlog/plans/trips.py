@@ -55,6 +55,16 @@ KEPT = [
     Range("passenger_count", 1, 6, "both"),
     Range("distance_km", 0, 100, "neither"),
 ]
+# Columns to test for null. The rest is never null, is null together with one of these, or fails a range when null.
+NOT_NULL = [
+    "id",
+    "vendor_id",
+    "pickup_year",
+    "pickup_longitude",
+    "pickup_latitude",
+    "dropoff_longitude",
+    "dropoff_latitude",
+]
 ARITY = {"vendor_id": 2, "passenger_count": 10, "store_and_fwd_flag": 2}
 VENDORS = [1, 2]
 DEPTHS = [5, 10, 14]
@@ -82,7 +92,7 @@ def trip_features(trips: DataFrame, labelled: bool = True) -> DataFrame:
 
 def clean_trips(features: DataFrame) -> DataFrame:
     """Drop outliers and rows with nulls (training trips only)."""
-    return drop_nulls(range_filter(features, KEPT))
+    return range_filter(drop_nulls(features, NOT_NULL), KEPT)
 
 
 def run_trips(

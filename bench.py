@@ -58,6 +58,8 @@ def main() -> None:
         .config("spark.driver.memory", "12g")
         # The tables are single small files; let them be cut at every row group.
         .config("spark.sql.files.openCostInBytes", "1048576")
+        # Above 8,000 bytes the JVM does not compile a generated method; let the planner split such stages.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
