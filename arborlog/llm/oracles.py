@@ -3,3 +3,39 @@
 from __future__ import annotations
 
 ORACLES: dict[str, str] = {}
+
+# Targets are one level for all sources that are not full; ranks follow size, then a hash of the id.
+ORACLES["op8_systematic_mix"] = r"""
+WITH sized AS (
+  SELECT doc_id, CASE WHEN source IS NULL THEN '' ELSE '=' || source END AS source,
+         coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
+         ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS draw
+  FROM documents
+), sources AS (
+  SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source
+), weighed AS (
+  SELECT *, [3.0::DOUBLE, 1.0::DOUBLE, 2.0::DOUBLE][((row_number() OVER (ORDER BY source = '', source) - 1) % 3 + 1)::INT] AS weight FROM sources
+), filled AS (
+  SELECT *, 2.0::DOUBLE * source_size / weight AS full_at FROM weighed
+), leveled AS (
+  SELECT *, (1.5::DOUBLE * (SELECT sum(source_size) FROM filled)
+             - 2.0::DOUBLE * coalesce((SELECT sum(b.source_size) FROM filled b WHERE b.full_at < a.full_at), 0))
+            / ((SELECT sum(weight) FROM filled) - coalesce((SELECT sum(b.weight) FROM filled b WHERE b.full_at < a.full_at), 0)) AS own_level
+  FROM filled a
+), first AS (
+  SELECT min(full_at) AS first_at, arg_min(own_level, full_at) AS level FROM leveled WHERE own_level < full_at
+), targets AS (
+  SELECT source, source_size, CASE WHEN (SELECT first_at FROM first) IS NULL OR full_at < (SELECT first_at FROM first)
+         THEN 2.0::DOUBLE * source_size ELSE (SELECT level FROM first) * weight END AS target,
+         ('0x' || substr(md5('24|' || source), 1, 15))::BIGINT / 1152921504606846976.0::DOUBLE AS start
+  FROM leveled
+), ranked AS (
+  SELECT s.doc_id, s.size, t.source_size, t.target, t.start,
+         CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0.0::DOUBLE END AS rate,
+         (row_number() OVER (PARTITION BY s.source ORDER BY s.size, s.draw, s.doc_id))::DOUBLE AS r
+  FROM sized s JOIN targets t USING (source)
+), counted AS (
+  SELECT *, least(floor(rate * r + start) - floor(rate * (r - 1.0::DOUBLE) + start), ceil(rate))::BIGINT AS copies FROM ranked
+)
+SELECT doc_id, size, source_size, target, (size * copies)::BIGINT AS taken, copies FROM counted
+"""

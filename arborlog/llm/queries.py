@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arborlog.llm.common import read_table
+from arborlog.llm.mixing import mix
 from arborlog.llm.secrets import KINDS, LIVE_KIND, find_secrets
+from arborlog.llm.simhash_dedup import as_hex, near_classes
 
 
 def _joined(spans: Column) -> Column:
@@ -39,6 +41,18 @@ def op7_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_systematic_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix(read_table(spark, sf_dir, "documents"))
+    return mixed.select("_doc.doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies")
+
+
+def op9_simhash_bktree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return near_classes(docs).select("_doc.doc_id", as_hex(F.col("fp")).alias("fingerprint"), "component_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_secret_ownership": op7_secret_ownership,
+    "op8_systematic_mix": op8_systematic_mix,
+    "op9_simhash_bktree": op9_simhash_bktree,
 }
