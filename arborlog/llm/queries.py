@@ -8,15 +8,24 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arborlog.llm.common import read_table
+from arborlog.llm.hilbert_pack import pack
 from arborlog.llm.mixing import mix
-from arborlog.llm.secrets import KINDS, LIVE_KIND, find_secrets
+from arborlog.llm.rans import read_blocks, write_blocks
+from arborlog.llm.secret_scan import KINDS, LIVE_KIND, find_secrets
 from arborlog.llm.simhash_dedup import as_hex, near_classes
+from arborlog.llm.tokens import ordered_tokens, tokenizer_path
+from arborlog.session import new_path
 
 
 def _joined(spans: Column) -> Column:
     return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))))
 
 
+def op3_hilbert_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = pack(read_table(spark, sf_dir, "documents"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 def op7_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_secrets(read_table(spark, sf_dir, "documents"))
     spans = F.col("spans")
@@ -51,8 +60,18 @@ def op9_simhash_bktree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_classes(docs).select("_doc.doc_id", as_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op10_rans_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    path = new_path(spark, "rans")
+    write_blocks(ordered_tokens(docs, ["doc_id"], end_id=2, path=tokenizer_path()), path)
+    read = read_blocks(spark, path)
+    return read.select("doc_id", "start", F.col("n_ids").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_hilbert_packing": op3_hilbert_packing,
     "op7_secret_ownership": op7_secret_ownership,
     "op8_systematic_mix": op8_systematic_mix,
     "op9_simhash_bktree": op9_simhash_bktree,
+    "op10_rans_blocks": op10_rans_blocks,
 }
