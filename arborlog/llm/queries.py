@@ -7,13 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arborlog.llm.common import read_table
+from arborlog.llm.common import held_out, read_table
 from arborlog.llm.hilbert_pack import pack
 from arborlog.llm.mixing import mix
 from arborlog.llm.rans import read_blocks, write_blocks
 from arborlog.llm.secret_scan import KINDS, LIVE_KIND, find_secrets
 from arborlog.llm.simhash_dedup import as_hex, near_classes
 from arborlog.llm.tokens import ordered_tokens, tokenizer_path
+from arborlog.llm.toxicity import THRESHOLD, scored, train
 from arborlog.session import new_path
 
 
@@ -26,6 +27,13 @@ def op3_hilbert_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op6_toxic_instances(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = train(docs, read_table(spark, sf_dir, "labels"))
+    out = scored(docs, model).select("_doc.doc_id", "score", F.size("offending").cast("bigint").alias("n_offending"))
+    return out.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"), "n_offending")
+
+
 def op7_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_secrets(read_table(spark, sf_dir, "documents"))
     spans = F.col("spans")
@@ -70,6 +78,7 @@ def op10_rans_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_hilbert_packing": op3_hilbert_packing,
+    "op6_toxic_instances": op6_toxic_instances,
     "op7_secret_ownership": op7_secret_ownership,
     "op8_systematic_mix": op8_systematic_mix,
     "op9_simhash_bktree": op9_simhash_bktree,
