@@ -12,7 +12,8 @@ from arborlog.llm.hilbert_pack import pack
 from arborlog.llm.mixing import mix
 from arborlog.llm.rans import read_blocks, write_blocks
 from arborlog.llm.secret_scan import KINDS, LIVE_KIND, find_secrets
-from arborlog.llm.simhash_dedup import as_hex, near_classes
+from arborlog.llm.simhash import as_hex, edited_fingerprints, likeness
+from arborlog.llm.simhash_dedup import near_classes
 from arborlog.llm.tokens import ordered_tokens, tokenizer_path
 from arborlog.llm.toxicity import THRESHOLD, scored, train
 from arborlog.session import new_path
@@ -27,6 +28,19 @@ def op3_hilbert_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op4_simhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = edited_fingerprints(read_table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "n_chars",
+        "edited_sha256",
+        as_hex(F.col("fp")).alias("fingerprint"),
+        as_hex(F.col("edited_fp")).alias("edited_fingerprint"),
+        likeness(F.col("fp"), F.col("edited_fp")).alias("near_edited"),
+        likeness(F.col("fp"), F.col("next_fp")).alias("near_next"),
+    )
+
+
 def op6_toxic_instances(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     model = train(docs, read_table(spark, sf_dir, "labels"))
@@ -78,6 +92,7 @@ def op10_rans_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_hilbert_packing": op3_hilbert_packing,
+    "op4_simhash_fingerprints": op4_simhash_fingerprints,
     "op6_toxic_instances": op6_toxic_instances,
     "op7_secret_ownership": op7_secret_ownership,
     "op8_systematic_mix": op8_systematic_mix,
