@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from arborlog.llm.common import held_out, read_table
 from arborlog.llm.hilbert_pack import pack
+from arborlog.llm.langid import language, learn
 from arborlog.llm.mixing import mix
 from arborlog.llm.rans import read_blocks, write_blocks
 from arborlog.llm.secret_scan import KINDS, LIVE_KIND, find_secrets
@@ -41,6 +42,13 @@ def op4_simhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_rank_order_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    profiles = learn(docs.filter(~held_out()).select("text", "lang"))
+    found = docs.select("doc_id", held_out().alias("held_out"), language(F.col("text"), profiles).alias("p"))
+    return found.select("doc_id", "held_out", F.col("p.lang").alias("lang_pred"), F.col("p.score").alias("score"))
+
+
 def op6_toxic_instances(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     model = train(docs, read_table(spark, sf_dir, "labels"))
@@ -93,6 +101,7 @@ def op10_rans_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_hilbert_packing": op3_hilbert_packing,
     "op4_simhash_fingerprints": op4_simhash_fingerprints,
+    "op5_rank_order_language": op5_rank_order_language,
     "op6_toxic_instances": op6_toxic_instances,
     "op7_secret_ownership": op7_secret_ownership,
     "op8_systematic_mix": op8_systematic_mix,

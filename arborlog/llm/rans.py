@@ -24,7 +24,7 @@ LANES = 32
 BLOCK_IDS = 32_768
 CHECKPOINT_STEPS = 256
 #: Blocks that a task codes side by side hold about so many ids.
-TOGETHER_IDS = 4_000_000
+TOGETHER_IDS = 1_500_000
 MIN_SCALE_BITS = 16
 LOW, WORD_BITS = np.uint64(1 << 31), np.uint64(32)
 WORD_MASK = np.uint64((1 << 32) - 1)

@@ -7,7 +7,8 @@ import os
 from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -15,8 +16,12 @@ from pyspark.sql import functions as F
 from arborlog.llm.common import written
 
 BYTES_PER_ID = 4
-#: Words whose ids a task remembers; beyond it the memory starts anew.
-REMEMBERED = 400_000
+#: Words whose ids a task remembers, twice so many at most: those met lately and those met before them.
+REMEMBERED = 150_000
+#: New words that are encoded as lines of one text.
+LINES = 1000
+#: Characters of the texts that are encoded together.
+TOGETHER_CHARS = 4_000_000
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -26,23 +31,12 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
-class _Words(dict):
-    """Word to the ids of ``" " + word``, encoded when first met."""
-
-    def __init__(self, encode):
-        self.encode = encode
-
-    def __missing__(self, word: str) -> bytes:
-        ids = self[word] = self.encode(" " + word)
-        return ids
-
-
 class Encoder:
-    """Texts to ids as little-endian unsigned 32-bit integers, the same ids as encoding the text in one go.
+    """Texts to ids as little-endian unsigned 32-bit integers, the same ids as encoding each text in one go.
 
     A byte-level BPE with this pre-tokenizer never joins a space with what stands before it, if neither neighbour of the space
-    is white space. So a text falls into its words there, and a word that a task has met before is not encoded again. Texts with
-    other white space around a space are encoded whole.
+    is white space. So texts fall into words there, and each different word is encoded once. Texts with other white space around
+    a space are encoded whole.
     """
 
     def __init__(self, path: str):
@@ -51,40 +45,99 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.words = _Words(self._whole)
+        (self.line_break,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        self.lately: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
 
-    def _whole(self, text: str) -> bytes:
+    def whole(self, text: str) -> bytes:
         return array.array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def encode(self, text: str | None) -> bytes:
-        """Null is an empty text."""
-        if not text:
-            return b""
-        words = text.split(" ")
-        if not all(words) or any(map(_edged, words)):
-            return self._whole(text)
-        if len(self.words) > REMEMBERED:
-            self.words.clear()
-        first, *rest = words
-        return b"".join([self._whole(first), *map(self.words.__getitem__, rest)])
-
-
-def _edged(word: str) -> bool:
-    return word[0].isspace() or word[-1].isspace()
+    def _new(self, words: list[str]) -> Iterator[tuple[str, bytes]]:
+        """The ids of words after a space, many at a time: lines of one word each are split again at the line break's id."""
+        plain = [w for w in words if "\n" not in w]
+        for i in range(0, len(plain), LINES):
+            some = plain[i : i + LINES]
+            (coded,) = self.tokenizer.encode_batch_fast([" " + "\n ".join(some) + "\n"], add_special_tokens=False)
+            ids = np.array(coded.ids, "<u4")
+            cuts = [-1, *np.flatnonzero(ids == self.line_break).tolist()]
+            raw = ids.tobytes()
+            yield from zip(some, [raw[4 * a + 4 : 4 * b] for a, b in zip(cuts, cuts[1:])], strict=True)
+        yield from ((w, self.whole(" " + w)) for w in words if "\n" in w)
+
+    def _words(self, words: list[str]) -> list[bytes]:
+        """The ids of each word after a space."""
+        if len(self.lately) >= REMEMBERED:
+            self.before, self.lately = self.lately, {}
+        lately, before = self.lately, self.before
+        lately.update((w, before[w]) for w in words if w in before)
+        lately.update(self._new([w for w in words if w not in lately]))
+        return [lately[w] for w in words]
+
+    def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, number of ids of each); every text ends with ``end_id``, null is an empty text."""
+        texts = texts.fill_null("")
+        lists = pc.split_pattern(texts, " ")
+        offsets = lists.offsets.to_numpy().astype(np.int64)
+        offsets = offsets - offsets[0]
+        firsts, sizes = offsets[:-1], np.diff(offsets)
+        coded = lists.flatten().dictionary_encode()
+        codes = coded.indices.to_numpy().astype(np.int64)
+        words = coded.dictionary.to_pylist()
+        edged = np.fromiter((not w or w[0].isspace() or w[-1].isspace() for w in words), bool, len(words))
+        odd = (np.add.reduceat(edged[codes], firsts) > 0) & (sizes > 1) if len(firsts) else np.zeros(0, bool)
+        # A text begins with a word of its own, without a space, or is one such word if it is odd.
+        heads = [self.whole(texts[i].as_py() if odd[i] else words[c]) for i, c in enumerate(codes[firsts].tolist())]
+        kept = ~np.repeat(odd, sizes)
+        kept[firsts] = True
+        codes[firsts] = len(words) + np.arange(len(firsts))
+        # Words that only stand first, or only in odd texts, are not needed.
+        needed = np.zeros(len(words) + len(heads), bool)
+        needed[codes[kept]] = True
+        found = dict(zip(at := np.flatnonzero(needed[: len(words)]).tolist(), self._words([words[i] for i in at])))
+        entries = [*(found.get(i, b"") for i in range(len(words))), *heads, array.array("I", [end_id]).tobytes()]
+        sizes = np.where(odd, 1, sizes) + 1
+        ends = np.cumsum(sizes) - 1
+        sequence = np.full(int(sizes.sum()), len(entries) - 1, np.int64)
+        body = np.ones(len(sequence), bool)
+        body[ends] = False
+        sequence[body] = codes[kept]
+        lengths = np.fromiter(map(len, entries), np.int64, len(entries)) // BYTES_PER_ID
+        pool = np.frombuffer(b"".join(entries), "<u4")
+        starts = np.cumsum(lengths) - lengths
+        each = lengths[sequence]
+        upto = np.cumsum(each)
+        ids = pool[np.repeat(starts[sequence] - (upto - each), each) + np.arange(int(each.sum()))]
+        return ids, np.diff(np.append(0, upto[ends]))
+
+
+def _slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Row ranges of about ``TOGETHER_CHARS`` each."""
+    upto = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)) // TOGETHER_CHARS
+    cuts = [0, *(np.flatnonzero(np.diff(upto)) + 1).tolist(), len(texts)]
+    return ((a, b) for a, b in zip(cuts, cuts[1:]) if b > a)
 
 
 def _encoded(path: str, end_id: int):
-    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(path)
-        end = array.array("I", [end_id]).tobytes()
         part, start = TaskContext.get().partitionId(), 0
         for batch in batches:
-            ids = [encoder.encode(t) + end for t in batch.pop("text")]
-            counts = np.fromiter(map(len, ids), np.int64, len(ids)) // BYTES_PER_ID
-            ends = start + np.cumsum(counts)
-            batch["part"], batch["local_start"], batch["n_ids"], batch["ids"] = part, ends - counts, counts, ids
-            start = int(ends[-1]) if len(ends) else start
-            yield batch
+            for a, b in _slices(batch["text"]):
+                rows = batch.slice(a, b - a)
+                ids, counts = encoder.encode(rows["text"], end_id)
+                upto = np.cumsum(counts)
+                places = np.append(0, upto * BYTES_PER_ID).astype(np.int32)
+                yield pa.record_batch(
+                    [
+                        rows["doc_id"],
+                        pa.array(np.full(len(rows), part, np.int32)),
+                        pa.array(start + upto - counts),
+                        pa.array(counts),
+                        pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(places), pa.py_buffer(ids)]),
+                    ],
+                    names=["doc_id", "part", "local_start", "n_ids", "ids"],
+                )
+                start += int(upto[-1])
 
     return encode
 
@@ -100,7 +153,7 @@ def ordered_tokens(docs: DataFrame, order: Sequence[str], end_id: int, path: str
     names = list(dict.fromkeys([*order, "doc_id", "text"]))
     ranged = docs.select(*names).repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
     schema = "doc_id bigint, part int, local_start bigint, n_ids bigint, ids binary"
-    table = written(ranged.mapInPandas(_encoded(path, end_id), schema), "token-ids")
+    table = written(ranged.mapInArrow(_encoded(path, end_id), schema), "token-ids")
     sizes = table.groupBy("part").agg(F.sum("n_ids").alias("n"))
     # One row per partition of the range shuffle.
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
