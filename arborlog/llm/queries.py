@@ -11,6 +11,7 @@ from arborlog.llm.common import held_out, read_table
 from arborlog.llm.hilbert_pack import pack
 from arborlog.llm.langid import language, learn
 from arborlog.llm.mixing import mix
+from arborlog.llm.prefix_forest import nearest
 from arborlog.llm.rans import read_blocks, write_blocks
 from arborlog.llm.secret_scan import KINDS, LIVE_KIND, find_secrets
 from arborlog.llm.simhash import as_hex, edited_fingerprints, likeness
@@ -24,6 +25,11 @@ def _joined(spans: Column) -> Column:
     return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))))
 
 
+def op1_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return nearest(vectors, vectors.filter(F.col("vec_id") % 100 == 0))
+
+
 def op3_hilbert_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = pack(read_table(spark, sf_dir, "documents"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
@@ -99,6 +105,7 @@ def op10_rans_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_prefix_forest": op1_prefix_forest,
     "op3_hilbert_packing": op3_hilbert_packing,
     "op4_simhash_fingerprints": op4_simhash_fingerprints,
     "op5_rank_order_language": op5_rank_order_language,
