@@ -71,7 +71,7 @@ class Scorer:
 
         self.words, self.bias = Words(), model.bias
         # What a sentence adds to the log of "none is toxic" if no word of it has a weight.
-        self.plain = -math.log1p(math.exp(model.bias))
+        self.plain = -float(np.logaddexp(0, model.bias))
 
     def sentences(self, text: str) -> tuple[np.ndarray, int]:
         """Logits of the sentences that have a weighted word, in order, and the number of the others."""
@@ -103,7 +103,7 @@ class Scorer:
         out = []
         for m in _sentence.finditer(text or ""):
             logits, _ = self.sentences(m.group())
-            if len(logits) and (p := 1 / (1 + math.exp(-float(logits[0])))) >= at_least:
+            if len(logits) and (p := float(np.exp(-np.logaddexp(0, -logits[0])))) >= at_least:
                 out.append((m.start(), m.end(), p))
         return out
 
@@ -168,9 +168,9 @@ def _fit(docs: pd.DataFrame) -> Model:
         if loss < least:
             best, least = theta.copy(), loss
         pull = (1 - y) - y * np.exp(none) / some  # slope of the loss in -none
-        p = 1 / (1 + np.exp(-logit))
+        p = np.exp(-np.logaddexp(0, -logit))
         at = pull[own] * p
-        slope = np.append(np.bincount(column, at[row], minlength=len(chosen)), at.sum() + (pull * others).sum() / (1 + math.exp(-theta[-1]))) / rows
+        slope = np.append(np.bincount(column, at[row], minlength=len(chosen)), at.sum() + (pull * others).sum() * np.exp(-np.logaddexp(0, -theta[-1]))) / rows
         slope[:-1] += DECAY * theta[:-1] + DECAY / 10 * np.sign(theta[:-1])
         first = 0.9 * first + 0.1 * slope
         second = 0.999 * second + 0.001 * slope**2
