@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from arborlog.llm.chunk_dedup import repeated_passages
 from arborlog.llm.common import held_out, read_table
 from arborlog.llm.hilbert_pack import pack
 from arborlog.llm.langid import language, learn
@@ -30,6 +31,11 @@ def op1_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(vectors, vectors.filter(F.col("vec_id") % 100 == 0))
 
 
+def op2_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeated_passages(read_table(spark, sf_dir, "documents"))
+    return found.withColumn("kept", F.col("doc_id") == F.col("first_doc_id"))
+
+
 def op3_hilbert_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = pack(read_table(spark, sf_dir, "documents"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
@@ -106,6 +112,7 @@ def op10_rans_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_prefix_forest": op1_prefix_forest,
+    "op2_chunk_dedup": op2_chunk_dedup,
     "op3_hilbert_packing": op3_hilbert_packing,
     "op4_simhash_fingerprints": op4_simhash_fingerprints,
     "op5_rank_order_language": op5_rank_order_language,
