@@ -14,26 +14,31 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from arborlog.llm.tokens import BYTES_PER_ID, ordered_tokens, tokenizer_path
+from arborlog.functions.buckets import quantile_bounds, with_buckets
+from arborlog.llm.tokens import BYTES_PER_ID, token_stream, tokenizer_path
 
 END_ID = 1
 SEQUENCE_IDS = 2048
 #: Hashed features, dimensions of the projection and bits of each coordinate.
-FEATURES, DIMENSIONS, COORDINATE_BITS = 1024, 8, 7
+FEATURES, DIMENSIONS, COORDINATE_BITS = 1024, 6, 7
 SEED = 17
-
-
-def hashed_vector(text: str | None, features: int = FEATURES) -> np.ndarray:
-    """Counts of a whole text's hashed four-byte pieces, damped by a square root and brought to length 1; zeros if too short."""
-    raw = (text or "").encode("utf-8", "surrogatepass").lower()
-    if len(raw) < 4:
-        return np.zeros(features)
-    # All pieces are those that start at 0, 1, 2 and 3, four bytes apart.
-    piece = np.concatenate([np.frombuffer(raw, "<u4", (len(raw) - k) // 4, k) for k in range(min(4, len(raw) - 3))])
+#: Texts whose vectors stand side by side.
+TOGETHER = 500
+#: Bits of a hash of the id below the key, which spread copies of one text over ranges. Key and hash fit a double.
+SPREAD_BITS = 11
+#: Rows of a range of the curve, and rows a range that are looked at to place the bounds; tables of over 100,000 such ranges get
+#: larger ones instead.
+RANGE_ROWS, BOUND_ROWS, MAX_RANGES = 5_000, 100, 100_000
+
+
+def hashed_counts(text: str | None, features: int = FEATURES) -> np.ndarray:
+    """How often each hashed term begins a word of a whole text; a term is up to the first four bytes and what follows them."""
+    raw = b" " + (text or "").encode("utf-8", "surrogatepass").lower() + b"    "
+    begins = np.flatnonzero(np.frombuffer(raw, np.uint8, len(raw) - 5) == 32) + 1
+    pieces = np.ndarray(len(raw) - 3, "<u4", raw, strides=(1,))[begins]
     # The high bits of a product by an odd number depend on all four bytes.
-    hashed = (piece * np.uint32(2654435761)) >> np.uint32(32 - int(math.log2(features)))
-    counts = np.sqrt(np.bincount(hashed, minlength=features))
-    return counts / np.linalg.norm(counts)
+    hashed = (pieces * np.uint32(2654435761)) >> np.uint32(32 - int(math.log2(features)))
+    return np.bincount(hashed, minlength=features)
 
 
 def projection(features: int = FEATURES, dimensions: int = DIMENSIONS, seed: int = SEED) -> np.ndarray:
@@ -41,28 +46,26 @@ def projection(features: int = FEATURES, dimensions: int = DIMENSIONS, seed: int
     return np.random.default_rng(seed).standard_normal((features, dimensions))
 
 
-def hilbert_key(cell: list[int], bits: int = COORDINATE_BITS) -> int:
-    """The place of a cell on the Hilbert curve through a cube of ``2 ** bits`` cells a side.
+def hilbert_keys(cells: np.ndarray, bits: int = COORDINATE_BITS) -> np.ndarray:
+    """The places of cells (one a row) on the Hilbert curve through a cube of ``2 ** bits`` cells a side.
 
     The coordinates are turned, from the highest bit down, into the curve's own axes; their bits in turn, freed of the Gray
     code, are the key.
     """
-    x = list(cell)
+    x = cells.astype(np.int64).T.copy()
     n = len(x)
     for bit in range(bits - 1, 0, -1):
-        q, low = 1 << bit, (1 << bit) - 1
+        low = (1 << bit) - 1
         for i in range(n):
-            if x[i] & q:
-                x[0] ^= low
-            else:
-                swap = (x[0] ^ x[i]) & low
-                x[0] ^= swap
+            high = x[i] >> bit & 1 == 1
+            swap = np.where(high, 0, (x[0] ^ x[i]) & low)
+            x[0] ^= np.where(high, low, swap)
+            if i:
                 x[i] ^= swap
-    gray = 0
+    key = np.zeros(x.shape[1], np.int64)
     for bit in range(bits - 1, -1, -1):
-        for v in x:
-            gray = gray << 1 | (v >> bit & 1)
-    key = gray
+        for i in range(n):
+            key = key << 1 | (x[i] >> bit & 1)
     shift = 1
     while shift < n * bits:
         key ^= key >> shift
@@ -70,23 +73,24 @@ def hilbert_key(cell: list[int], bits: int = COORDINATE_BITS) -> int:
     return key
 
 
-def curve_keys(texts, bits: int = COORDINATE_BITS) -> list[int]:
-    """Hilbert keys of texts. Coordinates go through the normal distribution, so that cells are about evenly used."""
+def curve_keys(texts, bits: int = COORDINATE_BITS) -> np.ndarray:
+    """Hilbert keys of texts: their vectors, damped by a square root and brought to length 1, are projected.
+
+    Coordinates go through a sigmoid, so that cells are about evenly used.
+    """
     directions = projection()
-    # A vector of equal parts, where texts crowd, is the middle.
-    middle = directions.sum(axis=0) / math.sqrt(FEATURES) * math.sqrt(2 / math.pi)
-    side = 1 << bits
     keys = []
-    for text in texts:
-        along = hashed_vector(text) @ directions - middle
-        cell = [min(side - 1, int(side * 0.5 * (1 + math.erf(v / math.sqrt(2))))) for v in along]
-        keys.append(hilbert_key(cell, bits))
-    return keys
+    for i in range(0, len(texts), TOGETHER):
+        vectors = np.sqrt(np.stack([hashed_counts(t) for t in texts[i : i + TOGETHER]]))
+        along = vectors @ directions / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1.0)  # no term: the middle
+        cells = np.floor((1 << bits) / (1 + np.exp(-1.7 * along))).astype(np.int64)
+        keys.append(hilbert_keys(np.minimum(cells, (1 << bits) - 1), bits))
+    return np.concatenate(keys) if keys else np.zeros(0, np.int64)
 
 
 @F.pandas_udf(T.LongType())
 def _key(texts: pd.Series) -> pd.Series:
-    return pd.Series(curve_keys(texts), dtype="int64")
+    return pd.Series(curve_keys(texts.tolist()))
 
 
 def pack(docs: DataFrame, path: str | None = None, length: int = SEQUENCE_IDS, end_id: int = END_ID) -> DataFrame:
@@ -94,12 +98,21 @@ def pack(docs: DataFrame, path: str | None = None, length: int = SEQUENCE_IDS, e
 
     Columns: doc_id, start (ids of its document before the piece), length, ids (little-endian unsigned 32-bit integers),
     doc_tokens (ids of the document, its end included), sequence_id, offset (place in the sequence). Documents follow each
-    other along the curve, then by id and text, and sequences are cut from that order without a gap: all are full but the last.
-    A null or empty text is its end id alone; repeated rows are packed each; a null id comes first among equals; an empty table
-    gives no piece. Copies share a key, so the id is part of the order and no range holds all copies.
+    other along the curve, copies by a hash of the id, then by id and a hash of the text; sequences are cut from that order without a gap: all are full but the last.
+    A null or empty text is its end id alone; repeated rows are packed each; an empty table gives no piece. Copies share a key, so
+    the hash of the id is part of the order and no range holds all copies.
     """
-    keyed = docs.select(_key(F.col("text")).alias("key"), F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    tokens = ordered_tokens(keyed, ["key", "doc_id", "text"], end_id, path or tokenizer_path())
+    plain = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    spread = F.pmod(F.xxhash64("doc_id"), F.lit(1 << SPREAD_BITS))
+    place = F.shiftleft(_key(F.col("text")), SPREAD_BITS).bitwiseOR(spread).alias("place")
+    rows = plain.count()
+    ranges = max(1, -(-rows // max(RANGE_ROWS, -(-rows // MAX_RANGES))))
+    # The bounds decide how even the ranges are, never the order.
+    few = plain.sample(min(1.0, BOUND_ROWS * ranges / max(1, rows)), seed=SEED)
+    bounds = quantile_bounds(few.select(place), ["place"], ranges)
+    keyed = plain.select(place, "doc_id", "text", F.xxhash64("text").alias("tie"))
+    ranged = with_buckets(keyed, {"place": "part"}, bounds)
+    tokens = token_stream(ranged.repartition("part").sortWithinPartitions("part", "place", "doc_id", "tie"), end_id, path or tokenizer_path())
     end = F.col("start") + F.col("n_ids")
     first, last = F.floor(F.col("start") / length), F.floor((end - 1) / length)
     cut = tokens.withColumn("sequence_id", F.explode(F.sequence(first, last)))

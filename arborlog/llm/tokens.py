@@ -9,7 +9,6 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -110,53 +109,57 @@ class Encoder:
         return ids, np.diff(np.append(0, upto[ends]))
 
 
-def _slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
-    """Row ranges of about ``TOGETHER_CHARS`` each."""
+def _slices(texts: pa.Array, parts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Row ranges of one part each and about ``TOGETHER_CHARS`` characters."""
     upto = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)) // TOGETHER_CHARS
-    cuts = [0, *(np.flatnonzero(np.diff(upto)) + 1).tolist(), len(texts)]
+    new = (np.diff(upto) > 0) | (np.diff(parts.to_numpy(zero_copy_only=False)) != 0)
+    cuts = [0, *(np.flatnonzero(new) + 1).tolist(), len(texts)]
     return ((a, b) for a, b in zip(cuts, cuts[1:]) if b > a)
 
 
 def _encoded(path: str, end_id: int):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(path)
-        part, start = TaskContext.get().partitionId(), 0
+        part, start = None, 0
         for batch in batches:
-            for a, b in _slices(batch["text"]):
+            for a, b in _slices(batch["text"], batch["part"]):
                 rows = batch.slice(a, b - a)
+                if rows["part"][0].as_py() != part:
+                    part, start = rows["part"][0].as_py(), 0
                 ids, counts = encoder.encode(rows["text"], end_id)
                 upto = np.cumsum(counts)
                 places = np.append(0, upto * BYTES_PER_ID).astype(np.int32)
-                yield pa.record_batch(
-                    [
-                        rows["doc_id"],
-                        pa.array(np.full(len(rows), part, np.int32)),
-                        pa.array(start + upto - counts),
-                        pa.array(counts),
-                        pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(places), pa.py_buffer(ids)]),
-                    ],
-                    names=["doc_id", "part", "local_start", "n_ids", "ids"],
-                )
+                coded = pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(places), pa.py_buffer(ids)])
+                columns = [rows["doc_id"], rows["part"], pa.array(start + upto - counts), pa.array(counts), coded]
+                yield pa.record_batch(columns, names=["doc_id", "part", "local_start", "n_ids", "ids"])
                 start += int(upto[-1])
 
     return encode
 
 
-def ordered_tokens(docs: DataFrame, order: Sequence[str], end_id: int, path: str) -> DataFrame:
-    """Texts in the global order of the columns ``order``, as ids: doc_id, start, n_ids, ids.
+def token_stream(docs: DataFrame, end_id: int, path: str) -> DataFrame:
+    """Texts in a global order, as ids: doc_id, start, n_ids, ids.
 
-    ``start`` counts the ids of all documents before; ``ids`` are little-endian unsigned 32-bit integers with ``end_id`` at the
-    end, so a null or empty text is ``end_id`` alone. Texts are range-partitioned and encoded in order into a written table;
-    what is known of a whole partition is one number, so only those numbers are summed up. ``order`` should identify a row, so
-    that no range is heavier than its rows.
+    ``docs`` has part, doc_id and text; parts follow each other by number, each lies whole in one partition, and there its rows
+    stand in their order. ``start`` counts the ids of all documents before; ``ids`` are little-endian unsigned 32-bit integers
+    with ``end_id`` at the end, so a null or empty text is ``end_id`` alone. The ids are written once; what is known of a whole
+    part is one number, so only those numbers are summed up.
     """
-    names = list(dict.fromkeys([*order, "doc_id", "text"]))
-    ranged = docs.select(*names).repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
     schema = "doc_id bigint, part int, local_start bigint, n_ids bigint, ids binary"
-    table = written(ranged.mapInArrow(_encoded(path, end_id), schema), "token-ids")
+    table = written(docs.select("part", "doc_id", "text").mapInArrow(_encoded(path, end_id), schema), "token-ids")
     sizes = table.groupBy("part").agg(F.sum("n_ids").alias("n"))
-    # One row per partition of the range shuffle.
+    # One row per part.
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     bases = sizes.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
     placed = table.join(F.broadcast(bases), "part")
     return placed.select("doc_id", (F.col("base") + F.col("local_start")).alias("start"), "n_ids", "ids")
+
+
+def ordered_tokens(docs: DataFrame, order: Sequence[str], end_id: int, path: str) -> DataFrame:
+    """``token_stream`` of ``docs`` (doc_id, text) by the columns ``order``, which should identify a row and be short.
+
+    The parts are the partitions of a range shuffle.
+    """
+    names = list(dict.fromkeys([*order, "doc_id", "text"]))
+    ranged = docs.select(*names).repartitionByRange(*order).sortWithinPartitions(*order)
+    return token_stream(ranged.withColumn("part", F.spark_partition_id()), end_id, path)

@@ -199,7 +199,8 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
 
     schema = "features array<bigint>, weights array<double>, bias double"
     row = words.repartition(1).sortWithinPartitions("toxic", "words").mapInPandas(fit, schema).first()
-    return Model(np.array(row.features, np.int64), np.array(row.weights), row.bias)
+    # An empty sample may have no task at all.
+    return Model(np.array(row.features, np.int64), np.array(row.weights), row.bias) if row else _fit(pd.DataFrame({"toxic": [], "words": []}))
 
 
 def scored(docs: DataFrame, model: Model, at_least: float = THRESHOLD) -> DataFrame:
