@@ -1,4 +1,8 @@
-"""Run a whole job: ``spark-submit … -m arborlog`` or ``python -m arborlog``."""
+"""Run a whole job: ``spark-submit … -m arborlog`` or ``python -m arborlog``.
+
+Everything a job finds is written, whole, beside its output: metrics, importances, rules and search table, or terms and report.
+What is shown is a first look only.
+"""
 
 from __future__ import annotations
 
@@ -8,7 +12,12 @@ from pyspark.sql import SparkSession
 
 from arborlog.plans.fraud import run_fraud_file
 from arborlog.plans.trips import run_trip_files
-from arborlog.sources.delimited import preview, read_delimited
+from arborlog.sources.delimited import preview, read_delimited, write_predictions
+
+
+def beside(output: str, name: str) -> str:
+    """Where a table of a job is written: next to its output folder."""
+    return f"{output.rstrip('/')}-{name}"
 
 
 def main() -> None:
@@ -22,6 +31,7 @@ def main() -> None:
     trips.add_argument("--single-file", action="store_true", help="write one file through one task (small results only)")
     fraud = jobs.add_parser("fraud", help="card fraud by logistic regression")
     fraud.add_argument("path")
+    fraud.add_argument("output", help="folder for the terms and the report")
     fraud.add_argument("--solver", choices=["lbfgs", "gd"], default="lbfgs")
     fraud.add_argument("--scale", action="store_true", help="z-score the features first")
     args = parser.parse_args()
@@ -31,15 +41,17 @@ def main() -> None:
     spark = builder.getOrCreate()
     if args.job == "trips":
         result = run_trip_files(spark, args.train, args.test, args.output, args.tree, args.single_file)
-        for table in (result.search, result.metrics, result.importance):
+        tables = {"metrics": result.metrics, "importance": result.importance, "rules": result.rules, "search": result.search}
+        for name, table in tables.items():
             if table is not None:
-                table.show(100, truncate=False)
-        result.rules.orderBy("position").select("rule").show(2000, truncate=False)
+                write_predictions(table, beside(args.output, name))
+        result.metrics.show(truncate=False)
         preview(read_delimited(spark, args.output), "id").show()
     else:
         result = run_fraud_file(spark, args.path, args.solver, args.scale)
-        result.model.terms(spark).show(1000, truncate=False)
-        result.report.orderBy("split", "metric", "label").show(100, truncate=False)
+        write_predictions(result.model.terms(spark), beside(args.output, "terms"))
+        write_predictions(result.report, beside(args.output, "report"))
+        result.report.orderBy("split", "metric", "label").show(truncate=False)
     spark.stop()
 
 

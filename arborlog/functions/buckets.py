@@ -12,15 +12,18 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_BUCKETS = 4096
+# Even a small table gets a few buckets, so that every size takes the same way.
+MIN_BUCKETS, MAX_BUCKETS = 8, 65_536
 ROWS_PER_BUCKET = 50_000
-SMALL_TABLE_ROWS = 2_000_000
 BOUND_ROWS_PER_BUCKET = 500
 
 
 def bucket_count(rows: int) -> int:
-    """Buckets for a table of this size: one for small tables, else one per 50,000 rows up to 4,096."""
-    return 1 if rows < SMALL_TABLE_ROWS else min(MAX_BUCKETS, rows // ROWS_PER_BUCKET)
+    """Buckets for a table of this size: one per 50,000 rows, 8 at least.
+
+    Beyond 3.3 billion rows they grow instead of their number: at 10^12 rows a bucket has 15 million, one task's sort.
+    """
+    return max(MIN_BUCKETS, min(MAX_BUCKETS, rows // ROWS_PER_BUCKET))
 
 
 def _constant_array(numbers: Sequence[float]) -> Column:

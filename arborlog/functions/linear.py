@@ -37,5 +37,5 @@ def sigmoid(z: Column) -> Column:
 
 
 def hard_label(probability: Column, threshold: float = 0.5) -> Column:
-    """1.0 from the threshold on, else 0.0."""
-    return F.when(probability >= threshold, 1.0).otherwise(0.0)
+    """1.0 from the threshold on, else 0.0; null stays null, as an unknown chance is no decision."""
+    return F.when(probability >= threshold, 1.0).when(probability.isNotNull(), 0.0)

@@ -74,11 +74,13 @@ def auc_rank(
     """``auc``: chance that a random positive has a higher score than a random negative, ties counting half.
 
     Equals the rank-sum form with average ranks. The negatives below each score are counted directly, which takes no
-    difference of large numbers. 0.0 when a class is missing. Give hard 0/1 predictions as the score for the AUC of a
+    difference of large numbers. 0.0 when a class is missing. Rows whose score is null or NaN have no place in the order and are
+    left out, as ``regression_metrics`` leaves them out. Give hard 0/1 predictions as the score for the AUC of a
     classifier at its threshold, or a probability for the AUC of the model. ``weight`` names a column of row counts, for a
     table that is already added up.
     """
     rows = F.col(weight) if weight else F.lit(1)
+    df = df.filter(F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double")))
     positive = F.when(F.col(label) == 1, rows).otherwise(0)
     negative = F.when(F.col(label) == 0, rows).otherwise(0)
     ranked = prefix_sums(df, score, {"pos": positive, "neg": negative}, by, buckets)

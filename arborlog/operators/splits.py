@@ -1,8 +1,9 @@
 """Exact best splits of regression-tree nodes, for all nodes of a level at once.
 
 Every midpoint between neighbouring distinct values of a feature is a candidate. The gain of a split is the variance of the
-node minus the weighted variance of its children, which equals (n_l · n_r / n²) · (mean_l − mean_r)²; that form cancels
-nothing and is 0 exactly when the means agree.
+node minus the weighted variance of its children, which equals (n_l · n_r / n²) · (mean_l − mean_r)². Real-valued labels are
+taken relative to their mean over all rows, a node whose labels are all equal is not split, nor one whose best gain is no more
+than rounding (10^-12 of its variance), and gains that agree to 12 digits are equal, whatever order they were summed up in.
 
 Small tables aggregate to (node, feature, value) and run a window over each (node, feature). Large tables first add up range
 cells (node, feature, cell): this gives the gain at every cell border, and a bound for the gain inside a cell. Between two
@@ -18,6 +19,7 @@ from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from arborlog.functions.buckets import bucket_count, quantile_bounds, with_buckets
 from arborlog.operators.prefix import prefix_sums
@@ -31,6 +33,8 @@ ROUND_CELLS = 4_000_000
 MAX_ROUNDS = 4
 # Slack of the pruning test for rounding in the bound.
 _SLACK = 1 - 1e-9
+# Gains of at most this share of the node's variance are rounding; equal gains agree to so many digits.
+_LEAST_GAIN, _DIGITS = 1e-12, 12
 
 _CELL = ["node", "feature", "cell"]
 
@@ -87,6 +91,8 @@ def best_splits(
     if buckets is None:
         count = rows.count()
         buckets = bucket_count(count)
+    if not _whole(rows):
+        rows = centered(rows, rows.agg(F.avg("y")).first()[0])
     if buckets > 1:
         rows = with_cells(rows, width, quantile_bounds(rows, [f"x{i}" for i in range(width)], buckets, count))
     found = level_splits(rows, width, buckets > 1, keep=reliable_checkpoint)
@@ -112,14 +118,32 @@ def level_splits(
     else:
         candidates = _value_candidates(rows, width)
     choice = F.struct("feature", "threshold", "gain")
-    rank = F.when(F.col("gain") > 0, F.struct("gain", -F.col("feature"), -F.col("threshold")))
+    gain = F.col("gain")
+    if _whole(rows):  # sums of whole numbers are exact
+        size = [gain.alias("size")]
+    else:
+        power = F.floor(F.log10("gain"))
+        size = [power.alias("power"), F.round(gain * F.pow(F.lit(10.0), _DIGITS - 1 - power)).alias("size")]
+    rank = F.when(gain > 0, F.struct(*size, -F.col("feature"), -F.col("threshold")))
+    best = candidates.groupBy("node").agg(F.max_by(choice, rank).alias("best"))
+    stats = node_stats(rows, "y", "node")
+    splits = (F.col("lowest") < F.col("highest")) & (F.col("best.gain") > _LEAST_GAIN * F.col("variance"))
     return (
-        candidates.groupBy("node")
-        .agg(F.max("tn").alias("n"), F.max("ts").alias("total"), F.max_by(choice, rank).alias("best"))
+        stats.join(best, "node", "left")
+        .withColumn("best", F.when(splits, F.col("best")))
         .select("node", "n", "total", "best.*")
     )
 
 
+def _whole(rows: DataFrame) -> bool:
+    return isinstance(rows.schema["y"].dataType, T.IntegralType)
+
+
+def centered(rows: DataFrame, mean: float | None) -> DataFrame:
+    """Labels ``y`` relative to their mean, which keeps the digits of small differences between large labels."""
+    return rows.withColumn("y", F.col("y").cast("double") - F.lit(float(mean or 0.0)))
+
+
 def _long(rows: DataFrame, positions: Iterable[int], halvings: int | None = None) -> DataFrame:
     """One row per (row, feature): ``node, y, feature, value`` and, unless ``halvings`` is None, the cell number."""
     cell = ", 'cell', CAST(shiftright(b{i}, {k}) AS BIGINT)" if halvings is not None else ""

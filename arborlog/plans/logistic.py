@@ -76,7 +76,7 @@ def fit_logistic_gd(
 
     ``reduce='sum'`` steps along the summed gradient, ``'mean'`` along the mean gradient, whose step does not depend on the
     row count. No scaling and no penalty: apply ``zscore`` before, if wanted. Every iteration is one aggregate over the
-    persisted rows.
+    persisted rows. Features and label must be free of null and NaN.
     """
     if reduce not in ("sum", "mean"):
         raise ValueError(f"reduce must be sum or mean, not {reduce!r}")
@@ -86,7 +86,11 @@ def fit_logistic_gd(
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         weights = [0.0] * (len(cols) + 1)
-        scale = 1.0 if reduce == "sum" else 1.0 / max(1, rows.count())
+        unfit = " OR ".join(f"{c} IS NULL OR isnan({c})" for c in [*cols, "y"])
+        seen = rows.selectExpr("count(*) AS n", f"count_if({unfit}) AS bad").first()
+        if seen["bad"]:
+            raise ValueError(f"{seen['bad']} rows have a null or NaN in a feature or the label; drop or fill them first")
+        scale = 1.0 if reduce == "sum" else 1.0 / max(1, seen["n"])
         for _ in range(iterations):
             by_term = {r["term"]: r["g"] or 0.0 for r in gradient(rows, cols, "y", weights).collect()}
             weights = [

@@ -12,9 +12,11 @@ from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arborlog.functions.buckets import SMALL_TABLE_ROWS
 from arborlog.session import local_table
 
+# Up to this size fits run side by side; their results do not depend on it.
+PARALLEL_FIT_ROWS = 2_000_000
+
 _RESULT = pa.schema([("params", pa.string()), ("value", pa.float64()), ("is_best", pa.bool_())])
 
 
@@ -43,7 +45,7 @@ def grid_search(
     validation = validation.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         if parallelism is None:
-            parallelism = len(grid) if train.count() < SMALL_TABLE_ROWS else 1
+            parallelism = len(grid) if train.count() < PARALLEL_FIT_ROWS else 1
         run = inheritable_thread_target(spark)(lambda params: fit(train, **params))
         with ThreadPoolExecutor(max_workers=min(parallelism, len(grid))) as pool:
             models = list(pool.map(run, grid))

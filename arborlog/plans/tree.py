@@ -19,9 +19,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from arborlog.functions.buckets import SMALL_TABLE_ROWS, bucket_count, quantile_bounds
+from arborlog.functions.buckets import bucket_count, quantile_bounds
 from arborlog.functions.text import number, quoted
-from arborlog.operators.splits import CELL_ROWS, level_splits, node_stats, with_cells
+from arborlog.operators.splits import CELL_ROWS, centered, level_splits, node_stats, with_cells
 from arborlog.session import broadcast_if_small, local_table, reliable_checkpoint
 
 # The chain of joins is cut by a checkpoint after this many levels.
@@ -141,14 +141,14 @@ def fit_tree(
 ) -> TreeModel:
     """Grow a regression tree over every midpoint between distinct feature values.
 
-    A node becomes a leaf with the mean label at ``max_depth``, with fewer than two rows, or when no split has a gain above
-    0. Equal gains go to the first feature, then to the lowest threshold. Features and label must be free of null and NaN.
+    A node becomes a leaf with the mean label at ``max_depth``, when its labels are all equal, or when no split has a gain above
+    rounding. Equal gains go to the first feature, then to the lowest threshold. Features and label must be free of null and NaN.
     """
     spark = df.sparkSession
     df, names, exprs = feature_exprs(df, features)
     whole_number = isinstance(df.schema[label].dataType, T.IntegralType)
     y = f"CAST({quoted(label)} AS {'BIGINT' if whole_number else 'DOUBLE'}) AS y"
-    n, rows = _checked(df.selectExpr(y, *[f"{x} AS x{i}" for i, x in enumerate(exprs)]), len(names), whole_number)
+    n, mean, rows = _checked(df.selectExpr(y, *[f"{x} AS x{i}" for i, x in enumerate(exprs)]), len(names), whole_number)
     if n == 0:
         return TreeModel(tuple(names), ())
 
@@ -156,9 +156,10 @@ def fit_tree(
     in_cells = buckets > 1
     if in_cells:
         rows = with_cells(rows, len(names), quantile_bounds(rows, [f"x{i}" for i in range(len(names))], buckets, n))
-    if n < SMALL_TABLE_ROWS:
-        # A small table often is one or two files; the levels should use more cores than that.
-        rows = rows.repartition(min(spark.sparkContext.defaultParallelism, n // 10_000 + 1))
+    cores = spark.sparkContext.defaultParallelism
+    if rows.rdd.getNumPartitions() < cores:
+        # One or two files, say; the levels should use more cores than that.
+        rows = rows.repartition(cores)
     # The node number is stored too: as a constant of the plan it would turn the first join into a nested loop.
     base = rows.withColumn("node", F.lit(1).cast("bigint")).persist(StorageLevel.MEMORY_AND_DISK)
     nodes: list[TreeNode] = []
@@ -178,7 +179,7 @@ def fit_tree(
             finally:
                 for cells in held:
                     cells.unpersist()
-            nodes += [TreeNode(r.node, depth, r.feature, r.threshold, r.gain, r.n, r.mean) for r in found]
+            nodes += [TreeNode(r.node, depth, r.feature, r.threshold, r.gain, r.n, r.mean + mean) for r in found]
             splits = [(r.node, r.feature, r.threshold) for r in found if r.feature is not None]
             if not splits:
                 break
@@ -204,17 +205,20 @@ def _halvings(nodes: int, buckets: int) -> int:
     return max(0, min((nodes // 2).bit_length() - 1, buckets.bit_length() - 5))
 
 
-def _checked(rows: DataFrame, width: int, whole_number: bool) -> tuple[int, DataFrame]:
-    """Count the rows and refuse null or NaN; whole-number labels stay whole while their sum is sure to fit."""
+def _checked(rows: DataFrame, width: int, whole_number: bool) -> tuple[int, float, DataFrame]:
+    """Count the rows and refuse null or NaN; whole-number labels stay whole while their sum is sure to fit.
+
+    Other labels are returned relative to their mean, the second value.
+    """
     unfit = " OR ".join(f"{c} IS NULL OR isnan(CAST({c} AS DOUBLE))" for c in ["y", *[f"x{i}" for i in range(width)]])
     row = rows.selectExpr(
-        "count(*) AS n", f"count_if({unfit}) AS bad", "max(abs(CAST(y AS DOUBLE))) AS largest"
+        "count(*) AS n", f"count_if({unfit}) AS bad", "max(abs(CAST(y AS DOUBLE))) AS largest", "avg(CAST(y AS DOUBLE)) AS mean"
     ).first()
     if row["bad"]:
         raise ValueError(f"{row['bad']} rows have a null or NaN in a feature or the label; drop or fill them first")
-    if whole_number and row["n"] * (row["largest"] or 0.0) >= 2.0**62:
-        rows = rows.withColumn("y", F.col("y").cast("double"))
-    return row["n"], rows
+    if whole_number and row["n"] * (row["largest"] or 0.0) < 2.0**62:
+        return row["n"], 0.0, rows
+    return row["n"], row["mean"] or 0.0, centered(rows, row["mean"])
 
 
 def _goes_left(values: Sequence[str]) -> str:

@@ -3,19 +3,54 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from arborlog.functions.text import quoted
+
+
+HEADER_READERS = 16
+
 
 def header_of(spark: SparkSession, path: str) -> list[str]:
-    """Column names of the first line; reads no more than that line."""
+    """Column names of the first line; reads no more than the start of the file."""
     return spark.read.csv(path, header=True).columns
 
 
+def _fields(schema: T.StructType | str) -> list[T.StructField]:
+    return (T.StructType.fromDDL(schema) if isinstance(schema, str) else schema).fields
+
+
+def _files(spark: SparkSession, path: str) -> list[tuple[list[str], list[str]]]:
+    """The files below ``path``, grouped by their header line: (header, paths).
+
+    Files of one folder may order their columns differently, and each is read by its own header. The driver lists the files and
+    has the first line of each read, many at a time.
+    """
+    listed = spark.read.format("binaryFile").load(path).filter("length > 0").select("path").collect()
+    paths = sorted(r["path"] for r in listed)
+    groups: dict[tuple[str, ...], list[str]] = {}
+    with ThreadPoolExecutor(HEADER_READERS) as pool:
+        for one, header in zip(paths, pool.map(lambda p: header_of(spark, p), paths)):
+            groups.setdefault(tuple(header), []).append(one)
+    return [(list(header), files) for header, files in groups.items()]
+
+
+def _cast(column: Column, field: T.StructField, mode: str) -> Column:
+    """Text to the type of ``field``. What does not fit raises, unless ``mode`` is permissive: then it is null."""
+    typed = column.try_cast(field.dataType)
+    if mode == "permissive":
+        return typed.alias(field.name)
+    message = F.concat(F.lit(f"no {field.dataType.simpleString()} in column {field.name}: "), column)
+    bad = typed.isNull() & column.isNotNull()
+    return F.when(bad, F.raise_error(message).cast(field.dataType)).otherwise(typed).alias(field.name)
+
+
 def read_delimited(
     spark: SparkSession,
     path: str,
@@ -23,37 +58,49 @@ def read_delimited(
     drop: Sequence[str] = (),
     infer: bool = False,
     repeated_header: bool = False,
+    mode: str = "failfast",
 ) -> DataFrame:
     """Read a file or folder of delimited text with a header.
 
-    Give a ``schema`` where possible: ``infer`` costs a pass over the data, and without both all columns are text. ``drop``
-    names columns to leave out. With ``repeated_header`` lines equal to the header are dropped wherever they stand, as in
-    files that were joined together; values are then cast to the schema after that, and text that does not fit is null.
+    Columns are found by their name in the header of each file, so the order of a file does not matter; with a ``schema`` a
+    missing column is an error, other columns are left out, and a text that does not fit its type raises (``mode`` permissive
+    makes it null). ``infer`` costs a pass over the data, and without both all columns are text. ``drop`` names columns to
+    leave out. With ``repeated_header`` lines equal to the header are dropped wherever they stand, as in files that were joined
+    together.
     """
-    if not repeated_header:
-        reader = spark.read.schema(schema) if schema is not None else spark.read
-        return reader.csv(path, header=True, inferSchema=infer and schema is None).drop(*drop)
-    if infer:
+    if mode not in ("failfast", "permissive"):
+        raise ValueError(f"mode must be failfast or permissive, not {mode!r}")
+    if repeated_header and infer:
         raise ValueError("repeated_header needs a schema or text columns, not inference")
-    df = spark.read.csv(path, header=True)
-    is_header = reduce(and_, [F.col(c).eqNullSafe(F.lit(c)) for c in df.columns])
-    df = df.filter(~is_header)
-    if schema is not None:
-        fields = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
-        df = df.select(*[F.col(c).try_cast(f.dataType).alias(f.name) for c, f in zip(df.columns, fields, strict=True)])
-    return df.drop(*drop)
+    if schema is None and infer:
+        return spark.read.csv(path, header=True, inferSchema=True).drop(*drop)
+    fields = _fields(schema) if schema is not None else None
+    parts = []
+    for header, files in _files(spark, path):
+        df = spark.read.csv(files, header=True, schema=T.StructType([T.StructField(n, T.StringType()) for n in header]))
+        if repeated_header:
+            df = df.filter(~reduce(and_, [F.col(quoted(c)).eqNullSafe(F.lit(c)) for c in header]))
+        if fields is not None:
+            missing = [f.name for f in fields if f.name not in header]
+            if missing:
+                raise ValueError(f"{files[0]} has no column {', '.join(missing)}")
+            df = df.select(*[_cast(F.col(quoted(f.name)), f, mode) for f in fields])
+        parts.append(df)
+    if not parts:
+        return spark.createDataFrame([], T.StructType(fields or [])).drop(*drop)
+    return reduce(DataFrame.unionByName, parts).drop(*drop)
 
 
 def read_labelled(spark: SparkSession, path: str, label: str | None = None) -> DataFrame:
     """Read quoted delimited text whose fields are all numbers; every column is double.
 
-    The label (``label``, else the last column) is renamed to ``label`` and stands last. A field that is no number raises.
+    The label (``label``, else the last column of the first file) is renamed to ``label`` and stands last. Columns are found by
+    name in each file. A field that is no number raises.
     """
-    names = header_of(spark, path)
-    schema = T.StructType([T.StructField(n, T.DoubleType()) for n in names])
-    df = spark.read.schema(schema).csv(path, header=True, quote='"', mode="FAILFAST")
+    names = _files(spark, path)[0][0]
+    df = read_delimited(spark, path, T.StructType([T.StructField(n, T.DoubleType()) for n in names]))
     label = label or names[-1]
-    return df.select(*[n for n in names if n != label], F.col(label).alias("label"))
+    return df.select(*[F.col(quoted(n)) for n in names if n != label], F.col(quoted(label)).alias("label"))
 
 
 def write_predictions(df: DataFrame, path: str, single_file: bool = False) -> None:
@@ -61,7 +108,7 @@ def write_predictions(df: DataFrame, path: str, single_file: bool = False) -> No
 
     Every task writes its own file. ``single_file`` sends all rows through one task and is for small results only.
     """
-    out = df.coalesce(1) if single_file else df
+    out = df.repartition(1) if single_file else df
     out.write.mode("overwrite").option("header", True).csv(path)
 
 

@@ -9,13 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arborlog.functions.calendar import calendar_parts, parse_timestamp
-from arborlog.functions.encode import assemble, category_index, flag_encode, log_label, unlog_label
+from arborlog.functions.encode import assemble, category_index, flag_encode, log_label, to_double, unlog_label
 from arborlog.functions.geo import great_circle
+from arborlog.functions.linear import add_arrays, dot_arrays, scale_array
 from arborlog.operators import metrics as M
 from arborlog.operators.moments import moments, zscore
 from arborlog.operators.prefix import prefix_sums, tie_ranks
 from arborlog.operators.quality import Range, drop_nulls, null_profile, range_filter
-from arborlog.operators.sampling import hash_split
+from arborlog.operators.sampling import hash_split, in_part
 from arborlog.operators.splits import best_splits, node_stats
 from arborlog.plans import library as L
 from arborlog.plans.fraud import run_fraud
@@ -63,6 +64,37 @@ def labelled_scan(spark, sf_dir):
     return rounded(read_labelled(spark, path), 9, "amount", "hour_share")
 
 
+def csv_reordered(spark, sf_dir):
+    """Two files of one folder with their columns in another order."""
+    rows = V.table(spark, sf_dir, "events").select("event_id", "event_type", "value")
+    path = new_path(spark, "reordered-csv")
+    write_predictions(rows.filter("event_id % 2 = 0"), f"{path}/even")
+    write_predictions(rows.filter("event_id % 2 = 1").select("value", "event_type", "event_id"), f"{path}/odd")
+    return read_delimited(spark, f"{path}/*", "event_id bigint, event_type string, value double")
+
+
+def csv_repeated_header(spark, sf_dir):
+    """Lines equal to the header in the middle of the rows."""
+    rows = V.table(spark, sf_dir, "events").select(F.col("event_id").cast("string"), "event_type", "user_id")
+    heads = rows.filter("event_id % 100 = 0").select(F.lit("event_id").alias("event_id"), F.lit("event_type").alias("event_type"), F.lit("user_id").alias("user_id"))
+    path = new_path(spark, "joined-csv")
+    write_predictions(rows.withColumn("user_id", F.col("user_id").cast("string")).unionByName(heads), path)
+    return read_delimited(spark, path, "event_id bigint, event_type string, user_id bigint", drop=["user_id"], repeated_header=True)
+
+
+def cast_double(spark, sf_dir):
+    """Text to double; what is no number becomes null."""
+    rows = V.table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_totalprice").cast("string").alias("price"), F.col("o_orderstatus").alias("status"))
+    return to_double(rows, ["price", "status"])
+
+
+def array_steps(spark, sf_dir):
+    """A step along the sum of two arrays, as one gradient step on arrays has it."""
+    points = V.table(spark, sf_dir, "part").select("p_partkey", F.array(F.col("p_size").cast("double"), F.col("p_retailprice")).alias("a"))
+    moved = add_arrays(F.col("a"), scale_array(F.col("a"), -0.5))
+    return points.select("p_partkey", F.get(moved, F.lit(0)).alias("m0"), F.get(moved, F.lit(1)).alias("m1"), dot_arrays(F.col("a"), F.col("a")).alias("length2"))
+
+
 def preview_rows(spark, sf_dir):
     return preview(V.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice"), "o_orderkey")
 
@@ -280,6 +312,25 @@ def exact_tree_documents(spark, sf_dir):
     return rounded(rounded(model.table(spark), 2, "gain"), 4, "prediction")
 
 
+def _log_tree(spark, sf_dir, **params):
+    docs = V.documents(spark, sf_dir).withColumn("y", log_label(F.floor(F.col("n_chars") / 500)))
+    model = fit_tree(docs, V.DOC_FEATURES, "y", max_depth=5, **params)
+    return rounded(rounded(model.table(spark), 9, "gain"), 9, "prediction")
+
+
+def exact_tree_log(spark, sf_dir):
+    return _log_tree(spark, sf_dir)
+
+
+def exact_tree_cells(spark, sf_dir):
+    return _log_tree(spark, sf_dir, buckets=16)
+
+
+def exact_tree_deep(spark, sf_dir):
+    model = fit_tree(V.documents(spark, sf_dir), V.DOC_FEATURES, "n_chars", max_depth=10)
+    return rounded(rounded(model.table(spark), 3, "gain"), 4, "prediction")
+
+
 def tree_scores(spark, sf_dir):
     scored = score_tree(V.prices(spark, sf_dir), _price_tree(spark, sf_dir))
     by_leaf = scored.groupBy("prediction").agg(F.count("*").alias("n"), F.sum("cents").alias("cents"))
@@ -380,7 +431,7 @@ def wide_gradient(spark, sf_dir):
 
 
 def trip_job_exact(spark, sf_dir):
-    return rounded(run_trips(V.trips(spark, sf_dir), kind="exact", max_depth=3).metrics, 6, "value")
+    return rounded(run_trips(V.trips(spark, sf_dir), kind="exact").metrics, 6, "value")
 
 
 def trip_job_binned(spark, sf_dir):
@@ -394,7 +445,7 @@ def trip_job_categorical(spark, sf_dir):
 def trip_job_predictions(spark, sf_dir):
     """Training trips filtered, test trips not: every trip gets a prediction."""
     trips = V.trips(spark, sf_dir)
-    predictions = run_trips(trips, trips.drop(LABEL), "exact", max_depth=3).predictions
+    predictions = run_trips(trips, trips.drop(LABEL), "exact").predictions
     path = new_path(spark, "trip-predictions")
     write_predictions(predictions, path)
     return rounded(read_delimited(spark, path, "id bigint, trip_duration double"), 4, "trip_duration")
@@ -410,7 +461,20 @@ def fraud_job_library(spark, sf_dir):
     return rounded(found.report, 4, "value")
 
 
+def rare_split(spark, sf_dir):
+    rare = in_part(["l_orderkey"], 0.0004).alias("rare")
+    return V.table(spark, sf_dir, "lineitem").groupBy("l_linenumber", rare).agg(F.count("*").alias("n"))
+
+
 QUERIES: dict[str, Query] = {
+    "tree_exact_log": exact_tree_log,
+    "tree_exact_cells": exact_tree_cells,
+    "tree_exact_deep": exact_tree_deep,
+    "rare_split": rare_split,
+    "csv_reordered": csv_reordered,
+    "csv_repeated_header": csv_repeated_header,
+    "cast_double": cast_double,
+    "array_steps": array_steps,
     "csv_roundtrip": csv_roundtrip,
     "labelled_scan": labelled_scan,
     "preview_rows": preview_rows,

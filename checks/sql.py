@@ -50,8 +50,8 @@ def shape(name: str) -> str:
     return f"{name} AS ({SHAPES[name]})"
 
 
-def in_train(key: str) -> str:
-    return f"(('0x' || substr(md5(concat_ws('|', '24', {key}::VARCHAR)), 1, 8))::BIGINT % 10000 < 8000)"
+def in_train(key: str, share: float = 0.8) -> str:
+    return f"(('0x' || substr(md5(concat_ws('|', '24', {key}::VARCHAR)), 1, 8))::BIGINT < {round(share * 2**32)})"
 
 
 def km(lon1: str, lat1: str, lon2: str, lat2: str) -> str:
@@ -77,11 +77,15 @@ KEPT = """trip_duration > 0 AND trip_duration < 36000 AND passenger_count >= 1 A
 GAIN = "(ln * (tn - ln) / (tn * tn)) * ((ls / ln - (ts - ls) / (tn - ln)) * (ls / ln - (ts - ls) / (tn - ln)))"
 
 
-def tree_ctes(source: str, features: Sequence[str], depth: int, start: str = "1::BIGINT") -> list[str]:
-    ctes = [f"l0 AS (SELECT *, {start} AS node FROM {source})"]
+def tree_ctes(source: str, features: Sequence[str], depth: int, start: str = "1::BIGINT", real: bool = False) -> list[str]:
+    """Levels of the exact tree. ``real`` labels are centred in ``yc``, and their gains compared to 12 digits."""
+    y = "yc" if real else "y"
+    middle = f", y - (SELECT avg(y) FROM {source} WHERE fit) AS yc" if real else ""
+    by_size = "floor(log10(gain)) DESC, round(gain * pow(10, 11 - floor(log10(gain)))) DESC" if real else "gain DESC"
+    ctes = [f"l0 AS (SELECT *, {start} AS node{middle} FROM {source})"]
     for d in range(depth):
         long = " UNION ALL ".join(
-            f"SELECT node, {i} AS feature, {f}::DOUBLE AS value, y FROM l{d} WHERE fit AND node >= {2**d}"
+            f"SELECT node, {i} AS feature, {f}::DOUBLE AS value, {y} AS y FROM l{d} WHERE fit AND node >= {2**d}"
             for i, f in enumerate(features)
         )
         pick = " ".join(f"WHEN {i} THEN {f}::DOUBLE" for i, f in enumerate(features))
@@ -92,8 +96,11 @@ def tree_ctes(source: str, features: Sequence[str], depth: int, start: str = "1:
                 WINDOW o AS (PARTITION BY node, feature ORDER BY value), p AS (PARTITION BY node, feature))""",
             f"""g{d} AS (SELECT node, feature, (value + nv) / 2 AS threshold, {GAIN} AS gain
                 FROM r{d} WHERE nv IS NOT NULL)""",
-            f"""b{d} AS (SELECT * FROM g{d} WHERE gain > 0
-                QUALIFY row_number() OVER (PARTITION BY node ORDER BY gain DESC, feature, threshold) = 1)""",
+            f"""m{d} AS (SELECT node, min({y}) AS lowest, max({y}) AS highest, var_pop({y}) AS variance
+                FROM l{d} WHERE fit AND node >= {2**d} GROUP BY node)""",
+            f"""b{d} AS (SELECT g.* FROM g{d} g JOIN m{d} USING (node)
+                WHERE gain > 0 AND lowest < highest AND gain > 1e-12 * variance
+                QUALIFY row_number() OVER (PARTITION BY node ORDER BY {by_size}, feature, threshold) = 1)""",
             f"""l{d + 1} AS (SELECT l.* EXCLUDE (node), CASE WHEN b.node IS NULL THEN l.node
                 WHEN (CASE b.feature {pick} END) <= b.threshold THEN 2 * l.node ELSE 2 * l.node + 1 END AS node
                 FROM l{d} l LEFT JOIN b{d} b ON l.node = b.node)""",
@@ -126,9 +133,12 @@ LOG_TRIPS = [
     shape("trips"), FEATURED,
     f"""source AS (SELECT *, ln(1 + trip_duration) AS y, {KEPT} AND {in_train('id')} AS fit,
         {KEPT} AND NOT {in_train('id')} AS held_out FROM featured)""",
-    *tree_ctes("source", TRIP_FEATURES, 3),
-    leaf_means(3),
+    *tree_ctes("source", TRIP_FEATURES, 5, real=True),
+    leaf_means(5),
 ]
+LOG_DOC_SOURCE = "source AS (SELECT *, ln(1 + n_chars // 500) AS y, true AS fit FROM docs)"
+LOG_DOCS = [shape("docs"), LOG_DOC_SOURCE, *tree_ctes("source", DOC_FEATURES, 5, real=True), model_cte(5)]
+DEEP_DOCS = [shape("docs"), DOC_SOURCE, *tree_ctes("source", DOC_FEATURES, 10), model_cte(10)]
 
 
 def shares(source: str, split: bool = False) -> str:
@@ -416,10 +426,10 @@ ORACLES: dict[str, str] = {
         """SELECT metric, round(value, 6) AS value FROM (UNPIVOT m ON rmse, r2 INTO NAME metric VALUE value)""",
         *LOG_TRIPS,
         f"""m AS (SELECT * EXCLUDE (n) FROM (SELECT {REGRESSION} FROM (
-            SELECT exp(mean) - 1 AS prediction, trip_duration AS label FROM l3 JOIN leaf USING (node) WHERE held_out)))""",
+            SELECT exp(mean) - 1 AS prediction, trip_duration AS label FROM l5 JOIN leaf USING (node) WHERE held_out)))""",
     ),
     "trip_job_predictions": query(
-        "SELECT id, round(exp(mean) - 1, 4) AS trip_duration FROM l3 JOIN leaf USING (node)", *LOG_TRIPS
+        "SELECT id, round(exp(mean) - 1, 4) AS trip_duration FROM l5 JOIN leaf USING (node)", *LOG_TRIPS
     ),
     "fraud_job_descent": query(
         report("scored", 9),
@@ -432,6 +442,19 @@ ORACLES: dict[str, str] = {
 }
 ORACLES["auc_rank_bucketed"] = ORACLES["auc_rank"]
 ORACLES["best_split_bucketed"] = ORACLES["best_split"]
+ORACLES["tree_exact_log"] = query(
+    """SELECT node_id, depth::INTEGER AS depth, feature::INTEGER AS feature, threshold::DOUBLE AS threshold,
+    round(gain::DOUBLE, 9) AS gain, n::BIGINT AS n, round(prediction, 9) AS prediction FROM model""",
+    *LOG_DOCS,
+)
+ORACLES["tree_exact_cells"] = ORACLES["tree_exact_log"]
+ORACLES["tree_exact_deep"] = query(MODEL_COLUMNS.replace("round(gain::DOUBLE, 2)", "round(gain::DOUBLE, 3)"), *DEEP_DOCS)
+ORACLES["rare_split"] = f"""SELECT l_linenumber, {in_train('l_orderkey', 0.0004)} AS rare, count(*) AS n FROM lineitem GROUP BY ALL"""
 ORACLES["auc_scores"] = ORACLES["auc_rank"].replace(
     "SELECT round(auc, 9) AS auc FROM", "SELECT round(auc, 9) AS auc, (SELECT count(*) FROM lineitem) AS n FROM"
 )
+ORACLES["csv_reordered"] = "SELECT event_id, event_type, value FROM events"
+ORACLES["csv_repeated_header"] = "SELECT event_id, event_type FROM events"
+ORACLES["cast_double"] = "SELECT o_orderkey, o_totalprice AS price, NULL::DOUBLE AS status FROM orders"
+ORACLES["array_steps"] = """SELECT p_partkey, p_size::DOUBLE + p_size::DOUBLE * -0.5::DOUBLE AS m0, p_retailprice + p_retailprice * -0.5::DOUBLE AS m1,
+    p_size::DOUBLE * p_size::DOUBLE + p_retailprice * p_retailprice AS length2 FROM part"""

@@ -33,12 +33,29 @@ def test_delimited_files(spark, tmp_path):
 def test_repeated_header(spark, tmp_path):
     (tmp_path / "a.csv").write_text("id,v\n1,2.5\nid,v\n2,x\n")
     (tmp_path / "b.csv").write_text("id,v\n3,4\n")
-    df = read_delimited(spark, str(tmp_path), "id int, v double", repeated_header=True)
+    df = read_delimited(spark, str(tmp_path), "id int, v double", repeated_header=True, mode="permissive")
     assert sorted(map(tuple, df.collect()), key=lambda r: r[0]) == [(1, 2.5), (2, None), (3, 4.0)]
+    with pytest.raises(Exception, match="no double in column v: x"):
+        read_delimited(spark, str(tmp_path), "id int, v double", repeated_header=True).collect()
     with pytest.raises(ValueError):
         read_delimited(spark, str(tmp_path), infer=True, repeated_header=True)
 
 
+def test_columns_are_found_by_name_in_each_file(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("a,b,y\n1,2,3\n")
+    (tmp_path / "b.csv").write_text("y,b,a\n6,5,4\n")
+    (tmp_path / "c.csv").write_text("a,b,y\n7,8,9\n")
+    (tmp_path / "_empty.csv").write_text("")
+    want = [(1.0, 2.0, 3.0), (4.0, 5.0, 6.0), (7.0, 8.0, 9.0)]
+    assert sorted(map(tuple, read_labelled(spark, str(tmp_path)).collect())) == want
+    assert sorted(map(tuple, read_delimited(spark, str(tmp_path), "y int, a int").collect())) == [(3, 1), (6, 4), (9, 7)]
+    with pytest.raises(ValueError, match="no column z"):
+        read_delimited(spark, str(tmp_path), "a int, z int")
+    (tmp_path / "d.csv").write_text("a,b,y\n1,x,3\n")
+    with pytest.raises(Exception, match="no int in column b: x"):
+        read_delimited(spark, str(tmp_path), "a int, b int").collect()
+
+
 def test_labelled_file(spark, tmp_path):
     path = tmp_path / "cards.csv"
     path.write_text('"Time","V1","Class"\n0,"-1.5","0"\n1,2e-1,"1"\n')

@@ -274,3 +274,33 @@ def test_grid_search_takes_the_first_of_equals(spark):
     assert got == [({"max_depth": 1}, False), ({"max_depth": 3}, True), ({"max_depth": 3}, False)]
     assert found.params == {"max_depth": 3} and found.model.getMaxDepth() == 3
     assert found.model.getPredictionCol() == "prediction"
+
+
+@pytest.mark.parametrize("buckets", [1, 8])
+@pytest.mark.parametrize("parts", [1, 3, 7])
+def test_tree_stops_at_equal_real_labels(spark, buckets, parts):
+    """Sums of doubles differ in their last digits; that is no gain."""
+    for value in (0.1, math.log1p(455), 1e9 + 0.1):
+        rows = [(float(i), float(i % 3), value) for i in range(60)]
+        df = spark.createDataFrame(rows, "a double, b double, y double").repartition(parts)
+        assert len(fit_tree(df, ["a", "b"], "y", 4, buckets=buckets).nodes) == 1
+    values = [math.log1p(v) for v in (3, 455, 10, 77)]
+    rows = [(float(i % 400), float(i % 7), values[i % 400 // 100]) for i in range(2000)]
+    df = spark.createDataFrame(rows, "a double, b double, y double").repartition(parts)
+    model = fit_tree(df, ["a", "b"], "y", 5, buckets=buckets)
+    assert len(model.nodes) == 7
+    assert sorted(n.prediction for n in model.nodes if n.feature is None) == pytest.approx(sorted(values), abs=1e-12)
+
+
+def test_gain_of_small_differences_between_large_labels(spark):
+    df = spark.createDataFrame([(1.0, 1e9), (2.0, 1e9 + 0.001)], "a double, y double")
+    assert fit_tree(df, ["a"], "y", 1).nodes[0].gain == pytest.approx(2.5e-7, rel=1e-3)
+
+
+def test_descent_refuses_nulls_and_thresholds_keep_them(spark):
+    df = spark.createDataFrame([(1.0, 1.0), (2.0, 0.0), (None, 1.0)], "x double, y double")
+    with pytest.raises(ValueError, match="1 rows have a null"):
+        fit_logistic_gd(df, ["x"], "y", iterations=2)
+    model = fit_logistic_gd(df.dropna(), ["x"], "y", iterations=2)
+    got = {r.x: (r.probability, r.prediction) for r in score_logistic(df, model).collect()}
+    assert got[None] == (None, None) and got[1.0][1] in (0.0, 1.0)

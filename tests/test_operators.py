@@ -53,6 +53,9 @@ def test_hash_split_is_stable_and_complete(spark):
     other = {r[0] for r in hash_split(df, "id", seed=7)[0].select("id").collect()}
     assert other != parts[0]
     assert hash_split(df, "id", 1.0)[1].count() == 0
+    many = spark.range(200_000)
+    few = hash_split(many, "id", 0.0004)[0].count()
+    assert 40 < few < 130 and hash_split(many, "id", 0.9996)[1].count() in range(40, 130)
 
 
 def test_moments(spark):
@@ -75,7 +78,7 @@ def test_buckets_follow_the_sort_order(spark):
     assert numbers == sorted(numbers) and len(set(numbers)) > 4
     per_value = with_buckets(df, {"v": "b"}, bounds).groupBy("v").agg(F.countDistinct("b").alias("d"))
     assert per_value.filter("d > 1").count() == 0
-    assert bucket_count(10) == 1 and bucket_count(10**13) == 4096
+    assert bucket_count(10) == 8 and bucket_count(10**13) == 65_536
     # Bounds from a part of the rows cut just as well.
     many = spark.range(20000).selectExpr("CAST(id AS DOUBLE) AS v")
     cut = with_buckets(many, {"v": "b"}, quantile_bounds(many, ["v"], 4, rows=20000)).groupBy("b").count().collect()
@@ -197,3 +200,9 @@ def test_report_and_delta(spark):
     now = frame(spark, [("rmse", 3.0), ("r2", 0.5)], "metric string, value double")
     before = frame(spark, [("rmse", 5.0), ("r2", 0.25)], "metric string, value double")
     assert {tuple(r) for r in M.metric_delta(now, before).collect()} == {("rmse", 3.0, 5.0, -2.0), ("r2", 0.5, 0.25, 0.25)}
+
+
+def test_auc_leaves_out_rows_without_a_score(spark):
+    rows = [(0, 0.1), (0, 0.4), (1, 0.35), (1, 0.8), (1, None), (0, float("nan"))]
+    df = frame(spark, rows, "y int, s double")
+    assert M.auc_rank(df, "y", "s").first()["auc"] == pytest.approx(0.75)
