@@ -29,6 +29,9 @@ def main() -> None:
     trips.add_argument("output")
     trips.add_argument("--tree", choices=["binned", "categorical", "exact"], default="binned")
     trips.add_argument("--single-file", action="store_true", help="write one file through one task (small results only)")
+    trips.add_argument(
+        "--handle-invalid", choices=["keep", "skip", "error"], default="keep", help="what a missing value in a test trip does"
+    )
     fraud = jobs.add_parser("fraud", help="card fraud by logistic regression")
     fraud.add_argument("path")
     fraud.add_argument("output", help="folder for the terms and the report")
@@ -40,7 +43,7 @@ def main() -> None:
     builder = SparkSession.builder.appName(f"arborlog-{args.job}").config("spark.sql.codegen.hugeMethodLimit", "8000")
     spark = builder.getOrCreate()
     if args.job == "trips":
-        result = run_trip_files(spark, args.train, args.test, args.output, args.tree, args.single_file)
+        result = run_trip_files(spark, args.train, args.test, args.output, args.tree, args.single_file, args.handle_invalid)
         tables = {"metrics": result.metrics, "importance": result.importance, "rules": result.rules, "search": result.search}
         for name, table in tables.items():
             if table is not None:

@@ -37,7 +37,8 @@ def run_fraud(
     """The job on a table of numeric columns and a 0/1 label.
 
     ``keys`` identify a row for the split; without them all columns together do. ``solver`` is ``lbfgs`` (library) or ``gd``
-    (batch gradient descent; give ``scale=True`` for z-scores fitted on the training part).
+    (batch gradient descent; give ``scale=True`` for z-scores fitted on the training part). Training refuses rows with a missing
+    value; a test row with one gets a null probability and prediction.
     """
     keys = keys or df.columns
     features = feature_columns(df, label, drop=[k for k in keys if keys != df.columns])
@@ -52,9 +53,11 @@ def run_fraud(
         fitted = fit_logistic(assemble(train, features), label, **params)
         model = as_linear_model(fitted, features)
         parts = {
-            name: fitted.transform(assemble(part, features))
-            .withColumn("probability", F.get(vector_to_array("probability"), F.lit(1)))
-            .drop("features", "rawPrediction")
+            name: _without_unknown(
+                fitted.transform(assemble(part, features, handle_invalid="keep"))
+                .withColumn("probability", F.get(vector_to_array("probability"), F.lit(1)))
+                .drop("features", "rawPrediction")
+            )
             for name, part in (("train", train), ("test", test))
         }
     else:
@@ -62,6 +65,12 @@ def run_fraud(
     return FraudResult(model, metric_report(parts, label, "prediction", "probability"), parts["train"], parts["test"])
 
 
+def _without_unknown(scored: DataFrame) -> DataFrame:
+    """Rows with a missing feature have no probability and no decision, as with the other solver."""
+    known = ~F.isnan("probability")
+    return scored.withColumns({c: F.when(known, F.col(c)) for c in ("probability", "prediction")})
+
+
 def run_fraud_file(spark: SparkSession, path: str, solver: str = "lbfgs", scale: bool = False) -> FraudResult:
     """The job on a file of numbers whose last column is the label."""
     df = read_labelled(spark, path).persist(StorageLevel.MEMORY_AND_DISK)

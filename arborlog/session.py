@@ -27,7 +27,8 @@ def shared_folder(spark: SparkSession) -> str:
     named = spark.conf.get(CHECKPOINT_SETTING, None) or context.getConf().get(CHECKPOINT_SETTING)
     if named:
         return named
-    if not context.master.startswith("local"):
+    # ``local-cluster`` has executors of their own, so it is a cluster here.
+    if context.master != "local" and not context.master.startswith("local["):
         raise ValueError(f"set {CHECKPOINT_SETTING} to a folder that all executors share")
     app = context.applicationId
     if app not in _local_folders:

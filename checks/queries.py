@@ -337,6 +337,15 @@ def tree_scores(spark, sf_dir):
     return rounded(by_leaf, 4, "prediction")
 
 
+def tree_scores_with_nulls(spark, sf_dir):
+    """Rows whose quantity or tax is missing; a missing value goes right."""
+    prices = V.prices(spark, sf_dir)
+    gaps = prices.withColumns({c: F.when(F.col("cents") % k != 0, F.col(c)) for c, k in (("l_quantity", 3), ("l_tax", 5))})
+    scored = score_tree(gaps, _price_tree(spark, sf_dir))
+    by_leaf = scored.groupBy("prediction").agg(F.count("*").alias("n"), F.sum("cents").alias("cents"))
+    return rounded(by_leaf, 4, "prediction")
+
+
 def tree_rules(spark, sf_dir):
     return _price_tree(spark, sf_dir).rules(spark).drop("position")
 
@@ -471,6 +480,7 @@ QUERIES: dict[str, Query] = {
     "tree_exact_cells": exact_tree_cells,
     "tree_exact_deep": exact_tree_deep,
     "rare_split": rare_split,
+    "tree_score_nulls": tree_scores_with_nulls,
     "csv_reordered": csv_reordered,
     "csv_repeated_header": csv_repeated_header,
     "cast_double": cast_double,

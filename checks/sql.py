@@ -458,3 +458,12 @@ ORACLES["csv_repeated_header"] = "SELECT event_id, event_type FROM events"
 ORACLES["cast_double"] = "SELECT o_orderkey, o_totalprice AS price, NULL::DOUBLE AS status FROM orders"
 ORACLES["array_steps"] = """SELECT p_partkey, p_size::DOUBLE + p_size::DOUBLE * -0.5::DOUBLE AS m0, p_retailprice + p_retailprice * -0.5::DOUBLE AS m1,
     p_size::DOUBLE * p_size::DOUBLE + p_retailprice * p_retailprice AS length2 FROM part"""
+ORACLES["tree_score_nulls"] = query(
+    "SELECT round(mean, 4) AS prediction, count(*) AS n, sum(cents)::BIGINT AS cents FROM l2 JOIN leaf USING (node) WHERE NOT fit GROUP BY ALL",
+    shape("prices"),
+    """source AS (SELECT *, cents AS y, true AS fit FROM prices UNION ALL BY NAME
+        SELECT * REPLACE (CASE WHEN cents % 3 <> 0 THEN l_quantity END AS l_quantity, CASE WHEN cents % 5 <> 0 THEN l_tax END AS l_tax),
+        cents AS y, false AS fit FROM prices)""",
+    *tree_ctes("source", PRICE_FEATURES, 2),
+    leaf_means(2),
+)
