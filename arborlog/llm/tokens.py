@@ -16,7 +16,7 @@ from arborlog.llm.common import written
 
 BYTES_PER_ID = 4
 #: Words whose ids a task remembers, twice so many at most: those met lately and those met before them.
-REMEMBERED = 150_000
+REMEMBERED = 250_000
 #: New words that are encoded as lines of one text.
 LINES = 1000
 #: Characters of the texts that are encoded together.
@@ -45,31 +45,43 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         (self.line_break,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        self.break_ids = array.array("I", [self.line_break]).tobytes()
         self.lately: dict[str, bytes] = {}
         self.before: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
         return array.array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def _new(self, words: list[str]) -> Iterator[tuple[str, bytes]]:
-        """The ids of words after a space, many at a time: lines of one word each are split again at the line break's id."""
-        plain = [w for w in words if "\n" not in w]
-        for i in range(0, len(plain), LINES):
-            some = plain[i : i + LINES]
-            (coded,) = self.tokenizer.encode_batch_fast([" " + "\n ".join(some) + "\n"], add_special_tokens=False)
+    def _lines(self, words: list[str], before: str) -> Iterator[tuple[str, bytes]]:
+        """Words and their ids, many at a time, as lines of one word each after ``before``; the line break's id parts them."""
+        for i in range(0, len(words), LINES):
+            some = words[i : i + LINES]
+            text = "".join([f"{before}{w}\n" for w in some])
+            (coded,) = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
             ids = np.array(coded.ids, "<u4")
             cuts = [-1, *np.flatnonzero(ids == self.line_break).tolist()]
             raw = ids.tobytes()
             yield from zip(some, [raw[4 * a + 4 : 4 * b] for a, b in zip(cuts, cuts[1:])], strict=True)
-        yield from ((w, self.whole(" " + w)) for w in words if "\n" in w)
 
     def _words(self, words: list[str]) -> list[bytes]:
-        """The ids of each word after a space."""
+        """The ids of each word after a space.
+
+        What stands before and after a line break, and a full stop or comma after a letter, are tokens of their own.
+        """
         if len(self.lately) >= REMEMBERED:
             self.before, self.lately = self.lately, {}
         lately, before = self.lately, self.before
         lately.update((w, before[w]) for w in words if w in before)
-        lately.update(self._new([w for w in words if w not in lately]))
+        parts = {w: _parts(w) for w in words if w not in lately}
+        whole = [w for w, own in parts.items() if not own]
+        lately.update((w, self.whole(" " + w)) for w in whole)
+        needed = {p for own in parts.values() for p in own}
+        lately.update((p, before[p]) for p in needed if p in before and p not in lately)
+        missing = [p for p in needed if p not in lately and p[0] != " "]
+        lately.update(self._lines([p for p in missing if p[0] != "\n"], " "))
+        lately.update((f"\n{w}", self.break_ids + ids) for w, ids in self._lines([p[1:] for p in missing if p[0] == "\n"], ""))
+        lately.update((f" {p}", self.whole(p)) for p in ".,")
+        lately.update((w, b"".join([lately[p] for p in own])) for w, own in parts.items() if own)
         return [lately[w] for w in words]
 
     def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
@@ -109,6 +121,23 @@ class Encoder:
         return ids, np.diff(np.append(0, upto[ends]))
 
 
+def _parts(word: str) -> list[str]:
+    """The pieces of a word that are encoded apart; none if it is to be encoded in one.
+
+    These are its lines, all but the first after their line break, and of each a last full stop or comma, which is written after
+    a space, where no word has one.
+    """
+    out = []
+    for i, line in enumerate(word.split("\n")):
+        if not line or line[0].isspace() or line[-1].isspace():
+            return []
+        tail = line[-1]
+        cut = tail in ".," and len(line) > 1 and line[-2].isascii() and line[-2].isalnum()
+        stem = line[:-1] if cut else line
+        out += [f"\n{stem}" if i else stem, *([f" {tail}"] if cut else [])]
+    return out
+
+
 def _slices(texts: pa.Array, parts: pa.Array) -> Iterator[tuple[int, int]]:
     """Row ranges of one part each and about ``TOGETHER_CHARS`` characters."""
     upto = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)) // TOGETHER_CHARS

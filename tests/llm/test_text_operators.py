@@ -236,7 +236,7 @@ def test_encoder_matches_whole_encoding():
     import pyarrow as pa
 
     rng = random.Random(7)
-    pieces = ["a", "b", " ", "  ", "\n", "'s", "'", "1", ".", "!?", "\t", "\xa0", "　", "é", "日本", "\x1c", "\x85", "<|endoftext|>", "😀", "\r\n", "-"]
+    pieces = ["a", "b", " ", "  ", "\n", "'s", "'", "1", ".", "!?", "\t", "\xa0", "　", "é", "日本", "\x1c", "\x85", "<|endoftext|>", "😀", "\r\n", "-", "x.\nY", "b,", "\x00", "7."]
     texts = ["".join(rng.choice(pieces) for _ in range(rng.randint(0, 12))) for _ in range(3000)] + [None, ""]
     encoder = tokens.Encoder(tokens.tokenizer_path())
     for _ in range(2):  # the second time from memory
