@@ -13,10 +13,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Trees and bits of a hash string.
-TREES, HASH_BITS = 32, 32
+TREES, HASH_BITS = 64, 32
 #: Candidates of a query, as a share of the vectors of a shard. Without clusters in the data, near vectors share short prefixes
 #: only, and recall follows this share.
-CANDIDATE_SHARE = 0.6
+CANDIDATE_SHARE = 0.65
 #: Vectors of a shard and queries of a block, on average; a task holds one of each.
 SHARD_ROWS, QUERY_ROWS = 16_384, 4_096
 SEED = 11
