@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from arborlog.operators.prefix import prefix_sums
+from arborlog.session import reliable_checkpoint
 
 
 def join_predictions(predictions: DataFrame, labels: DataFrame, key: str) -> DataFrame:
@@ -38,6 +39,11 @@ def class_metrics(
 
     A share of nothing is 0.0: precision of a label never predicted, recall of a label never present.
     """
+    return _shares(confusion(df, label, prediction, by), labels, by)
+
+
+def _shares(counts: DataFrame, labels: Sequence[float], by: Sequence[str]) -> DataFrame:
+    """``class_metrics`` of a table of counts (``label, prediction, n``)."""
     n, is_label, is_predicted = F.col("n"), F.col("label"), F.col("prediction")
 
     def rows_where(condition: Column) -> Column:
@@ -60,7 +66,7 @@ def class_metrics(
     for i, value in enumerate(labels):
         rows.append(row("precision", value, _share(F.col(f"hit{i}"), F.col(f"predicted{i}"))))
         rows.append(row("recall", value, _share(F.col(f"hit{i}"), F.col(f"present{i}"))))
-    return confusion(df, label, prediction, by).groupBy(*by).agg(*totals).select(*by, F.inline(F.array(*rows)))
+    return counts.groupBy(*by).agg(*totals).select(*by, F.inline(F.array(*rows)))
 
 
 def auc_rank(
@@ -159,9 +165,10 @@ def metric_report(
     """``split, metric, label, value`` for named parts such as train and test.
 
     Holds accuracy, precision and recall per label, ``auc_hard`` (AUC of the hard predictions) and, with a ``score``
-    column, ``auc`` (AUC of the scores).
+    column, ``auc`` (AUC of the scores). Every part is read once: its counts by label, prediction and score are kept in the
+    shared folder, and all metrics come from them.
     """
-    columns = {"_y": F.col(label), "_p": F.col(prediction)} | ({"_s": F.col(score)} if score else {})
+    columns = {"label": F.col(label), "prediction": F.col(prediction)} | ({"score": F.col(score)} if score else {})
     stacked = reduce(
         DataFrame.unionByName,
         [
@@ -169,12 +176,13 @@ def metric_report(
             for name, df in parts.items()
         ],
     )
-    report = class_metrics(stacked, "_y", "_p", labels, by=["split"])
-    # The counts per label and prediction say all about the hard predictions; a handful of rows needs one bucket.
-    counts = confusion(stacked, "_y", "_p", by=["split"])
-    curves = {"auc_hard": auc_rank(counts, "label", "prediction", by=["split"], buckets=1, weight="n")}
+    kept = reliable_checkpoint(stacked.groupBy("split", *columns).agg(F.count("*").alias("n")))
+    counts = kept.groupBy("split", "label", "prediction").agg(F.sum("n").alias("n"))
+    report = _shares(counts, labels, ["split"])
+    # A prediction that is no label is a score like any other, so no bucket holds them all.
+    curves = {"auc_hard": auc_rank(counts, "label", "prediction", by=["split"], weight="n")}
     if score:
-        curves["auc"] = auc_rank(stacked, "_y", "_s", by=["split"])
+        curves["auc"] = auc_rank(kept, "label", "score", by=["split"], weight="n")
     for name, curve in curves.items():
         report = report.unionByName(
             curve.select(

@@ -74,4 +74,8 @@ def _without_unknown(scored: DataFrame) -> DataFrame:
 def run_fraud_file(spark: SparkSession, path: str, solver: str = "lbfgs", scale: bool = False) -> FraudResult:
     """The job on a file of numbers whose last column is the label."""
     df = read_labelled(spark, path).persist(StorageLevel.MEMORY_AND_DISK)
-    return run_fraud(df, solver=solver, scale=scale)
+    try:
+        return run_fraud(df, solver=solver, scale=scale)
+    finally:
+        # The report stands on counts of its own; the scored parts read the file again if they are used.
+        df.unpersist()
