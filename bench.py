@@ -33,6 +33,9 @@ HEADLINE = [
     "best_split",
     "tree_exact",
     "tree_exact_documents",
+    "tree_exact_log",
+    "tree_exact_cells",
+    "tree_exact_deep",
     "tree_score",
     "tree_binned",
     "tree_categorical",
