@@ -128,6 +128,12 @@ def test_op7(spark, texts):
         assert set(joined.split(",")) - {""} <= set(out[i].spans.split(","))
 
 
+def test_op8_against_its_sql(spark):
+    from checks.compare import connect, differences
+
+    assert differences(contract.queries()["op8_systematic_mix"](spark, SMALL), connect(SMALL), contract.oracle_sql()["op8_systematic_mix"]) == []
+
+
 def test_op9(spark, texts):
     out, ids = by_doc(run(spark, "op9_simhash_bktree")), list(texts)
     fps = [plain_simhash(texts[i]) for i in ids]
