@@ -19,10 +19,10 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-LANES = 32
+LANES = 128
 #: A block is closed by the document that brings it to so many ids.
 BLOCK_IDS = 32_768
-CHECKPOINT_STEPS = 256
+CHECKPOINT_STEPS = 128
 #: Blocks that a task codes side by side hold about so many ids.
 TOGETHER_IDS = 1_500_000
 MIN_SCALE_BITS = 16
@@ -47,6 +47,7 @@ class Table:
         if total != 1 << self.bits:
             raise ValueError("the frequencies of a table add up to a power of two")
         self.starts = np.cumsum(self.freqs) - self.freqs
+        self.place: np.ndarray | None = None
         self.crc32 = zlib.crc32(self.ids.astype("<u4").tobytes() + self.freqs.astype("<u8").tobytes())
 
     @classmethod
@@ -60,8 +61,11 @@ class Table:
 
     def positions(self, ids: np.ndarray) -> np.ndarray:
         """Of ids in the table; an id that was not counted is an error."""
-        at = np.searchsorted(self.ids, ids)
-        at[at == len(self.ids)] = 0
+        if self.place is None:
+            # As long as the largest id, so one look-up finds a position; the last entry is for ids beyond.
+            self.place = np.zeros(int(self.ids[-1]) + 2, np.uint32)
+            self.place[self.ids] = np.arange(len(self.ids), dtype=np.uint32)
+        at = self.place[np.minimum(ids, np.uint32(len(self.place) - 1))]
         if not np.array_equal(self.ids[at], ids):
             raise ValueError("an id is not in the table")
         return at
@@ -94,7 +98,8 @@ def encode_blocks(blocks: list[np.ndarray], table: Table, lanes: int = LANES) ->
     marks: dict[int, np.ndarray] = {}
     for t in range(depth - 1, -1, -1):
         n = int(active[t])
-        freq, start, now = table.freqs[at[t, :n]], table.starts[at[t, :n]], x[:n]
+        symbol, now = at[t, :n].astype(np.intp), x[:n]
+        freq, start = table.freqs[symbol], table.starts[symbol]
         full = now >= limit * freq
         given[t, :n] = full
         words[t, :n] = (now & WORD_MASK).astype(np.uint32)
@@ -128,19 +133,24 @@ def decode_blocks(sizes: np.ndarray, states: list[bytes], words: list[bytes], ta
     stream = np.frombuffer(b"".join([*(words[b] for b in order), b"\0\0\0\0"]), "<u4").astype(np.uint64)
     place = np.cumsum(lengths) - lengths
     x = np.frombuffer(b"".join(states[b] for b in order), "<u8").reshape(-1, lanes).astype(np.uint64)
+    # Of each slot of the scale its symbol, the symbol's frequency, and how far the slot is from the symbol's first.
     slots = np.repeat(np.arange(len(table.ids), dtype=np.uint32), table.freqs.astype(np.int64))
+    wide, past = table.freqs[slots], np.arange(len(slots), dtype=np.uint64) - table.starts[slots]
     shift, mask = np.uint64(table.bits), np.uint64((1 << table.bits) - 1)
     at = np.zeros((depth, len(order), lanes), np.uint32)
     for t in range(depth):
         n = int(active[t])
-        slot = x[:n] & mask
-        at[t, :n] = symbol = slots[slot.astype(np.int64)]
-        now = table.freqs[symbol] * (x[:n] >> shift) + slot - table.starts[symbol]
+        slot = (x[:n] & mask).astype(np.intp)
+        at[t, :n] = slots[slot]
+        now = wide[slot] * (x[:n] >> shift) + past[slot]
         empty = now < LOW
-        upto = np.cumsum(empty, axis=1)
-        asked = np.minimum(place[:n, None] + upto - empty, len(stream) - 1)
-        x[:n] = np.where(empty, (now << WORD_BITS) | stream[asked], now)
-        place[:n] += upto[:, -1]
+        # Lanes in need take the next words of their block, in the order of the lanes.
+        asked = empty.sum(axis=1)
+        lane_block = np.repeat(np.arange(n), asked)
+        order_in = np.arange(len(lane_block)) - np.repeat(np.cumsum(asked) - asked, asked)
+        now[empty] = (now[empty] << WORD_BITS) | stream[place[lane_block] + order_in]
+        x[:n] = now
+        place[:n] += asked
     out: list[np.ndarray] = [np.zeros(0, np.uint32)] * len(order)
     for column, b in enumerate(order):
         out[b] = table.ids[at[: steps[column], column].reshape(-1)[: sizes[b]]]
