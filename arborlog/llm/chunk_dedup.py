@@ -104,28 +104,27 @@ def _chunk_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """Passages of ``docs`` (doc_id, text) that occur in several documents: doc_id, start, end, words, chunks, first_doc_id.
 
-    A passage is a longest run of neighbouring chunks each of which another document holds too, with at least ``min_words``
-    words begun in it; start and end are code points of the whole text. ``first_doc_id`` is the smallest document that holds the
-    rarest chunk of the run; the passage of that document is the one to keep. Digests have 64 bits; a passage is several chunks in
-a row, so that chance makes none. A document whose passages are its own has no row,
-    nor has a null or empty text or a row without an id. Repeated rows of one id are one document.
+    A repeated passage is a longest run of neighbouring chunks each of which another document holds too, with at least
+    ``min_words`` words begun in it. It has a row for each stretch of chunks with one ``first_doc_id``, the smallest document that
+    has the chunk in a passage; that document's copy is the one to keep. So the rows of a chunk name the same document, which has
+    a row itself, however the copies are edited. start and end are code points of the whole text. Digests have 64 bits; a passage
+    is several chunks in a row, so that chance makes none. A document whose passages are its own has no row, nor has a null or
+    empty text or a row without an id. Repeated rows of one id are one document.
     """
     rows = docs.filter("doc_id IS NOT NULL").select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     schema = "digest bigint, row bigint, doc_id bigint, seq int, start int, end int, words int"
     chunks = written(rows.mapInPandas(_chunk_rows, schema), "chunks")
-    held = chunks.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.count("*").alias("n"))
-    shared = held.filter("first <> last").select("digest", "first", "n")
+    held = chunks.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
+    shared = held.filter("first <> last").select("digest")
     # Digests that one document has alone leave here; the rest keep the chunks' side, which adaptive execution may split.
-    repeated = chunks.join(shared, "digest").drop("digest")
-    order = Window.partitionBy("row").orderBy("seq")
-    run = F.col("seq") - F.row_number().over(order)
-    runs = repeated.withColumn("run", run).groupBy("row", "doc_id", "run")
-    passages = runs.agg(
-        F.min("start").alias("start"),
-        F.max("end").alias("end"),
-        F.sum("words").alias("words"),
-        F.count("*").alias("chunks"),
-        F.min(F.struct("n", "first")).alias("rarest"),
-    )
-    kept = passages.filter(F.col("words") >= min_words)
-    return kept.select("doc_id", "start", "end", "words", "chunks", F.col("rarest.first").alias("first_doc_id"))
+    repeated = chunks.join(shared, "digest")
+    run = F.col("seq") - F.row_number().over(Window.partitionBy("row").orderBy("seq"))
+    own = Window.partitionBy("row", "run")
+    runs = repeated.withColumn("run", run).withColumn("run_words", F.sum("words").over(own))
+    passages = written(runs.filter(F.col("run_words") >= min_words).select(*chunks.columns), "passages")
+    keepers = passages.groupBy("digest").agg(F.min("doc_id").alias("first_doc_id"))
+    kept = passages.join(keepers, "digest").drop("digest")
+    stretch = F.col("seq") - F.row_number().over(Window.partitionBy("row", "first_doc_id").orderBy("seq"))
+    stretches = kept.withColumn("stretch", stretch).groupBy("row", "doc_id", "first_doc_id", "stretch")
+    out = stretches.agg(F.min("start").alias("start"), F.max("end").alias("end"), F.sum("words").alias("words"), F.count("*").alias("chunks"))
+    return out.select("doc_id", "start", "end", "words", "chunks", "first_doc_id")

@@ -467,6 +467,27 @@ def test_repeated_passages_are_found_and_clean_texts_left(spark):
         assert {0, 203} <= ids
 
 
+def test_each_shared_passage_is_kept_once(spark):
+    rng = random.Random(10)
+
+    def words(n):
+        return " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 9))) for _ in range(n))
+
+    c = [words(40) for _ in range(5)]
+    # The smallest document has too little of the second section for a passage of its own.
+    texts = {0: words(30) + " " + " ".join(c[1].split()[10:24]) + " " + words(30)}
+    for doc_id, at in ((1, 1), (2, None), (3, 4)):
+        texts[doc_id] = " ".join(words(40) if i == at else section for i, section in enumerate(c))
+    found = chunk_dedup.repeated_passages(spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(2)).collect()
+    assert {r.doc_id for r in found} == {1, 2, 3}
+    for section in c:
+        inner = " ".join(section.split()[12:28])
+        holders = sorted(i for i in (1, 2, 3) if inner in texts[i])
+        kept = [r.doc_id for r in found if r.doc_id == r.first_doc_id and inner in texts[r.doc_id][r.start : r.end]]
+        given = sorted(r.doc_id for r in found if inner in texts[r.doc_id][r.start : r.end])
+        assert kept == holders[:1] and given == holders
+
+
 # Empty tables
 
 
