@@ -26,6 +26,10 @@ MAX_CHUNK = 2_048
 #: A run of repeated chunks is a passage from so many words on. A passage loses up to some 25 words at its ends, where chunks
 #: hold other text too.
 MIN_WORDS = 18
+#: Or from so many bytes on, as text in a script without spaces has few words; 18 words of English have fewer.
+MIN_BYTES = 160
+#: A document that is repeated from end to end loses nothing at its ends: so many words do.
+MIN_WHOLE_WORDS = 12
 SEED = 5
 
 _gear = np.random.default_rng(SEED).integers(0, 1 << 32, 256, dtype=np.uint32)
@@ -90,6 +94,8 @@ def _chunk_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                         "start": points[starts],
                         "end": points[ends],
                         "words": begins[ends] - begins[starts],
+                        "bytes": ends - starts,
+                        "last": ends == len(raw),
                     }
                 )
             )
@@ -101,18 +107,18 @@ def _chunk_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.concat(parts)
 
 
-def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, min_bytes: int = MIN_BYTES) -> DataFrame:
     """Passages of ``docs`` (doc_id, text) that occur in several documents: doc_id, start, end, words, chunks, first_doc_id.
 
     A repeated passage is a longest run of neighbouring chunks each of which another document holds too, with at least
-    ``min_words`` words begun in it. It has a row for each stretch of chunks with one ``first_doc_id``, the smallest document that
+    ``min_words`` words begun in it or ``min_bytes`` bytes, or one of ``MIN_WHOLE_WORDS`` words that is its whole document. It has a row for each stretch of chunks with one ``first_doc_id``, the smallest document that
     has the chunk in a passage; that document's copy is the one to keep. So the rows of a chunk name the same document, which has
     a row itself, however the copies are edited. start and end are code points of the whole text. Digests have 64 bits; a passage
     is several chunks in a row, so that chance makes none. A document whose passages are its own has no row, nor has a null or
     empty text or a row without an id. Repeated rows of one id are one document.
     """
     rows = docs.filter("doc_id IS NOT NULL").select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    schema = "digest bigint, row bigint, doc_id bigint, seq int, start int, end int, words int"
+    schema = "digest bigint, row bigint, doc_id bigint, seq int, start int, end int, words int, bytes int, last boolean"
     chunks = written(rows.mapInPandas(_chunk_rows, schema), "chunks")
     held = chunks.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
     shared = held.filter("first <> last").select("digest")
@@ -120,8 +126,10 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     repeated = chunks.join(shared, "digest")
     run = F.col("seq") - F.row_number().over(Window.partitionBy("row").orderBy("seq"))
     own = Window.partitionBy("row", "run")
-    runs = repeated.withColumn("run", run).withColumn("run_words", F.sum("words").over(own))
-    passages = written(runs.filter(F.col("run_words") >= min_words).select(*chunks.columns), "passages")
+    whole = (F.min("seq").over(own) == 0) & F.max("last").over(own) & (F.sum("words").over(own) >= MIN_WHOLE_WORDS)
+    long = (F.sum("words").over(own) >= min_words) | (F.sum("bytes").over(own) >= min_bytes) | whole
+    runs = repeated.withColumn("run", run).withColumn("long", long)
+    passages = written(runs.filter("long").drop("run", "long", "bytes", "last"), "passages")
     keepers = passages.groupBy("digest").agg(F.min("doc_id").alias("first_doc_id"))
     kept = passages.join(keepers, "digest").drop("digest")
     stretch = F.col("seq") - F.row_number().over(Window.partitionBy("row", "first_doc_id").orderBy("seq"))

@@ -488,6 +488,22 @@ def test_each_shared_passage_is_kept_once(spark):
         assert kept == holders[:1] and given == holders
 
 
+def test_passages_without_spaces_and_short_whole_documents(spark):
+    rng = random.Random(11)
+
+    def signs(n):
+        return "".join(chr(rng.randint(0x4E00, 0x9FA5)) for _ in range(n))
+
+    shared, short = signs(300), "Twelve words make a short text that two documents have as whole."
+    data = [(1, signs(200) + shared + signs(200)), (2, signs(90) + shared), (3, signs(400)), (4, short), (5, short), (6, shared[:80]), (7, shared[:80])]
+    found = chunk_dedup.repeated_passages(spark.createDataFrame(data, "doc_id long, text string")).collect()
+    assert {r.doc_id for r in found} == {1, 2, 4, 5, 6, 7}
+    texts = dict(data)
+    assert all(texts[r.doc_id][r.start : r.end] in (texts[r.first_doc_id]) for r in found)
+    assert sum(r.end - r.start for r in found if r.doc_id == 2) > 200
+    assert [(r.start, r.end, r.first_doc_id) for r in found if r.doc_id == 5] == [(0, len(short), 4)]
+
+
 # Empty tables
 
 
