@@ -48,11 +48,15 @@ def word_features(word: str) -> tuple[int, ...]:
 
 @dataclass(frozen=True)
 class Model:
-    """Weights of hashed words, and the score of a sentence without any of them as a logit."""
+    """Weights of hashed words, and as logits what they add to in a sentence and the score of a sentence without any of them.
+
+    The latter is the bias unless given; trained models give minus infinity, so that no text is toxic by its length.
+    """
 
     features: np.ndarray
     weights: np.ndarray
     bias: float
+    plain: float | None = None
 
     def lookup(self) -> dict[int, float]:
         return dict(zip(self.features.tolist(), self.weights.tolist()))
@@ -71,10 +75,10 @@ class Scorer:
 
         self.words, self.bias = Words(), model.bias
         # What a sentence adds to the log of "none is toxic" if no word of it has a weight.
-        self.plain = -float(np.logaddexp(0, model.bias))
+        self.plain = -float(np.logaddexp(0, model.bias if model.plain is None else model.plain))
 
     def sentences(self, text: str) -> tuple[np.ndarray, int]:
-        """Logits of the sentences that have a weighted word, in order, and the number of the others."""
+        """Logits of the sentences whose words have weights above 0 in sum, in order, and the number of the others."""
         if len(self.words) > REMEMBERED:
             self.words.clear()
         found = _pieces.findall(text.lower())
@@ -88,7 +92,9 @@ class Scorer:
         if not some.any():
             return np.zeros(0), len(spoken)
         which, at = np.unique(number[some], return_inverse=True)
-        return self.bias + np.bincount(at, w[some]), len(spoken) - len(which)
+        total = np.bincount(at, w[some])
+        speaks = total[total > 0]  # weights of nothing or less say no more than none
+        return self.bias + speaks, len(spoken) - len(speaks)
 
     def score(self, text: str | None) -> float:
         """Noisy-or of all sentences; 0 for a null text or one without words."""
@@ -128,7 +134,7 @@ def _fit(docs: pd.DataFrame) -> Model:
     """Weights by gradient on the noisy-or likelihood, from a start at the words' log odds."""
     y = docs["toxic"].to_numpy(np.float64)
     if not len(y) or y.min() == y.max():  # nothing to tell apart
-        return Model(np.zeros(0, np.int64), np.zeros(0), -8.0)
+        return Model(np.zeros(0, np.int64), np.zeros(0), -8.0, -math.inf)
     size, mask = 1 << FEATURE_BITS, (1 << FEATURE_BITS) - 1
     n, toxic = np.zeros(size), np.zeros(size)
     for keys, label in zip(docs["words"], y):
@@ -143,13 +149,13 @@ def _fit(docs: pd.DataFrame) -> Model:
     chosen = np.sort(chosen[np.argsort(-np.abs(z[chosen]), kind="stable")[:MAX_FEATURES]])
     place = np.full(size, -1, np.int64)
     place[chosen] = np.arange(len(chosen))
-    # Of each document the sentences with a chosen word, numbered through, and how many others it has.
-    columns, rows_of, own, others, used = [], [], [], np.zeros(rows), 0
+    # Of each document the sentences with a chosen word, numbered through. The others have probability 0, as has a
+    # sentence while its weights add to nothing or less.
+    columns, rows_of, own, used = [], [], [], 0
     for d, keys in enumerate(docs["words"]):
         keys = np.asarray(keys, np.int64)
         number, at = keys >> FEATURE_BITS, place[keys & mask]
         names, where = np.unique(number[at >= 0], return_inverse=True)
-        others[d] = len(np.unique(number)) - len(names)
         columns.append(at[at >= 0])
         rows_of.append(where + used)
         own.append(np.full(len(names), d))
@@ -160,8 +166,9 @@ def _fit(docs: pd.DataFrame) -> Model:
     first, second = np.zeros_like(theta), np.zeros_like(theta)
     best, least = theta, math.inf
     for step in range(1, ROUNDS + 1):
-        logit = theta[-1] + np.bincount(row, theta[column], minlength=used)
-        none = -others * np.logaddexp(0, theta[-1]) - np.bincount(own, np.logaddexp(0, logit), minlength=rows)
+        total = np.bincount(row, theta[column], minlength=used)
+        logit = np.where(total > 0, theta[-1] + total, -np.inf)
+        none = -np.bincount(own, np.logaddexp(0, logit), minlength=rows)
         none = np.minimum(none, -1e-12)
         some = -np.expm1(none)
         loss = -(y * np.log(some) + (1 - y) * none).mean() + DECAY * np.abs(theta[:-1]).sum() / 10 + DECAY * (theta[:-1] ** 2).sum() / 2
@@ -170,12 +177,12 @@ def _fit(docs: pd.DataFrame) -> Model:
         pull = (1 - y) - y * np.exp(none) / some  # slope of the loss in -none
         p = np.exp(-np.logaddexp(0, -logit))
         at = pull[own] * p
-        slope = np.append(np.bincount(column, at[row], minlength=len(chosen)), at.sum() + (pull * others).sum() * np.exp(-np.logaddexp(0, -theta[-1]))) / rows
+        slope = np.append(np.bincount(column, at[row], minlength=len(chosen)), at.sum()) / rows
         slope[:-1] += DECAY * theta[:-1] + DECAY / 10 * np.sign(theta[:-1])
         first = 0.9 * first + 0.1 * slope
         second = 0.999 * second + 0.001 * slope**2
         theta = theta - RATE * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
-    return Model(chosen, best[:-1], float(best[-1]))
+    return Model(chosen, best[:-1], float(best[-1]), -math.inf)
 
 
 def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
@@ -195,12 +202,12 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     def fit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         parts = list(batches)
         model = _fit(pd.concat(parts) if parts else pd.DataFrame({"toxic": [], "words": []}))
-        yield pd.DataFrame({"features": [model.features], "weights": [model.weights], "bias": [model.bias]})
+        yield pd.DataFrame({"features": [model.features], "weights": [model.weights], "bias": [model.bias], "plain": [model.plain]})
 
-    schema = "features array<bigint>, weights array<double>, bias double"
+    schema = "features array<bigint>, weights array<double>, bias double, plain double"
     row = words.repartition(1).sortWithinPartitions("toxic", "words").mapInPandas(fit, schema).first()
     # An empty sample may have no task at all.
-    return Model(np.array(row.features, np.int64), np.array(row.weights), row.bias) if row else _fit(pd.DataFrame({"toxic": [], "words": []}))
+    return Model(np.array(row.features, np.int64), np.array(row.weights), row.bias, row.plain) if row else _fit(pd.DataFrame({"toxic": [], "words": []}))
 
 
 def scored(docs: DataFrame, model: Model, at_least: float = THRESHOLD) -> DataFrame:

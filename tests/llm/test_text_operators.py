@@ -379,6 +379,16 @@ def test_models_without_labels(spark, toxic_tables, empty):
     assert toxicity.train(docs, labels.filter("doc_id < 0")).bias == model.bias
 
 
+def test_length_alone_is_not_toxic(spark, toxic_tables):
+    docs, labels = toxic_tables
+    rng = random.Random(12)
+    long = spark.createDataFrame([(i, " ".join(sentence(rng, 8) + "." for _ in range(n))) for i, n in enumerate((2_000, 20_000))], "doc_id long, text string")
+    for known in (labels, labels.filter("toxic = 0"), labels.filter("doc_id < 0")):
+        model = toxicity.train(docs, known)
+        assert all(r.score < 0.01 for r in toxicity.scored(long, model).collect())
+    assert toxicity.reject_toxic(long, labels.filter("toxic = 0")).count() == 2
+
+
 def test_held_out(spark):
     table = spark.createDataFrame([(i,) for i in range(50)], "doc_id long").select("doc_id", held_out().alias("h"))
     assert all(r.h == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in table.collect())
