@@ -12,19 +12,19 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from arborlog.functions.buckets import quantile_bounds, with_buckets
 from arborlog.llm.tokens import BYTES_PER_ID, token_stream, tokenizer_path
 
 END_ID = 1
 SEQUENCE_IDS = 2048
 #: Hashed features, dimensions of the projection and bits of each coordinate.
-FEATURES, DIMENSIONS, COORDINATE_BITS = 1024, 6, 7
+FEATURES, DIMENSIONS, COORDINATE_BITS = 1024, 8, 7
 SEED = 17
 #: Texts whose vectors stand side by side.
 TOGETHER = 500
-#: Bits of a hash of the id below the key, which spread copies of one text over ranges. Key and hash fit a double.
+#: Terms of a long text that are hashed together.
+PIECES = 1 << 20
+#: Bits of a hash of the id, which stand after the key and spread copies of one text over ranges.
 SPREAD_BITS = 11
 #: Rows of a range of the curve, and rows a range that are looked at to place the bounds; tables of over 100,000 such ranges get
 #: larger ones instead.
@@ -32,13 +32,15 @@ RANGE_ROWS, BOUND_ROWS, MAX_RANGES = 5_000, 100, 100_000
 
 
 def hashed_counts(text: str | None, features: int = FEATURES) -> np.ndarray:
-    """How often each hashed term begins a word of a whole text; a term is up to the first four bytes and what follows them."""
-    raw = b" " + (text or "").encode("utf-8", "surrogatepass").lower() + b"    "
-    begins = np.flatnonzero(np.frombuffer(raw, np.uint8, len(raw) - 5) == 32) + 1
-    pieces = np.ndarray(len(raw) - 3, "<u4", raw, strides=(1,))[begins]
-    # The high bits of a product by an odd number depend on all four bytes.
-    hashed = (pieces * np.uint32(2654435761)) >> np.uint32(32 - int(math.log2(features)))
-    return np.bincount(hashed, minlength=features)
+    """How often each hashed term occurs in a whole text; a term is four bytes from any byte on, blanks after the last."""
+    raw = (text or "").encode("utf-8", "surrogatepass").lower() + b"   "
+    pieces = np.ndarray(len(raw) - 3, "<u4", raw, strides=(1,))
+    counts = np.zeros(features, np.int64)
+    for i in range(0, len(pieces), PIECES):
+        # The high bits of a product by an odd number depend on all four bytes.
+        hashed = (pieces[i : i + PIECES] * np.uint32(2654435761)) >> np.uint32(32 - int(math.log2(features)))
+        counts += np.bincount(hashed, minlength=features)
+    return counts
 
 
 def projection(features: int = FEATURES, dimensions: int = DIMENSIONS, seed: int = SEED) -> np.ndarray:
@@ -74,7 +76,7 @@ def hilbert_keys(cells: np.ndarray, bits: int = COORDINATE_BITS) -> np.ndarray:
 
 
 def curve_keys(texts, bits: int = COORDINATE_BITS) -> np.ndarray:
-    """Hilbert keys of texts: their vectors, damped by a square root and brought to length 1, are projected.
+    """Hilbert keys of texts: their vectors, damped by a square root, taken from their mean and brought to length 1, are projected.
 
     Coordinates go through a sigmoid, so that cells are about evenly used.
     """
@@ -82,15 +84,32 @@ def curve_keys(texts, bits: int = COORDINATE_BITS) -> np.ndarray:
     keys = []
     for i in range(0, len(texts), TOGETHER):
         vectors = np.sqrt(np.stack([hashed_counts(t) for t in texts[i : i + TOGETHER]]))
-        along = vectors @ directions / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1.0)  # no term: the middle
+        vectors -= vectors.mean(axis=1, keepdims=True)  # long texts have all terms, and this part in common
+        along = vectors @ directions / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)  # no term: the middle
         cells = np.floor((1 << bits) / (1 + np.exp(-1.7 * along))).astype(np.int64)
         keys.append(hilbert_keys(np.minimum(cells, (1 << bits) - 1), bits))
     return np.concatenate(keys) if keys else np.zeros(0, np.int64)
 
 
-@F.pandas_udf(T.LongType())
-def _key(texts: pd.Series) -> pd.Series:
-    return pd.Series(curve_keys(texts.tolist()))
+def range_numbers(keys: np.ndarray, spread: np.ndarray, bound_keys: np.ndarray, bound_spread: np.ndarray) -> np.ndarray:
+    """How many bounds, ascending pairs of key and hash, are at or below each pair. The pairs have more bits than a number."""
+    distinct, which = np.unique(bound_keys, return_inverse=True)
+    at = np.searchsorted(distinct, keys)
+    # Between two bound keys an even number, at one an odd number.
+    equal = np.append(distinct, -1)[at] == keys
+    pairs = (2 * at + equal << SPREAD_BITS) + np.where(equal, spread, 0)
+    return np.searchsorted((2 * which + 1 << SPREAD_BITS) + bound_spread, pairs, side="right")
+
+
+def _placed(bound_keys: np.ndarray, bound_spread: np.ndarray):
+    """The key of a text, and the number of its range."""
+
+    @F.pandas_udf("key bigint, part int")
+    def placed(texts: pd.Series, spread: pd.Series) -> pd.DataFrame:
+        keys = curve_keys(texts.tolist())
+        return pd.DataFrame({"key": keys, "part": range_numbers(keys, spread.to_numpy(np.int64), bound_keys, bound_spread)})
+
+    return placed
 
 
 def pack(docs: DataFrame, path: str | None = None, length: int = SEQUENCE_IDS, end_id: int = END_ID) -> DataFrame:
@@ -103,16 +122,20 @@ def pack(docs: DataFrame, path: str | None = None, length: int = SEQUENCE_IDS, e
     the hash of the id is part of the order and no range holds all copies.
     """
     plain = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    spread = F.pmod(F.xxhash64("doc_id"), F.lit(1 << SPREAD_BITS))
-    place = F.shiftleft(_key(F.col("text")), SPREAD_BITS).bitwiseOR(spread).alias("place")
+    spread = F.pmod(F.xxhash64("doc_id"), F.lit(1 << SPREAD_BITS)).alias("spread")
     rows = plain.count()
     ranges = max(1, -(-rows // max(RANGE_ROWS, -(-rows // MAX_RANGES))))
     # The bounds decide how even the ranges are, never the order.
-    few = plain.sample(min(1.0, BOUND_ROWS * ranges / max(1, rows)), seed=SEED)
-    bounds = quantile_bounds(few.select(place), ["place"], ranges)
-    keyed = plain.select(place, "doc_id", "text", F.xxhash64("text").alias("tie"))
-    ranged = with_buckets(keyed, {"place": "part"}, bounds)
-    tokens = token_stream(ranged.repartition("part").sortWithinPartitions("part", "place", "doc_id", "tie"), end_id, path or tokenizer_path())
+    none = np.zeros(0, np.int64)
+    few = plain.sample(min(1.0, BOUND_ROWS * ranges / max(1, rows)), seed=SEED) if ranges > 1 else plain.limit(0)
+    seen = few.select(_placed(none, none)("text", spread)["key"].alias("key"), spread).toArrow()
+    seen = np.stack([seen["key"].to_numpy(), seen["spread"].to_numpy()]).astype(np.int64)
+    seen = seen[:, np.lexsort((seen[1], seen[0]))]
+    steps = np.arange(1, ranges) * seen.shape[1] // ranges if seen.shape[1] else none
+    bounds = np.unique(seen[:, steps], axis=1)
+    keyed = plain.select("doc_id", "text", spread, F.xxhash64("text").alias("tie"), _placed(*bounds)("text", spread).alias("placed"))
+    ranged = keyed.select("placed.part", "placed.key", "spread", "doc_id", "text", "tie").repartition("part")
+    tokens = token_stream(ranged.sortWithinPartitions("part", "key", "spread", "doc_id", "tie"), end_id, path or tokenizer_path())
     end = F.col("start") + F.col("n_ids")
     first, last = F.floor(F.col("start") / length), F.floor((end - 1) / length)
     cut = tokens.withColumn("sequence_id", F.explode(F.sequence(first, last)))

@@ -276,6 +276,29 @@ def test_hilbert_curve_walks_through_every_cell(dims, bits):
     assert all(sum(abs(a - b) for a, b in zip(x, y)) == 1 for x, y in zip(cells, cells[1:]))
 
 
+def test_likes_stand_close_on_the_curve():
+    rng = random.Random(13)
+    alphabets = ["abcdefgh", "ijklmnop", "qrstuvwxyz", "日本語中文字典書", "한국어사람나라"]
+    vocabularies = [["".join(rng.choice(a) for _ in range(rng.randint(2, 7))) for _ in range(200)] for a in alphabets]
+    for between in (" ", "\n", "\t", ""):
+        texts, names = [], []
+        for i in range(200):
+            words = [rng.choice(vocabularies[i % 5]) for _ in range(300)]
+            texts += [between.join(words), between.join([rng.choice(vocabularies[i % 5]), *words[1:]])]
+            names += [i % 5] * 2
+        place = np.argsort(np.argsort(hilbert_pack.curve_keys(texts), kind="stable"))
+        assert np.median(np.abs(place[::2] - place[1::2])) <= 3
+        in_order = [names[i] for i in np.argsort(place)]
+        assert np.mean([a == b for a, b in zip(in_order, in_order[1:])]) > 0.8  # by chance 0.2
+
+
+@pytest.mark.parametrize("bounds", [[], [(5, 3)], [(1, 9), (5, 3), (5, 7), (5, 2047), (1 << 55, 0)]])
+def test_ranges_follow_key_and_hash(bounds):
+    pairs = [(k, s) for k in (0, 1, 4, 5, 6, 1 << 55, (1 << 55) + 1) for s in (0, 3, 6, 7, 2047)]
+    got = hilbert_pack.range_numbers(*np.array(pairs).T, *np.array(bounds, np.int64).reshape(-1, 2).T)
+    assert got.tolist() == [sum(b <= p for b in bounds) for p in pairs]
+
+
 def test_rans_round_trip_and_checkpoints():
     rng = np.random.default_rng(0)
     for alphabet in (1, 2, 300, 60_000):
