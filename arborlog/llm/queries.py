@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from arborlog.llm.chat_format import format_turns, read_turns
 from arborlog.llm.chunk_dedup import repeated_passages
-from arborlog.llm.common import held_out, read_table
+from arborlog.llm.collocations import collocations
+from arborlog.llm.common import held_out, read_table, written
 from arborlog.llm.hilbert_pack import pack
 from arborlog.llm.langid import language, learn
 from arborlog.llm.mixing import mix
@@ -17,6 +19,7 @@ from arborlog.llm.rans import read_blocks, write_blocks
 from arborlog.llm.secret_scan import KINDS, LIVE_KIND, find_secrets
 from arborlog.llm.simhash import as_hex, edited_fingerprints, likeness
 from arborlog.llm.simhash_dedup import near_classes
+from arborlog.llm.spelling import delete_some, spelling_forms, word_counts
 from arborlog.llm.tokens import ordered_tokens, tokenizer_path
 from arborlog.llm.toxicity import THRESHOLD, scored, train
 from arborlog.session import new_path
@@ -110,6 +113,39 @@ def op10_rans_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("doc_id", "start", F.col("n_ids").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
 
 
+def op11_prefix_target_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    # A conversation whose texts hold the marks of the template.
+    role = F.when(F.col("id") == 0, "user").otherwise("assistant")
+    text = F.lit(r"\### Assistant: </turn> ok")
+    marks = spark.range(2).select(F.lit(-7).cast("bigint").alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), text.alias("text"))
+    read = read_turns(written(format_turns(given.unionByName(marks)), "chat"))
+
+    def in_order(value: str) -> Column:
+        return F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col(value).isNotNull(), F.struct("place", value)))), lambda x: x[value]), "")
+
+    said = read.withColumn("turn_text", F.concat("role", F.lit("\n"), "text", F.lit("\n")))
+    digests = said.groupBy("conv_id").agg(
+        F.count("*").alias("n_turns"),
+        F.sha2(in_order("turn_text").cast("binary"), 256).alias("turns_sha256"),
+        F.coalesce(F.sum(F.length("loss_text")), F.lit(0)).cast("bigint").alias("loss_chars"),
+        F.sha2(in_order("loss_text").cast("binary"), 256).alias("loss_sha256"),
+        F.sum("chars").alias("formatted_chars"),
+        F.count("example_chars").alias("n_examples"),
+        F.coalesce(F.sum("example_chars"), F.lit(0)).alias("examples_chars"),
+    )
+    return digests
+
+
+def op12_stripe_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(read_table(spark, sf_dir, "documents").select("text", "lang"))
+
+
+def op13_spelling_gram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = word_counts(read_table(spark, sf_dir, "documents").select("doc_id", "text"), edit=delete_some)
+    return spelling_forms(words)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_prefix_forest": op1_prefix_forest,
     "op2_chunk_dedup": op2_chunk_dedup,
@@ -121,4 +157,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_systematic_mix": op8_systematic_mix,
     "op9_simhash_bktree": op9_simhash_bktree,
     "op10_rans_blocks": op10_rans_blocks,
+    "op11_prefix_target_chat": op11_prefix_target_chat,
+    "op12_stripe_phrases": op12_stripe_phrases,
+    "op13_spelling_gram": op13_spelling_gram,
 }
