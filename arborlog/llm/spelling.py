@@ -14,7 +14,6 @@ from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -127,35 +126,41 @@ def near_words(words: DataFrame) -> DataFrame:
         "block", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), "slice", "role", "word", "n"
     )
     group = ["block", "chunk", "slice"]
-    meeting = left.unionByName(right).repartition(*group).sortWithinPartitions(*group, "role")
-    return meeting.mapInArrow(_meet, "word string, near string, near_n bigint")
+    order = [*group, "role", "length"]
+    meeting = left.unionByName(right).withColumn("length", F.length("word")).repartition(*group).sortWithinPartitions(*order)
+    return meeting.select(*order, "word", "n").mapInArrow(_meet, "word string, near string, near_n bigint")
 
 
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of rows sorted by group and role: a group's chunk comes first and is held, all others stream past it."""
+    """Pairs of rows sorted by group, role and length: a group's chunk comes first and is held, all others stream past it."""
     group, chunk, held = None, [], None
     found: list[tuple[np.ndarray, ...]] = []
     pairs = 0
     for batch in batches:
-        rows = batch.to_pandas()
-        keys = rows[["block", "chunk", "slice", "role"]]
-        cuts = np.flatnonzero((keys != keys.shift()).any(axis=1).to_numpy())
-        for a, b in zip(cuts, [*cuts[1:], len(rows)]):
-            own, role = (rows["block"][a], rows["chunk"][a], rows["slice"][a]), rows["role"][a]
+        if not batch.num_rows:
+            continue
+        blocks = batch.column(0).dictionary_encode()
+        names = blocks.dictionary.to_pylist()
+        keys = np.stack([blocks.indices.to_numpy(), *[batch.column(i).to_numpy() for i in range(1, 5)]])
+        words, n = batch.column(5).to_numpy(zero_copy_only=False), batch.column(6).to_numpy()
+        cuts = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
+        for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(words)]):
+            block, number, slice_, role, length = keys[:, a].tolist()
+            own = names[block], number, slice_
             if own != group:
                 group, chunk, held = own, [], None
-            part = rows.iloc[a:b]
             if role == 0:
-                chunk.append(part)
+                chunk.append((words[a:b], n[a:b]))
                 continue
             if held is None:
-                held = _Words(pd.concat(chunk)) if chunk else None
-                if held is None:
-                    continue
-            for other in _by_length(part):
-                one, two, n_one, n_two = held.near(other, role == 1)
-                found.append((np.append(one, two), np.append(two, one), np.append(n_two, n_one)))
-                pairs += len(one)
+                held = _Words(*(np.concatenate(c) for c in zip(*chunk)))
+            step = max(1, min(CHUNK, CHUNK_LETTERS // length))
+            for i in range(a, b, step):
+                end = min(b, i + step)
+                one, two, n_one, n_two = held.near(_Words(words[i:end], n[i:end]), role == 1)
+                if len(one):
+                    found.append((np.append(one, two), np.append(two, one), np.append(n_two, n_one)))
+                    pairs += len(one)
         if pairs > 100_000:
             yield _links(found)
             found, pairs = [], 0
@@ -168,19 +173,11 @@ def _links(found: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
     return pa.record_batch([pa.array(columns[0], pa.string()), pa.array(columns[1], pa.string()), pa.array(columns[2], pa.int64())], ["word", "near", "near_n"])
 
 
-def _by_length(part: pd.DataFrame) -> Iterator[_Words]:
-    for length, own in part.groupby(part["word"].str.len(), sort=False):
-        step = max(1, min(CHUNK, CHUNK_LETTERS // int(length)))
-        for i in range(0, len(own), step):
-            yield _Words(own.iloc[i : i + step])
-
-
 class _Words:
     """Words of one length, as letters and as letter counts."""
 
-    def __init__(self, rows: pd.DataFrame):
-        self.words = rows["word"].to_numpy(object)
-        self.n = rows["n"].to_numpy(np.int64)
+    def __init__(self, words: np.ndarray, n: np.ndarray):
+        self.words, self.n = words, n
         codes = np.frombuffer("".join(self.words).encode("latin-1"), np.uint8)
         self.letters = codes.reshape(len(self.words), -1)
         width = len(_codes)
