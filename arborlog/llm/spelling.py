@@ -152,6 +152,8 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if role == 0:
                 chunk.append((words[a:b], n[a:b]))
                 continue
+            if not chunk:  # no word was dealt to this chunk
+                continue
             if held is None:
                 held = _Words(*(np.concatenate(c) for c in zip(*chunk)))
             step = max(1, min(CHUNK, CHUNK_LETTERS // length))
