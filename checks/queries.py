@@ -323,7 +323,7 @@ def exact_tree_log(spark, sf_dir):
 
 
 def exact_tree_cells(spark, sf_dir):
-    return _log_tree(spark, sf_dir, buckets=16)
+    return _log_tree(spark, sf_dir, buckets=16, local_values=0)
 
 
 def exact_tree_deep(spark, sf_dir):

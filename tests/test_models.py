@@ -7,8 +7,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from arborlog.functions.encode import assemble, log_label, unlog_label
-from arborlog.operators.splits import best_splits, level_splits, node_stats, with_cells
-from arborlog.functions.buckets import quantile_bounds
+from arborlog.operators.splits import best_splits, cell_bounds, level_splits, node_stats, with_cells
 from arborlog.plans import library as L
 from arborlog.plans.logistic import LinearModel, fit_logistic_gd, gradient, score_logistic
 from arborlog.plans.search import grid_search
@@ -70,10 +69,8 @@ def test_pruned_search_equals_brute_force(spark, seed, signal):
     gain, f, cut = brute.best_split(x, y)
     rows = df.select(F.lit(1).cast("bigint").alias("node"), "y", *[F.col(n).alias(f"x{i}") for i, n in enumerate(names)])
     for buckets, cell_rows in ((1, 10), (4, 10**6), (16, 10**6), (8, 20)):
-        prepared = rows
-        if buckets > 1:
-            prepared = with_cells(rows, 4, quantile_bounds(rows, [f"x{i}" for i in range(4)], buckets))
-        got = level_splits(prepared, 4, buckets > 1, lambda c: c.persist(), cell_rows).collect()
+        prepared = with_cells(rows, 4, cell_bounds(rows, 4, buckets, None))
+        got = level_splits(prepared, 4, lambda c: c.persist(), cell_rows).collect()
         assert len(got) == 1
         assert (got[0]["feature"], got[0]["n"], got[0]["total"]) == (f, len(y), y.sum())
         assert got[0]["threshold"] == pytest.approx(cut) and got[0]["gain"] == pytest.approx(gain)
@@ -86,7 +83,7 @@ def test_search_without_broadcast(spark, monkeypatch):
     monkeypatch.setattr("arborlog.session.MAX_BROADCAST_ROWS", 0)
     x, y = sample(5)
     df, names = table(spark, x, y)
-    check(fit_tree(df, names, "y", 2, buckets=8), brute.tree(x, y, 2))
+    check(fit_tree(df, names, "y", 2, buckets=8, local_values=0), brute.tree(x, y, 2))
 
 
 def test_node_stats(spark):
@@ -109,7 +106,7 @@ def test_tree_by_hand(spark):
     assert again == model
 
 
-@pytest.mark.parametrize("options", [{}, {"buckets": 8}, {"buckets": 64, "cell_rows": 15}, {"checkpoint_every": 1}])
+@pytest.mark.parametrize("options", [{}, {"local_values": 0}, {"local_values": 500}, {"local_values": 0, "buckets": 8}, {"local_values": 0, "buckets": 64, "cell_rows": 15}, {"local_values": 300, "checkpoint_every": 1}])
 def test_tree_equals_brute_force(spark, options):
     x, y = sample(7)
     df, names = table(spark, x, y)
