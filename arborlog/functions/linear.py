@@ -9,11 +9,18 @@ from pyspark.sql import functions as F
 
 from arborlog.functions.text import number
 
+# Terms of one group of a written-out sum.
+GROUP = 64
+
 
 def dot(features: Sequence[str], weights: Sequence[float]) -> Column:
-    """Sum of feature · weight over column names or expression texts, written out as one generated expression."""
+    """Sum of feature · weight over column names or expression texts, written out as one generated expression.
+
+    Terms are added in groups, so that the expression of a wide row is no deeper than a group and the number of groups.
+    """
     terms = [f"{x} * {number(w)}" for x, w in zip(features, weights, strict=True)]
-    return F.expr(" + ".join(["0.0D", *terms]))
+    groups = [" + ".join(["0.0D", *terms[i : i + GROUP]]) for i in range(0, max(1, len(terms)), GROUP)]
+    return F.expr(groups[0] if len(groups) == 1 else " + ".join(f"({g})" for g in groups))
 
 
 def dot_arrays(a: Column, b: Column) -> Column:

@@ -12,6 +12,7 @@ from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from arborlog.plans.tree import fit_tree, score_depths
 from arborlog.session import local_table
 
 # Up to this size fits run side by side; their results do not depend on it.
@@ -61,3 +62,21 @@ def grid_search(
     best = min(range(len(models)), key=lambda i: errors[i] if errors[i] is not None else float("inf"))
     rows = [(json.dumps(dict(p), sort_keys=True), errors[i], i == best) for i, p in enumerate(grid)]
     return SearchResult(local_table(spark, _RESULT, rows), dict(grid[best]), models[best])
+
+
+def nested_search(
+    train: DataFrame, validation: DataFrame, features: Sequence[str] | str, label: str, depths: Sequence[int], **params
+) -> SearchResult:
+    """The depth of an exact tree with the lowest RMSE on ``validation``; the first wins ties.
+
+    A tree of some depth is the upper part of a deeper one, so the deepest is fitted once and one pass over the validation part scores
+    all depths from the means of its nodes. ``params`` go to ``fit_tree``. The table is that of ``grid_search``.
+    """
+    spark = train.sparkSession
+    model = fit_tree(train, features, label, max(depths), **params)
+    names = {f"_p{i}": d for i, d in enumerate(depths)}
+    scored = score_depths(validation, model, names, features)
+    errors = scored.agg(*[F.sqrt(F.avg(F.pow(F.col(p) - F.col(label), 2))).alias(p) for p in names]).first()
+    best = min(range(len(depths)), key=lambda i: errors[i] if errors[i] is not None else float("inf"))
+    rows = [(json.dumps({"max_depth": d}), errors[i], i == best) for i, d in enumerate(depths)]
+    return SearchResult(local_table(spark, _RESULT, rows), {"max_depth": depths[best]}, model.pruned(depths[best]))

@@ -22,6 +22,7 @@ from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import from_arrow_type
 
 from arborlog.functions.buckets import bucket_count
 from arborlog.functions.text import number, quoted
@@ -66,6 +67,7 @@ _STEP = pa.schema(
 # What becomes of the rows of a child: none are needed, searched on the next level, set aside.
 _LEAF_ROWS, _ACTIVE, _ASIDE = 0, 1, 2
 _TEST = pa.schema([_STEP.field(i) for i in range(4)])
+_VISITED = _TEST.append(pa.field("_own", pa.float64()))
 _LEAF = pa.schema([("_node", pa.int64()), ("_leaf", pa.float64())])
 _RULE = pa.schema([("position", pa.int32()), ("node_id", pa.int64()), ("depth", pa.int32()), ("rule", pa.string())])
 _IMPORTANCE = pa.schema([("feature", pa.string()), ("importance", pa.float64())])
@@ -111,6 +113,11 @@ class TreeModel:
         schema = _TABLE.append(_SUBSET) if self.categorical else _TABLE
         return local_table(spark, schema, list(self.nodes))
 
+    def pruned(self, depth: int) -> TreeModel:
+        """The tree as a fit to this depth gives it: deeper nodes go, and those at ``depth`` become leaves."""
+        kept = [n if n.depth < depth else n._replace(feature=None, threshold=None, gain=None, subset=None) for n in self.nodes if n.depth <= depth]
+        return TreeModel(self.features, tuple(kept), self.categorical)
+
     def importance(self, spark: SparkSession) -> DataFrame:
         """``feature, importance``: gain times rows of the splits of each feature, as shares of 1."""
         gains = [0.0] * len(self.features)
@@ -335,6 +342,33 @@ def _descend(level: DataFrame, steps: DataFrame, count: int, width: int, categor
     )
 
 
+def score_depths(df: DataFrame, model: TreeModel, depths: Mapping[str, int], features: Sequence[str] | str | None = None) -> DataFrame:
+    """Add one prediction per entry of ``depths`` (output name -> depth): that of the tree fitted to this depth only.
+
+    All come from one walk down the tree, as every node carries the mean of its rows.
+    """
+    spark = df.sparkSession
+    if not model.nodes:
+        return df.withColumns({name: F.lit(None).cast("double") for name in depths})
+    kept = [F.col(quoted(c)) for c in df.columns if c not in depths]
+    df, _, exprs = feature_exprs(df, list(model.features) if features is None else features)
+    left = _goes_left(exprs, model.categorical)
+    move = F.expr(f"CASE WHEN _feature IS NULL THEN _node WHEN {left} THEN 2 * _node ELSE 2 * _node + 1 END")
+    root = model.nodes[0]
+    scored = df.withColumns({"_node": F.lit(1).cast("bigint"), "_mean": F.lit(None).cast("double")})
+    for depth in range(1 + max(depths.values())):
+        rows = [(n.node_id, n.feature, n.threshold, n.subset, n.prediction) for n in model.nodes if n.depth == depth]
+        if depth == 0:
+            (own,) = rows  # which all rows visit
+            scored = scored.withColumns({f.name: F.lit(v).cast(from_arrow_type(f.type)) for f, v in zip(_VISITED, own) if f.name != "_node"})
+        else:
+            scored = scored.join(broadcast_if_small(local_table(spark, _VISITED, rows), len(rows)), "_node", "left")
+        # Below a leaf its mean stays.
+        scored = scored.withColumn("_mean", F.coalesce("_own", "_mean"))
+        scored = scored.withColumns({name: F.col("_mean") for name, d in depths.items() if d == depth} | {"_node": move}).drop(*_VISITED.names[1:])
+    return scored.select(*kept, *depths)
+
+
 def score_tree(
     df: DataFrame,
     model: TreeModel,

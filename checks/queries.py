@@ -20,10 +20,10 @@ from arborlog.operators.sampling import hash_split, in_part
 from arborlog.operators.splits import best_splits, node_stats
 from arborlog.plans import library as L
 from arborlog.plans.fraud import run_fraud
-from arborlog.plans.logistic import LinearModel, fit_logistic_gd, gradient, score_logistic
-from arborlog.plans.search import grid_search
+from arborlog.plans.logistic import INTERCEPT, LinearModel, fit_logistic_gd, fit_logistic_lbfgs, gradient, score_logistic
+from arborlog.plans.search import grid_search, nested_search
 from arborlog.plans.tree import fit_tree, score_tree
-from arborlog.plans.trips import FEATURES, LABEL, clean_trips, run_trips, trip_features
+from arborlog.plans.trips import ARITY, DEPTHS, FEATURES, LABEL, VENDORS, clean_trips, run_trips, trip_features
 from arborlog.session import new_path
 from arborlog.sources.delimited import preview, read_delimited, read_labelled, write_predictions
 from checks import views as V
@@ -37,7 +37,8 @@ ALL_BINS = 64
 # The library solver runs to convergence, so that its optimum can be compared.
 TIGHT = {"tol": 1e-12}
 SCORE_MODEL = LinearModel(("quantity", "discount"), (1.5, -20.0), 0.25)
-GD = {"step": 1e-5, "iterations": 3}
+GD = {"step": 1e-5, "iterations": 20}
+RIDGE = 0.01
 CARD_GD = {"step": 1e-3, "iterations": 20}
 
 
@@ -331,6 +332,12 @@ def exact_tree_deep(spark, sf_dir):
     return rounded(rounded(model.table(spark), 3, "gain"), 4, "prediction")
 
 
+def exact_tree_categorical(spark, sf_dir):
+    rows = category_index(clean_trips(trip_features(V.trips(spark, sf_dir))), "vendor_id", VENDORS)
+    model = fit_tree(rows, FEATURES, LABEL, max_depth=10, arity=ARITY)
+    return rounded(rounded(rounded(model.table(spark), 2, "gain"), 4, "prediction"), 9, "threshold")
+
+
 def tree_scores(spark, sf_dir):
     scored = score_tree(V.prices(spark, sf_dir), _price_tree(spark, sf_dir))
     by_leaf = scored.groupBy("prediction").agg(F.count("*").alias("n"), F.sum("cents").alias("cents"))
@@ -392,6 +399,12 @@ def depth_search_shallow(spark, sf_dir):
     return _search(spark, sf_dir, HOUR_FEATURES, [1, 2, 3])
 
 
+def depth_search_nested(spark, sf_dir):
+    rows = clean_trips(trip_features(V.trips(spark, sf_dir)))
+    found = nested_search(*hash_split(rows, "id"), FEATURES, LABEL, DEPTHS)
+    return rounded(found.table, 6, "value")
+
+
 def library_rules(spark, sf_dir):
     rows = assemble(V.documents(spark, sf_dir), V.DOC_FEATURES)
     return L.tree_text(spark, L.fit_binned_tree(rows, "n_chars", max_depth=3))
@@ -420,20 +433,41 @@ def library_terms(spark, sf_dir):
     return rounded(L.as_linear_model(model, V.CARD_FEATURES).terms(spark), 4, "value")
 
 
-def wide_library_terms(spark, sf_dir):
-    rows = V.table(spark, sf_dir, "embeddings").select(
+def _vectors(spark, sf_dir):
+    return V.table(spark, sf_dir, "embeddings").select(
         F.col("embedding").cast("array<double>").alias("e"), F.when(F.col("label") == 0, 1.0).otherwise(0.0).alias("y")
     )
+
+
+def wide_library_terms(spark, sf_dir):
     names = [f"e{i}" for i in range(64)]
-    rows = assemble(rows.select("y", *[F.get("e", F.lit(i)).alias(n) for i, n in enumerate(names)]), names)
-    return rounded(L.as_linear_model(L.fit_logistic(rows, "y", regParam=0.01), names).terms(spark), 4, "value")
+    rows = assemble(_vectors(spark, sf_dir).select("y", *[F.get("e", F.lit(i)).alias(n) for i, n in enumerate(names)]), names)
+    return rounded(L.as_linear_model(L.fit_logistic(rows, "y", regParam=RIDGE), names).terms(spark), 4, "value")
+
+
+def lbfgs_wide(spark, sf_dir):
+    """The penalised gradient at the fitted terms: zero at the optimum."""
+    rows = _vectors(spark, sf_dir)
+    model = fit_logistic_lbfgs(rows, "e", "y", penalty=RIDGE, standardize=False)
+    own = model.terms(spark).withColumn("pull", F.when(F.col("term") != INTERCEPT, F.col("value") * RIDGE).otherwise(0.0))
+    mean = gradient(rows, "e", "y", [*model.coefficients, model.intercept]).withColumn("g", F.col("g") / rows.count())
+    # Adding 0 turns a negative zero into zero.
+    return mean.join(own, "term").select("term", (F.round(F.col("g") + F.col("pull"), 6) + 0.0).alias("g"))
+
+
+def lbfgs_terms(spark, sf_dir):
+    return rounded(fit_logistic_lbfgs(V.cards(spark, sf_dir), V.CARD_FEATURES, "label").terms(spark), 4, "value")
 
 
 def wide_gradient(spark, sf_dir):
-    rows = V.table(spark, sf_dir, "embeddings").select(
-        F.col("embedding").cast("array<double>").alias("e"), F.when(F.col("label") == 0, 1.0).otherwise(0.0).alias("y")
-    )
-    return rounded(gradient(rows, "e", "y", [0.0] * 65), 6, "g")
+    """256 features: the 64 numbers of a vector and three shifted copies."""
+    rows = _vectors(spark, sf_dir)
+
+    def shifted(by):
+        return F.transform("e", lambda x: x - by)
+
+    copies = [shifted(k) for k in (0.0, 0.125, 0.25, 0.5)]
+    return rounded(gradient(rows.select("y", F.concat(*copies).alias("e")), "e", "y", [0.0] * 257), 6, "g")
 
 
 # Whole jobs
@@ -479,6 +513,8 @@ QUERIES: dict[str, Query] = {
     "tree_exact_log": exact_tree_log,
     "tree_exact_cells": exact_tree_cells,
     "tree_exact_deep": exact_tree_deep,
+    "tree_exact_categorical": exact_tree_categorical,
+    "depth_search_nested": depth_search_nested,
     "rare_split": rare_split,
     "tree_score_nulls": tree_scores_with_nulls,
     "csv_reordered": csv_reordered,
@@ -534,6 +570,8 @@ QUERIES: dict[str, Query] = {
     "logistic_gd": descent_quality,
     "model_terms": descent_terms,
     "logistic_lbfgs": library_terms,
+    "lbfgs_terms": lbfgs_terms,
+    "lbfgs_wide": lbfgs_wide,
     "logistic_lbfgs_wide": wide_library_terms,
     "trip_job_exact": trip_job_exact,
     "trip_job_binned": trip_job_binned,

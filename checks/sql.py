@@ -77,45 +77,60 @@ KEPT = """trip_duration > 0 AND trip_duration < 36000 AND passenger_count >= 1 A
 GAIN = "(ln * (tn - ln) / (tn * tn)) * ((ls / ln - (ts - ls) / (tn - ln)) * (ls / ln - (ts - ls) / (tn - ln)))"
 
 
-def tree_ctes(source: str, features: Sequence[str], depth: int, start: str = "1::BIGINT", real: bool = False) -> list[str]:
-    """Levels of the exact tree. ``real`` labels are centred in ``yc``, and their gains compared to 12 digits."""
+def tree_ctes(
+    source: str, features: Sequence[str], depth: int, start: str = "1::BIGINT", real: bool = False, categorical: Sequence[str] = ()
+) -> list[str]:
+    """Levels of the exact tree. ``real`` labels are centred in ``yc``, and their gains compared to 12 digits.
+
+    The values of a ``categorical`` feature stand in the order of their means, and a split is the bits of the first of them.
+    """
     y = "yc" if real else "y"
     middle = f", y - (SELECT avg(y) FROM {source} WHERE fit) AS yc" if real else ""
     by_size = "floor(log10(gain)) DESC, round(gain * pow(10, 11 - floor(log10(gain)))) DESC" if real else "gain DESC"
+    is_set = f"feature IN ({', '.join(str(features.index(c)) for c in categorical) or '-1'})"
     ctes = [f"l0 AS (SELECT *, {start} AS node{middle} FROM {source})"]
     for d in range(depth):
         long = " UNION ALL ".join(
             f"SELECT node, {i} AS feature, {f}::DOUBLE AS value, {y} AS y FROM l{d} WHERE fit AND node >= {2**d}"
             for i, f in enumerate(features)
         )
-        pick = " ".join(f"WHEN {i} THEN {f}::DOUBLE" for i, f in enumerate(features))
+        pick = " ".join(
+            f"WHEN {i} THEN ((b.subset >> {f}::BIGINT) & 1) = 1" if f in categorical else f"WHEN {i} THEN {f}::DOUBLE <= b.threshold"
+            for i, f in enumerate(features)
+        )
         ctes += [
-            f"v{d} AS (SELECT node, feature, value, count(*) AS n, sum(y) AS s FROM ({long}) GROUP BY ALL)",
+            f"""v{d} AS (SELECT node, feature, value, count(*) AS n, sum(y) AS s,
+                CASE WHEN {is_set} THEN sum(y)::DOUBLE / count(*) END AS spot FROM ({long})
+                GROUP BY node, feature, value)""",
             f"""r{d} AS (SELECT node, feature, value, lead(value) OVER o AS nv, (sum(n) OVER o)::DOUBLE AS ln,
-                (sum(s) OVER o)::DOUBLE AS ls, (sum(n) OVER p)::DOUBLE AS tn, (sum(s) OVER p)::DOUBLE AS ts FROM v{d}
-                WINDOW o AS (PARTITION BY node, feature ORDER BY value), p AS (PARTITION BY node, feature))""",
-            f"""g{d} AS (SELECT node, feature, (value + nv) / 2 AS threshold, {GAIN} AS gain
+                (sum(s) OVER o)::DOUBLE AS ls, (sum(n) OVER p)::DOUBLE AS tn, (sum(s) OVER p)::DOUBLE AS ts,
+                CASE WHEN {is_set} THEN (sum(CASE WHEN {is_set} THEN 1::BIGINT << value::BIGINT END) OVER o)::BIGINT END AS subset,
+                (row_number() OVER o)::DOUBLE AS nth FROM v{d}
+                WINDOW o AS (PARTITION BY node, feature ORDER BY spot, value), p AS (PARTITION BY node, feature))""",
+            f"""g{d} AS (SELECT node, feature, CASE WHEN NOT {is_set} THEN (value + nv) / 2 END AS threshold, subset,
+                CASE WHEN {is_set} THEN nth ELSE (value + nv) / 2 END AS place, {GAIN} AS gain
                 FROM r{d} WHERE nv IS NOT NULL)""",
             f"""m{d} AS (SELECT node, min({y}) AS lowest, max({y}) AS highest, var_pop({y}) AS variance
                 FROM l{d} WHERE fit AND node >= {2**d} GROUP BY node)""",
             f"""b{d} AS (SELECT g.* FROM g{d} g JOIN m{d} USING (node)
                 WHERE gain > 0 AND lowest < highest AND gain > 1e-12 * variance
-                QUALIFY row_number() OVER (PARTITION BY node ORDER BY {by_size}, feature, threshold) = 1)""",
+                QUALIFY row_number() OVER (PARTITION BY node ORDER BY {by_size}, feature, place) = 1)""",
             f"""l{d + 1} AS (SELECT l.* EXCLUDE (node), CASE WHEN b.node IS NULL THEN l.node
-                WHEN (CASE b.feature {pick} END) <= b.threshold THEN 2 * l.node ELSE 2 * l.node + 1 END AS node
+                WHEN (CASE b.feature {pick} END) THEN 2 * l.node ELSE 2 * l.node + 1 END AS node
                 FROM l{d} l LEFT JOIN b{d} b ON l.node = b.node)""",
         ]
     return ctes
 
 
-def model_cte(depth: int) -> str:
+def model_cte(depth: int, subsets: bool = False) -> str:
+    own = ["feature", "threshold", "gain", *(["subset"] if subsets else [])]
     parts = []
     for d in range(depth + 1):
         stats = f"SELECT node, count(*) AS n, sum(y)::DOUBLE / count(*) AS mean FROM l{d} WHERE fit AND node >= {2**d} GROUP BY node"
         best = f"LEFT JOIN b{d} b USING (node)" if d < depth else ""
-        cols = "b.feature, b.threshold, b.gain" if d < depth else "NULL, NULL, NULL"
+        cols = ", ".join(f"b.{c}" if d < depth else "NULL" for c in own)
         parts.append(f"SELECT node, {d} AS depth, {cols}, n, mean FROM ({stats}) {best}")
-    return "model(node_id, depth, feature, threshold, gain, n, prediction) AS (" + " UNION ALL ".join(parts) + ")"
+    return f"model(node_id, depth, {', '.join(own)}, n, prediction) AS (" + " UNION ALL ".join(parts) + ")"
 
 
 def leaf_means(depth: int, name: str = "leaf") -> str:
@@ -408,16 +423,19 @@ ORACLES: dict[str, str] = {
         f"""g AS (SELECT sum(({CHANCE} - y) * a) AS wa, sum(({CHANCE} - y) * b) AS wb, sum({CHANCE} - y) AS wc
         FROM source, w)""",
     ),
-    "gradient_wide": """SELECT 'e[' || (i - 1) || ']' AS term, round(sum((0.5 - y) * e), 6) AS g FROM (
+    "gradient_wide": """SELECT 'e[' || (64 * k + i - 1) || ']' AS term, round(sum((0.5 - y) * (e - shift)), 6) AS g FROM (
         SELECT unnest(embedding)::DOUBLE AS e, generate_subscripts(embedding, 1) AS i,
-        CASE WHEN label = 0 THEN 1.0 ELSE 0.0 END::DOUBLE AS y FROM embeddings) GROUP BY i
+        CASE WHEN label = 0 THEN 1.0 ELSE 0.0 END::DOUBLE AS y FROM embeddings),
+        (VALUES (0, 0.0::DOUBLE), (1, 0.125::DOUBLE), (2, 0.25::DOUBLE), (3, 0.5::DOUBLE)) AS copies(k, shift) GROUP BY k, i
         UNION ALL SELECT 'intercept', sum(CASE WHEN label = 0 THEN -0.5 ELSE 0.5 END)::DOUBLE FROM embeddings""",
+    "lbfgs_wide": """SELECT 'e[' || i || ']' AS term, 0.0::DOUBLE AS g FROM range(64) AS r(i)
+        UNION ALL SELECT 'intercept', 0.0::DOUBLE""",
     "logistic_gd": query(
         f"SELECT round(auc, 9) AS auc FROM ({area('s', 'p')})",
-        shape("returns"), RETURN_SOURCE, *descent("source", 1e-5, 3), f"s AS (SELECT y, {CHANCE} AS p FROM source, w3)",
+        shape("returns"), RETURN_SOURCE, *descent("source", 1e-5, 20), f"s AS (SELECT y, {CHANCE} AS p FROM source, w20)",
     ),
     "model_terms": query(
-        terms("w3", "quantity", "discount", 9), shape("returns"), RETURN_SOURCE, *descent("source", 1e-5, 3)
+        terms("w20", "quantity", "discount", 9), shape("returns"), RETURN_SOURCE, *descent("source", 1e-5, 20)
     ),
     "logistic_lbfgs": query(
         terms("w12", "amount", "hour_share", 4), shape("cards"), CARD_SOURCE, *newton("source")
@@ -467,3 +485,26 @@ ORACLES["tree_score_nulls"] = query(
     *tree_ctes("source", PRICE_FEATURES, 2),
     leaf_means(2),
 )
+
+
+# Categories by sets, at the depth and on the features of the job; labels are whole numbers.
+CATEGORICAL = ["vendor_id", "passenger_count", "store_and_fwd_flag"]
+CATEGORY_TRIPS = [
+    shape("trips"), FEATURED,
+    f"source AS (SELECT * REPLACE (vendor_id - 1 AS vendor_id), trip_duration AS y, true AS fit FROM featured WHERE {KEPT})",
+    *tree_ctes("source", TRIP_FEATURES, 10, categorical=CATEGORICAL), model_cte(10, subsets=True),
+]
+ORACLES["tree_exact_categorical"] = query(MODEL_COLUMNS.replace("round(gain", "subset::BIGINT AS subset, round(gain").replace("threshold::DOUBLE AS", "round(threshold::DOUBLE, 9) AS"), *CATEGORY_TRIPS)
+# Every depth is a part of the deepest tree.
+ORACLES["depth_search_nested"] = query(
+    "SELECT params, round(value, 6) AS value, value = min(value) OVER () AS is_best FROM ("
+    + " UNION ALL ".join(
+        f"""SELECT '{{"max_depth": {d}}}' AS params, sqrt(avg(pow(mean - y, 2))) AS value
+        FROM l{d} JOIN leaf{d} USING (node) WHERE NOT fit"""
+        for d in (5, 10, 14)
+    )
+    + ")",
+    shape("trips"), FEATURED, TRIP_SOURCE, *tree_ctes("source", TRIP_FEATURES, 14),
+    *[leaf_means(d, f"leaf{d}") for d in (5, 10, 14)],
+)
+ORACLES["lbfgs_terms"] = ORACLES["logistic_lbfgs"]

@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 from arborlog.functions.encode import assemble, log_label, unlog_label
 from arborlog.operators.splits import best_splits, cell_bounds, level_splits, node_stats, with_cells
 from arborlog.plans import library as L
-from arborlog.plans.logistic import LinearModel, fit_logistic_gd, gradient, score_logistic
-from arborlog.plans.search import grid_search
-from arborlog.plans.tree import TreeModel, fit_tree, score_tree
+from arborlog.plans.logistic import LinearModel, fit_logistic_gd, fit_logistic_lbfgs, gradient, score_logistic
+from arborlog.plans.search import grid_search, nested_search
+from arborlog.plans.tree import TreeModel, categories, fit_tree, score_depths, score_tree
 from tests import brute
 
 
@@ -217,16 +217,55 @@ def test_descent_equals_numpy(spark, reduce):
         fit_logistic_gd(df, names, "y", reduce="max")
 
 
-def test_wide_descent(spark, monkeypatch):
+def test_wide_descent(spark):
     x, y = logistic_sample(width=5)
     df, names = table(spark, x, y)
     packed = df.select("y", F.array(*names).alias("v"))
-    narrow = fit_logistic_gd(packed, "v", "y", iterations=3)
-    monkeypatch.setattr("arborlog.plans.logistic.WIDE", 2)
+    narrow = fit_logistic_gd(df, names, "y", iterations=3)
     wide = fit_logistic_gd(packed, "v", "y", iterations=3)
-    assert wide.features == narrow.features == tuple(f"v[{i}]" for i in range(5))
-    assert [*wide.coefficients, wide.intercept] == pytest.approx([*narrow.coefficients, narrow.intercept])
+    assert wide.features == tuple(f"v[{i}]" for i in range(5)) and wide.coefficients == pytest.approx(narrow.coefficients)
     assert score_logistic(packed, wide, "v").columns == ["y", "v", "probability", "prediction"]
+    # Rows of 300 features are scored by sums in groups.
+    x, y = logistic_sample(n=40, width=300)
+    df, names = table(spark, x, y)
+    model = fit_logistic_gd(df.select("y", F.array(*names).alias("v")), "v", "y", iterations=2)
+    z = x @ np.array(model.coefficients) + model.intercept
+    got = [r["probability"] for r in score_logistic(df, LinearModel(tuple(names), model.coefficients, model.intercept)).collect()]
+    assert sorted(got) == pytest.approx(sorted(1 / (1 + np.exp(-z))))
+
+
+def test_steps_make_no_new_code(spark):
+    x, y = logistic_sample(width=4)
+    df, names = table(spark, x, y)
+    compiled = spark._jvm.org.apache.spark.metrics.source.CodegenMetrics.METRIC_COMPILATION_TIME()
+    counts = []
+    for iterations in (2, 2, 12):
+        before = compiled.getCount()
+        fit_logistic_gd(df, names, "y", iterations=iterations)
+        counts.append(compiled.getCount() - before)
+    assert counts[2] <= counts[1] + 2
+
+
+def test_gradient_leaves_out_rows_with_a_null(spark):
+    rows = [(2.0, 1.0, 1.0), (None, 1.0, 0.0), (1.0, None, 0.0), (1.0, 5.0, None)]
+    df = spark.createDataFrame(rows, "a double, b double, y double")
+    assert {tuple(r) for r in gradient(df, ["a", "b"], "y", [0.0, 0.0, 0.0]).collect()} == {("a", -1.0), ("b", -0.5), ("intercept", -0.5)}
+    assert gradient(df.limit(0), ["a", "b"], "y", [0.0, 0.0, 0.0]).agg(F.sum("g")).first()[0] in (None, 0.0)
+
+
+@pytest.mark.parametrize("penalty", [0.0, 0.05])
+def test_lbfgs_reaches_the_optimum_of_the_library(spark, penalty):
+    x, y = logistic_sample(n=300, width=6)
+    x[:, 2] *= 100
+    x[:, 4] = 3.0
+    df, names = table(spark, x, y)
+    own = fit_logistic_lbfgs(df.repartition(3), names, "y", penalty=penalty)
+    library = L.as_linear_model(L.fit_logistic(assemble(df, names), "y", regParam=penalty, tol=1e-12), names)
+    assert own.coefficients == pytest.approx(library.coefficients, abs=1e-5) and own.intercept == pytest.approx(library.intercept, abs=1e-4)
+    none = fit_logistic_lbfgs(df.limit(0), names, "y")
+    assert none.coefficients == (0.0,) * 6 and none.intercept == 0.0
+    with pytest.raises(ValueError, match="1 rows"):
+        fit_logistic_lbfgs(df.unionByName(df.limit(1).withColumn("f1", F.lit(None).cast("double"))), names, "y")
 
 
 def test_extreme_scores(spark):
@@ -301,3 +340,93 @@ def test_descent_refuses_nulls_and_thresholds_keep_them(spark):
     model = fit_logistic_gd(df.dropna(), ["x"], "y", iterations=2)
     got = {r.x: (r.probability, r.prediction) for r in score_logistic(df, model).collect()}
     assert got[None] == (None, None) and got[1.0][1] in (0.0, 1.0)
+
+
+def category_sample(n=500, seed=3):
+    rng = np.random.default_rng(seed)
+    x = np.c_[rng.integers(0, 7, n), rng.normal(size=n).round(1), rng.integers(0, 2, n)].astype(float)
+    y = rng.integers(0, 40, n) + 30 * np.isin(x[:, 0], [1, 4, 6]) + np.floor(10 * x[:, 1]).astype(int) * (x[:, 2] > 0)
+    return x, y
+
+
+def best_set_split(x, y, categorical):
+    """Every subset of the categories met, and every midpoint."""
+    import itertools
+
+    n, best = len(y), None
+    for f in range(x.shape[1]):
+        values = np.unique(x[:, f])
+        if f in categorical:
+            sides = [np.isin(x[:, f], s) for k in range(1, len(values)) for s in itertools.combinations(values, k)]
+        else:
+            sides = [x[:, f] <= (a + b) / 2 for a, b in zip(values, values[1:])]
+        for left in sides:
+            a, b = y[left], y[~left]
+            gain = len(a) * len(b) / n**2 * (a.mean() - b.mean()) ** 2
+            best = max(best or 0.0, gain)
+    return best
+
+
+@pytest.mark.parametrize("local_values", [0, 400, 10**6])
+def test_categories_are_split_by_the_best_set(spark, local_values):
+    x, y = category_sample()
+    df, names = table(spark, x, y)
+    arity = {"f0": 7, "f2": 2}
+    model = fit_tree(df.repartition(3), names, "y", 3, buckets=8, arity=arity, local_values=local_values)
+    reached = {1: np.ones(len(y), bool)}
+    for node in model.nodes:
+        own = reached[node.node_id]
+        assert node.n == own.sum() and node.prediction == pytest.approx(y[own].mean())
+        if node.feature is not None:
+            assert node.gain == pytest.approx(best_set_split(x[own], y[own], {0, 2}))
+            column = x[:, node.feature]
+            left = column <= node.threshold if node.subset is None else np.isin(column, categories(node.subset))
+            reached |= {2 * node.node_id: own & left, 2 * node.node_id + 1: own & ~left}
+    assert any(n.subset is not None for n in model.nodes) and any(n.threshold is not None for n in model.nodes)
+    assert TreeModel.from_table(model.table(spark), names).nodes == model.nodes
+    scored = score_tree(df, model)
+    assert scored.agg(F.sum("prediction")).first()[0] == pytest.approx(y.sum())
+    # An unknown category and a missing one go right.
+    odd = df.limit(1).select("f1", "f2", F.explode(F.array(F.lit(None).cast("double"), F.lit(9.0), F.lit(70.0), F.lit(-1.0))).alias("f0"))
+    assert len({r["prediction"] for r in score_tree(odd, fit_tree(df, ["f0"], "y", 1, arity={"f0": 7})).collect()}) == 1
+    rules = [r["rule"] for r in model.rules(spark).collect()]
+    assert any(" in {" in r for r in rules) and any("not in {" in r for r in rules)
+    with pytest.raises(ValueError, match="no category"):
+        fit_tree(df, names, "y", 1, arity={"f0": 3})
+    with pytest.raises(ValueError, match="63"):
+        fit_tree(df, names, "y", 1, arity={"f0": 64})
+
+
+def jobs_of(spark, group, run):
+    spark.sparkContext.setJobGroup(group, group)
+    out = run()
+    spark.sparkContext.setJobGroup("rest", "rest")
+    return out, len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+def test_small_nodes_take_no_jobs_of_their_own(spark):
+    x, y = sample(14, n=600)
+    df, names = table(spark, x, y)
+    deep, jobs = jobs_of(spark, "deep", lambda: fit_tree(df, names, "y", 10))
+    assert jobs <= 6 and max(n.depth for n in deep.nodes) == 10
+    # All levels in cells, the other way round.
+    shallow, jobs = jobs_of(spark, "cells", lambda: fit_tree(df, names, "y", 2, buckets=8, local_values=0))
+    assert jobs <= 2 * 13 + 4
+    assert [(n.node_id, n.feature, n.threshold, n.n) for n in shallow.nodes] == [(n.node_id, n.feature, n.threshold, n.n) for n in deep.pruned(2).nodes]
+
+
+def test_every_depth_comes_from_one_tree(spark):
+    x, y = sample(15)
+    df, names = table(spark, x, y)
+    train, validation = df.filter("f2 < 0.5"), df.filter("f2 >= 0.5")
+    depths = [1, 3, 6]
+    found, jobs = jobs_of(spark, "nested", lambda: nested_search(train, validation, names, "y", depths))
+    alone = [fit_tree(train, names, "y", d) for d in depths]
+    assert jobs <= 8 and found.model.nodes == alone[depths.index(found.params["max_depth"])].nodes
+    scored = score_depths(validation, fit_tree(train, names, "y", 6), {f"p{d}": d for d in depths})
+    for d, model in zip(depths, alone):
+        want = score_tree(validation, model).agg(F.sum("prediction"), F.sum(F.pow(F.col("prediction") - F.col("y"), 2))).first()
+        got = scored.agg(F.sum(f"p{d}"), F.sum(F.pow(F.col(f"p{d}") - F.col("y"), 2))).first()
+        assert tuple(got) == pytest.approx(tuple(want))
+        row = [r for r in found.table.collect() if json.loads(r["params"])["max_depth"] == d][0]
+        assert row["value"] == pytest.approx((want[1] / validation.count()) ** 0.5)
