@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from arborlog.operators.prefix import prefix_sums
@@ -21,6 +21,44 @@ def join_predictions(predictions: DataFrame, labels: DataFrame, key: str) -> Dat
     return predictions.join(labels, key, "inner")
 
 
+# A key is hot if it has more than this part of a side's rows, so a side has fewer hot keys than that.
+HOT_PART = 64
+# Rows of a key that is hot on one side are dealt to so many tasks; of one that is hot on both, to the square of it.
+GRID = 16
+
+
+def join_skewed(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """``left.join(right, key)`` for keys that may hold a large part of the rows, whatever the planner does about skew.
+
+    Both sides are counted by key first. Rows of hot keys are numbered, kept in the shared folder (so that a task that runs again
+    deals them as before) and dealt to a grid: a side that is hot is split, and its counterpart is repeated for each part.
+    All other rows take the plain join. Rows without a key have no partner.
+    """
+
+    def hot(side: DataFrame) -> set:
+        counts = side.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))
+        least = side.count() // HOT_PART
+        return {r[key] for r in counts.filter(F.col("_n") > max(1, least)).orderBy(F.desc("_n")).limit(HOT_PART).collect()} if least else set()
+
+    hot_left, hot_right = hot(left), hot(right)
+    both = sorted(hot_left | hot_right)
+    if not both:
+        return left.join(right, key)
+    is_hot = F.col(key).isin(*both)
+    plain = left.filter(~is_hot).join(right.filter(~is_hot), key)
+
+    def dealt(side: DataFrame, own: set, other: set, mine: str, others: str) -> DataFrame:
+        kept = reliable_checkpoint(side.filter(is_hot).withColumn("_number", F.monotonically_increasing_id()))
+        split = F.when(F.col(key).isin(*own), F.pmod(F.xxhash64("_number"), F.lit(GRID))).otherwise(0) if own else F.lit(0).cast("bigint")
+        every = F.sequence(F.lit(0).cast("bigint"), F.lit(GRID - 1).cast("bigint"))
+        one = F.array(F.lit(0).cast("bigint"))
+        repeated = F.when(F.col(key).isin(*other), every).otherwise(one) if other else one
+        return kept.withColumn(mine, split.cast("bigint")).withColumn(others, F.explode(repeated)).drop("_number")
+
+    grid = dealt(left, hot_left, hot_right, "_row", "_column").join(dealt(right, hot_right, hot_left, "_column", "_row"), [key, "_row", "_column"])
+    return plain.unionByName(grid.drop("_row", "_column"))
+
+
 def confusion(df: DataFrame, label: str, prediction: str, by: Sequence[str] = ()) -> DataFrame:
     """``label, prediction, n``: row counts of each combination."""
     return df.groupBy(*by, F.col(label).alias("label"), F.col(prediction).alias("prediction")).agg(
@@ -96,6 +134,42 @@ def auc_rank(
     return ranked.groupBy(*by).agg(F.coalesce(won / F.nullif(pairs, F.lit(0.0)), F.lit(0.0)).alias("auc"))
 
 
+def roc_curve(df: DataFrame, label: str, score: str, bins: int = 1000) -> DataFrame:
+    """``threshold, tpr, fpr``: shares of the positives and of the negatives with a score at or above each threshold.
+
+    The distinct scores, highest first, are taken together in groups of ``n // bins`` neighbours, and each group is a point at its lowest
+    score; with fewer than ``2 * bins`` distinct scores, or ``bins=0``, every score is a point. So the points depend on no partition. A
+    share of nothing is 0.0; null and NaN scores are left out, as in ``auc_rank``. The counts per score are kept in the shared folder.
+    """
+    known = df.filter(F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double")))
+    positive, negative = (F.sum(F.when(F.col(label) == k, 1).otherwise(0)) for k in (1, 0))
+    counts = reliable_checkpoint(known.groupBy(F.col(score).alias("score")).agg(positive.alias("pos"), negative.alias("neg")))
+    whole = counts.agg(F.count("*").alias("n"), F.sum("pos").alias("pos"), F.sum("neg").alias("neg")).first()
+    group = max(1, whole["n"] // bins) if bins else 1
+    ranked = prefix_sums(counts, "score", {"pos": F.col("pos"), "neg": F.col("neg"), "one": F.lit(1)})
+    point = F.floor((F.lit(whole["n"]) - F.col("cum_one")) / group)
+    below = ranked.groupBy(point.alias("point")).agg(
+        F.min("score").alias("threshold"), F.min(F.col("cum_pos") - F.col("pos")).alias("pos"), F.min(F.col("cum_neg") - F.col("neg")).alias("neg")
+    )
+
+    def share(part: str) -> Column:
+        return F.lit((whole[part] or 0) - F.col(part)) / float(whole[part]) if whole[part] else F.lit(0.0)
+
+    return below.select("threshold", share("pos").alias("tpr"), share("neg").alias("fpr"))
+
+
+def curve_area(points: DataFrame) -> DataFrame:
+    """``auc``: the area under the points of a ``roc_curve`` by trapezoids, from (0, 0) to (1, 1).
+
+    One task puts the points in order, so the curve must be binned; ``auc_rank`` gives the area over all scores.
+    """
+    in_order = Window.orderBy(F.desc("threshold"))
+    before_x, before_y = (F.coalesce(F.lag(c).over(in_order), F.lit(0.0)) for c in ("fpr", "tpr"))
+    parts = points.select(((F.col("fpr") - before_x) * (F.col("tpr") + before_y) / 2).alias("part"), "fpr", "tpr")
+    rest = (1 - F.max("fpr")) * (1 + F.max("tpr")) / 2
+    return parts.agg(F.coalesce(F.sum("part") + rest, F.lit(0.0)).alias("auc"))
+
+
 def regression_metrics(df: DataFrame, label: str, prediction: str, by: Sequence[str] = ()) -> DataFrame:
     """``n, rmse, r2`` over rows that have both values, in one pass; r2 is 0.0 for a constant label."""
     y, p = F.col(label).cast("double"), F.col(prediction).cast("double")

@@ -74,6 +74,16 @@ def csv_reordered(spark, sf_dir):
     return read_delimited(spark, f"{path}/*", "event_id bigint, event_type string, value double")
 
 
+def csv_inferred_reordered(spark, sf_dir):
+    """Types inferred, columns in another order in each file; whole and broken numbers in one column, and a column that some files lack."""
+    rows = V.table(spark, sf_dir, "events").select("event_id", "event_type", "value", F.floor("value").alias("whole"))
+    path = new_path(spark, "inferred-csv")
+    write_predictions(rows.filter("event_id % 2 = 0").select("event_id", F.col("whole").alias("value"), "event_type"), f"{path}/even")
+    write_predictions(rows.filter("event_id % 2 = 1").select("value", "event_type", "event_id", "whole"), f"{path}/odd")
+    found = read_delimited(spark, f"{path}/*", infer=True)
+    return found.select(F.col("event_id").cast("bigint").alias("event_id"), "event_type", "value", F.col("whole").cast("bigint").alias("whole"))
+
+
 def csv_repeated_header(spark, sf_dir):
     """Lines equal to the header in the middle of the rows."""
     rows = V.table(spark, sf_dir, "events").select(F.col("event_id").cast("string"), "event_type", "user_id")
@@ -216,6 +226,14 @@ def joined(spark, sf_dir):
     )
 
 
+def joined_skewed(spark, sf_dir):
+    """A third of the predictions are for one id."""
+    orders = V.order_guesses(spark, sf_dir)
+    key = F.when(F.col("o_orderkey") % 3 == 0, F.lit(1).cast("bigint")).otherwise(F.col("o_orderkey"))
+    predictions = orders.select(key.alias("id"), F.col("o_orderkey").alias("row"), "prediction")
+    return M.join_skewed(predictions, orders.select(F.col("o_orderkey").alias("id"), "label"), "id")
+
+
 def joined_metrics(spark, sf_dir):
     orders = V.order_guesses(spark, sf_dir)
     found = M.joined_regression_metrics(
@@ -266,6 +284,14 @@ def library_auc(spark, sf_dir):
     return V.table(spark, sf_dir, "lineitem").agg(F.round(F.lit(area), 9).alias("auc"), F.count("*").alias("n"))
 
 
+def roc_points(spark, sf_dir):
+    return rounded(M.roc_curve(V.returns(spark, sf_dir), "returned", "score"), 9, "tpr", "fpr")
+
+
+def binned_area(spark, sf_dir):
+    return rounded(M.curve_area(M.roc_curve(V.returns(spark, sf_dir), "returned", "score")), 9, "auc")
+
+
 def report(spark, sf_dir):
     train, test = hash_split(V.returns(spark, sf_dir), "l_orderkey")
     return rounded(M.metric_report({"train": train, "test": test}, "returned", "guess", "score"), 9, "value")
@@ -518,6 +544,9 @@ QUERIES: dict[str, Query] = {
     "rare_split": rare_split,
     "tree_score_nulls": tree_scores_with_nulls,
     "csv_reordered": csv_reordered,
+    "csv_inferred_reordered": csv_inferred_reordered,
+    "roc_curve": roc_points,
+    "auc_binned": binned_area,
     "csv_repeated_header": csv_repeated_header,
     "cast_double": cast_double,
     "array_steps": array_steps,
@@ -540,6 +569,7 @@ QUERIES: dict[str, Query] = {
     "drop_nulls": without_nulls,
     "hash_split": split_rows,
     "join_predictions": joined,
+    "join_predictions_skewed": joined_skewed,
     "joined_metrics": joined_metrics,
     "confusion_counts": confusion_counts,
     "class_metrics": class_shares,

@@ -508,3 +508,22 @@ ORACLES["depth_search_nested"] = query(
     *[leaf_means(d, f"leaf{d}") for d in (5, 10, 14)],
 )
 ORACLES["lbfgs_terms"] = ORACLES["logistic_lbfgs"]
+ORACLES["csv_inferred_reordered"] = """SELECT event_id, event_type, CASE WHEN event_id % 2 = 0 THEN floor(value) ELSE value END AS value,
+    CASE WHEN event_id % 2 = 1 THEN floor(value)::BIGINT END AS whole FROM events"""
+# Points of the curve: groups of n // 1000 neighbouring scores, highest first.
+CURVE = """scores AS (SELECT score, count_if(returned = 1) AS pos, count_if(returned = 0) AS neg FROM returns GROUP BY score),
+    runs AS (SELECT score, sum(pos) OVER o AS tp, sum(neg) OVER o AS fp, row_number() OVER o - 1 AS nth,
+        count(*) OVER () AS n, sum(pos) OVER () AS all_pos, sum(neg) OVER () AS all_neg FROM scores WINDOW o AS (ORDER BY score DESC)),
+    points AS (SELECT min(score) AS threshold, max(tp) / max(all_pos) AS tpr, max(fp) / max(all_neg) AS fpr
+        FROM runs GROUP BY nth // greatest(1, n // 1000))"""
+ORACLES["roc_curve"] = query("SELECT threshold, round(tpr, 9) AS tpr, round(fpr, 9) AS fpr FROM points", shape("returns"), CURVE)
+ORACLES["auc_binned"] = query(
+    """SELECT round(sum((fpr - x) * (tpr + y) / 2) + (1 - max(fpr)) * (1 + max(tpr)) / 2, 9) AS auc FROM (
+        SELECT fpr, tpr, lag(fpr, 1, 0.0::DOUBLE) OVER (ORDER BY threshold DESC) AS x, lag(tpr, 1, 0.0::DOUBLE) OVER (ORDER BY threshold DESC) AS y FROM points)""",
+    shape("returns"), CURVE,
+)
+ORACLES["join_predictions_skewed"] = query(
+    """SELECT y.o_orderkey AS id, p.o_orderkey AS row, p.prediction, y.label FROM guesses p
+    JOIN guesses y ON y.o_orderkey = CASE WHEN p.o_orderkey % 3 = 0 THEN 1 ELSE p.o_orderkey END""",
+    shape("guesses"),
+)

@@ -56,6 +56,31 @@ def test_columns_are_found_by_name_in_each_file(spark, tmp_path):
         read_delimited(spark, str(tmp_path), "a int, b int").collect()
 
 
+def test_types_are_inferred_by_name(spark, tmp_path):
+    (tmp_path / "a b%20.csv").write_text("a,b,only\n1,2,x\n")
+    (tmp_path / "b.csv").write_text("\ufeffb,a,t\n20.5,10,2020-01-01\n")
+    (tmp_path / "c.csv").write_text('"b","a","t"\n7,8,later\n')
+    (tmp_path / "d.csv").write_text("")
+    (tmp_path / "e.csv").write_text("a,b\n")
+    df = read_delimited(spark, str(tmp_path), infer=True)
+    assert dict(df.dtypes) == {"a": "int", "b": "double", "only": "string", "t": "string"}
+    assert {tuple(r) for r in df.select("a", "b", "only", "t").collect()} == {(1, 2.0, "x", None), (10, 20.5, None, "2020-01-01"), (8, 7.0, None, "later")}
+    empty = tmp_path / "none"
+    empty.mkdir()
+    assert read_delimited(spark, str(empty), infer=True).count() == 0 and read_delimited(spark, str(empty), "a int").columns == ["a"]
+
+
+def test_many_files_take_few_jobs(spark, tmp_path):
+    for i in range(2000):
+        (tmp_path / f"{i:04}.csv").write_text("a,b\n1,2\n" if i % 2 else "b,a\n2,1\n")
+    spark.sparkContext.setJobGroup("files", "files")
+    df = read_delimited(spark, str(tmp_path), "a int, b int")
+    total = df.agg(F.sum("a"), F.sum("b")).first()
+    spark.sparkContext.setJobGroup("rest", "rest")
+    assert tuple(total) == (2000, 4000)
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("files")) < 20
+
+
 def test_labelled_file(spark, tmp_path):
     path = tmp_path / "cards.csv"
     path.write_text('"Time","V1","Class"\n0,"-1.5","0"\n1,2e-1,"1"\n')

@@ -206,3 +206,49 @@ def test_auc_leaves_out_rows_without_a_score(spark):
     rows = [(0, 0.1), (0, 0.4), (1, 0.35), (1, 0.8), (1, None), (0, float("nan"))]
     df = frame(spark, rows, "y int, s double")
     assert M.auc_rank(df, "y", "s").first()["auc"] == pytest.approx(0.75)
+
+
+def test_roc_points(spark):
+    rng = np.random.default_rng(6)
+    y, s = rng.integers(0, 2, 400).tolist(), np.round(rng.normal(size=400), 2).tolist()
+    df = frame(spark, [*zip(y, s), (1, None), (0, float("nan"))], "y int, s double")
+    distinct = sorted(set(s), reverse=True)
+    for bins in (0, 10, 1000):
+        group = max(1, len(distinct) // bins) if bins else 1
+        cuts = [distinct[min(i + group, len(distinct)) - 1] for i in range(0, len(distinct), group)]
+        want = [(c, sum(v >= c and k == 1 for v, k in zip(s, y)) / sum(y), sum(v >= c and k == 0 for v, k in zip(s, y)) / (len(y) - sum(y))) for c in cuts]
+        for parts in (1, 5):
+            got = M.roc_curve(df.repartition(parts), "y", "s", bins).orderBy(F.desc("threshold")).collect()
+            assert np.array(got) == pytest.approx(np.array(want))
+        x, h = [0.0, *(w[2] for w in want), 1.0], [0.0, *(w[1] for w in want), 1.0]
+        area = sum((b - a) * (c + d) / 2 for a, b, c, d in zip(x, x[1:], h, h[1:]))
+        assert M.curve_area(M.roc_curve(df, "y", "s", bins)).first()["auc"] == pytest.approx(area)
+        if bins != 10:
+            assert area == pytest.approx(brute.auc(y, s))
+    assert M.roc_curve(df.limit(0), "y", "s").count() == 0 and M.curve_area(M.roc_curve(df.limit(0), "y", "s")).first()["auc"] == 0.0
+    assert {r["fpr"] for r in M.roc_curve(df.filter("y = 1"), "y", "s").collect()} == {0.0}
+
+
+def test_hot_keys_are_split_without_adaptive_execution(spark):
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "64"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        left = spark.range(30_000).selectExpr("CASE WHEN id % 3 = 0 THEN 7 ELSE id END AS k", "id AS a")
+        right = spark.range(30_000).selectExpr("id AS k", "id * 2 AS b")
+        joined = M.join_skewed(left, right, "k")
+        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == 30_000 and max(sizes) < 0.06 * sum(sizes)
+        assert joined.exceptAll(left.join(right, "k")).count() == 0
+        # Hot on both sides, and rows that repeat.
+        a = spark.range(900).selectExpr("CASE WHEN id % 3 = 0 THEN 7 ELSE id END AS k", "1 AS a")
+        b = spark.range(600).selectExpr("CASE WHEN id % 2 = 0 THEN 7 ELSE id END AS k", "2 AS b")
+        both = M.join_skewed(a.unionByName(a.limit(5).withColumn("k", F.lit(None).cast("bigint"))), b, "k")
+        sizes = [r["count"] for r in both.groupBy(F.spark_partition_id()).count().collect()]
+        assert both.columns == ["k", "a", "b"] and both.groupBy("k").count().exceptAll(a.join(b, "k").groupBy("k").count()).count() == 0
+        assert sum(sizes) == a.join(b, "k").count() and max(sizes) < 0.1 * sum(sizes)
+        assert M.join_skewed(a.limit(0), b, "k").count() == 0
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
