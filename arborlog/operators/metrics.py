@@ -21,6 +21,8 @@ def join_predictions(predictions: DataFrame, labels: DataFrame, key: str) -> Dat
     return predictions.join(labels, key, "inner")
 
 
+# So many rows are put in order by one task.
+FEW_ROWS = 10_000
 # A key is hot if it has more than this part of a side's rows, so a side has fewer hot keys than that.
 HOT_PART = 64
 # Rows of a key that is hot on one side are dealt to so many tasks; of one that is hot on both, to the square of it.
@@ -253,8 +255,9 @@ def metric_report(
     kept = reliable_checkpoint(stacked.groupBy("split", *columns).agg(F.count("*").alias("n")))
     counts = kept.groupBy("split", "label", "prediction").agg(F.sum("n").alias("n"))
     report = _shares(counts, labels, ["split"])
-    # A prediction that is no label is a score like any other, so no bucket holds them all.
-    curves = {"auc_hard": auc_rank(counts, "label", "prediction", by=["split"], weight="n")}
+    # Hard predictions have few values, which one window per part puts in order; if they are scores after all, they take buckets.
+    few = counts.count() <= FEW_ROWS
+    curves = {"auc_hard": auc_rank(counts, "label", "prediction", by=["split"], weight="n", buckets=1 if few else None)}
     if score:
         curves["auc"] = auc_rank(kept, "label", "score", by=["split"], weight="n")
     for name, curve in curves.items():

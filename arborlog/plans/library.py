@@ -12,8 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arborlog.functions.encode import assemble, nominal
-from arborlog.plans.logistic import INTERCEPT, LinearModel
-from arborlog.session import local_table
+from arborlog.plans.logistic import LinearModel
+from arborlog.plans.tree import TreeModel, TreeNode
+from arborlog.session import local_table, new_path
 
 _RULE = pa.schema([("position", pa.int32()), ("rule", pa.string())])
 _IMPORTANCE = pa.schema([("feature", pa.string()), ("importance", pa.float64())])
@@ -37,6 +38,37 @@ def with_arity(df: DataFrame, arity: Mapping[str, int]) -> DataFrame:
     return df.withColumns({c: nominal(F.col(c).cast("double"), c, range(k)) for c, k in arity.items()})
 
 
+def as_tree_model(spark: SparkSession, model: DecisionTreeRegressionModel, features: Sequence[str]) -> TreeModel:
+    """A library tree as a model table of this library: rules, importances, scores and smaller depths come from the same code.
+
+    The nodes are read from the saved model, which only holds what the tree needs; the saved copy lies in the shared folder.
+    """
+    path = new_path(spark, "library-tree")
+    model.save(path)
+    saved = spark.read.parquet(f"{path}/data")
+    split = F.col("split")
+    rows = saved.select(
+        "id", "prediction", "gain", "leftChild", "rightChild", "rawCount",
+        split["featureIndex"].alias("feature"), split["leftCategoriesOrThreshold"].alias("left"), split["numCategories"].alias("categories"),
+    ).collect()
+    by_id = {r["id"]: r for r in rows}
+    nodes, categorical, waiting = [], set(), [(1, 0)]
+    while waiting:
+        node, at = waiting.pop()
+        r, depth = by_id[at], node.bit_length() - 1
+        n = int(r["rawCount"])
+        if r["leftChild"] < 0:
+            nodes.append(TreeNode(node, depth, None, None, None, n, r["prediction"]))
+            continue
+        is_set = r["categories"] >= 0
+        subset = sum(1 << int(c) for c in r["left"]) if is_set else None
+        if is_set:
+            categorical.add(r["feature"])
+        nodes.append(TreeNode(node, depth, r["feature"], None if is_set else r["left"][0], r["gain"], n, r["prediction"], subset))
+        waiting += [(2 * node, r["leftChild"]), (2 * node + 1, r["rightChild"])]
+    return TreeModel(tuple(features), tuple(sorted(nodes, key=lambda n: n.node_id)), tuple(sorted(categorical)))
+
+
 def tree_importance(spark: SparkSession, model: DecisionTreeRegressionModel, features: Sequence[str]) -> DataFrame:
     """``feature, importance`` of a library tree."""
     return local_table(spark, _IMPORTANCE, list(zip(features, (float(v) for v in model.featureImportances.toArray()))))
@@ -76,16 +108,3 @@ def as_linear_model(model: LogisticRegressionModel, features: Sequence[str]) ->
 def binned_auc(df: DataFrame, label: str, score: str = "rawPrediction", bins: int = 1000) -> float:
     """Area under the ROC curve by the library evaluator; ``bins=0`` keeps every distinct score."""
     return BinaryClassificationEvaluator(labelCol=label, rawPredictionCol=score, numBins=bins).evaluate(df)
-
-
-__all__ = [
-    "INTERCEPT",
-    "as_linear_model",
-    "binned_auc",
-    "fit_binned_tree",
-    "fit_logistic",
-    "score_table",
-    "tree_importance",
-    "tree_text",
-    "with_arity",
-]

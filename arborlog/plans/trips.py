@@ -13,9 +13,9 @@ from pyspark.sql import types as T
 from arborlog.functions.calendar import calendar_parts, parse_timestamp
 from arborlog.functions.encode import assemble, category_index, flag_encode, log_label, unlog_label
 from arborlog.functions.geo import great_circle
-from arborlog.operators.metrics import as_metric_rows, regression_metrics
+from arborlog.operators.metrics import as_metric_rows, metric_delta, regression_metrics
 from arborlog.operators.moments import moments, moments_map, zscore
-from arborlog.operators.quality import Range, drop_nulls, range_filter
+from arborlog.operators.quality import Range, drop_nulls, null_profile, range_filter
 from arborlog.operators.sampling import hash_split
 from arborlog.plans.library import fit_binned_tree, score_table, tree_importance, tree_text, with_arity
 from arborlog.plans.search import grid_search
@@ -72,13 +72,16 @@ TRAIN_SHARE, SEED = 0.8, 24
 
 
 class TripResult(NamedTuple):
-    """Validation metrics, importances, rules and search table (binned trees only), and predictions for the test trips."""
+    """Validation metrics, importances, rules and search table (binned trees only), predictions for the test trips, the nulls of the
+    training features before they are filtered, and the metrics next to those of an earlier run, if one is given."""
 
     metrics: DataFrame
     importance: DataFrame
     rules: DataFrame
     search: DataFrame | None
     predictions: DataFrame | None
+    nulls: DataFrame | None = None
+    delta: DataFrame | None = None
 
 
 def trip_features(trips: DataFrame, labelled: bool = True) -> DataFrame:
@@ -101,6 +104,7 @@ def run_trips(
     kind: str = "binned",
     max_depth: int | None = None,
     handle_invalid: str = "keep",
+    baseline: DataFrame | None = None,
     **params,
 ) -> TripResult:
     """The job on trip tables. ``kind`` picks the tree:
@@ -111,17 +115,22 @@ def run_trips(
 
     Metrics are in seconds in all cases. ``handle_invalid`` says what a missing value in a test trip does, alike for all kinds:
     ``keep`` predicts the trip (a missing value goes right at its split), ``skip`` leaves the trip out, ``error`` raises.
+    ``baseline`` holds the metrics of an earlier run (``metric, value``); the result then has the differences.
     """
-    data = clean_trips(trip_features(train))
+    features = trip_features(train)
+    data = clean_trips(features)
     target = trip_features(test, labelled=False) if test is not None else None
     if kind == "binned":
-        return _library_job(data, target, [max_depth] if max_depth else DEPTHS, handle_invalid, params)
-    if kind == "categorical":
+        result = _library_job(data, target, [max_depth] if max_depth else DEPTHS, handle_invalid, params)
+    elif kind == "categorical":
         data, target = (_as_categories(df) if df is not None else None for df in (data, target))
-        return _library_job(data, target, [max_depth or 10], handle_invalid, params)
-    if kind == "exact":
-        return _exact_job(data, target, max_depth or 5, handle_invalid, params)
-    raise ValueError(f"kind must be binned, categorical or exact, not {kind!r}")
+        result = _library_job(data, target, [max_depth or 10], handle_invalid, params)
+    elif kind == "exact":
+        result = _exact_job(data, target, max_depth or 5, handle_invalid, params)
+    else:
+        raise ValueError(f"kind must be binned, categorical or exact, not {kind!r}")
+    delta = metric_delta(result.metrics, baseline) if baseline is not None else None
+    return result._replace(nulls=null_profile(features), delta=delta)
 
 
 def _as_categories(df: DataFrame) -> DataFrame:

@@ -431,9 +431,31 @@ def depth_search_nested(spark, sf_dir):
     return rounded(found.table, 6, "value")
 
 
+def _library_tree(spark, sf_dir):
+    rows = assemble(V.prices(spark, sf_dir), V.PRICE_FEATURES)
+    return L.as_tree_model(spark, L.fit_binned_tree(rows, "cents", max_depth=2, maxBins=ALL_BINS), V.PRICE_FEATURES)
+
+
 def library_rules(spark, sf_dir):
-    rows = assemble(V.documents(spark, sf_dir), V.DOC_FEATURES)
-    return L.tree_text(spark, L.fit_binned_tree(rows, "n_chars", max_depth=3))
+    """The rules of a library tree with a bin for every midpoint, from its node table."""
+    return _library_tree(spark, sf_dir).rules(spark).drop("position")
+
+
+def library_nodes(spark, sf_dir):
+    return rounded(rounded(rounded(_library_tree(spark, sf_dir).table(spark), -3, "gain"), 4, "prediction"), 9, "threshold")
+
+
+def trip_nulls(spark, sf_dir):
+    """The null profile that the trip job returns, of trips with gaps."""
+    trips = V.trips(spark, sf_dir).withColumns({"passenger_count": F.nullif("passenger_count", F.lit(3)), "pickup_longitude": F.when(F.col("id") % 5 != 0, F.col("pickup_longitude"))})
+    return run_trips(trips, kind="exact", max_depth=1).nulls
+
+
+def trip_delta(spark, sf_dir):
+    """The categorical job next to stored metrics."""
+    stored = spark.createDataFrame([("rmse", 389.25328786776396), ("r2", 0.672272085049675)], "metric string, value double")
+    found = run_trips(V.trips(spark, sf_dir), kind="exact", max_depth=5, baseline=stored).delta
+    return rounded(found, 6, "value", "delta")
 
 
 # Logistic regression
@@ -595,6 +617,9 @@ QUERIES: dict[str, Query] = {
     "depth_search": depth_search,
     "depth_search_shallow": depth_search_shallow,
     "library_rules": library_rules,
+    "library_nodes": library_nodes,
+    "trip_job_nulls": trip_nulls,
+    "trip_job_delta": trip_delta,
     "gradient_step": gradient_step,
     "gradient_wide": wide_gradient,
     "logistic_gd": descent_quality,

@@ -527,3 +527,19 @@ ORACLES["join_predictions_skewed"] = query(
     JOIN guesses y ON y.o_orderkey = CASE WHEN p.o_orderkey % 3 = 0 THEN 1 ELSE p.o_orderkey END""",
     shape("guesses"),
 )
+ORACLES["library_rules"] = ORACLES["tree_rules"]
+ORACLES["library_nodes"] = ORACLES["tree_exact"].replace("threshold::DOUBLE AS", "round(threshold::DOUBLE, 9) AS").replace("round(gain::DOUBLE, 2)", "round(gain::DOUBLE, -3)")
+ORACLES["trip_job_nulls"] = query(
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", count_if({n})::BIGINT AS null_count FROM featured"
+        for c, n in [
+            (c, {"passenger_count": "passenger_count = 3", "pickup_longitude": "id % 5 = 0"}.get(c, "false"))
+            for c in ("id", *TRIP_FEATURES, "trip_duration")
+        ]
+    ),
+    shape("trips"), FEATURED,
+)
+# The stored metrics are those of the earlier run on taxi trips.
+ORACLES["trip_job_delta"] = f"""SELECT m.metric, m.value, b.value AS baseline, round(m.raw - b.value, 6) AS delta FROM (
+    SELECT metric, round(value, 6) AS value, value AS raw FROM ({ORACLES["trip_job_exact"].replace("round(value, 6) AS value", "value")})) m
+    JOIN (VALUES ('rmse', 389.25328786776396::DOUBLE), ('r2', 0.672272085049675::DOUBLE)) b(metric, value) USING (metric)"""
