@@ -35,7 +35,7 @@ class Encoder:
 
     A byte-level BPE with this pre-tokenizer never joins a space with what stands before it, if neither neighbour of the space
     is white space. So texts fall into words there, and each different word is encoded once. Texts with other white space around
-    a space are encoded whole.
+    a space are encoded whole, and so are texts that hold the string of an added token, which is that token.
     """
 
     def __init__(self, path: str):
@@ -43,7 +43,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         (self.line_break,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.break_ids = array.array("I", [self.line_break]).tobytes()
         self.lately: dict[str, bytes] = {}
@@ -96,6 +96,8 @@ class Encoder:
         words = coded.dictionary.to_pylist()
         edged = np.fromiter((not w or w[0].isspace() or w[-1].isspace() for w in words), bool, len(words))
         odd = (np.add.reduceat(edged[codes], firsts) > 0) & (sizes > 1) if len(firsts) else np.zeros(0, bool)
+        for token in self.added:
+            odd |= pc.match_substring(texts, token).to_numpy(zero_copy_only=False)
         # A text begins with a word of its own, without a space, or is one such word if it is odd.
         heads = [self.whole(texts[i].as_py() if odd[i] else words[c]) for i, c in enumerate(codes[firsts].tolist())]
         kept = ~np.repeat(odd, sizes)

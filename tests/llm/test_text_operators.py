@@ -228,7 +228,6 @@ def plain_ids(text, end):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(tokens.tokenizer_path())
-    t.encode_special_tokens = True
     return [*t.encode(text or "", add_special_tokens=False).ids, end]
 
 
@@ -245,6 +244,15 @@ def test_encoder_matches_whole_encoding():
         assert all(ids[at[i] : at[i + 1]].tolist() == [*np.frombuffer(encoder.whole(t or ""), "<u4").tolist(), 9] for i, t in enumerate(texts))
 
 
+def test_added_tokens_are_what_the_library_makes_of_them():
+    import pyarrow as pa
+
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|>y z", "<|endoftext|> <|endoftext|>", "<|endoftext", "a b"]
+    ids, counts = tokens.Encoder(tokens.tokenizer_path()).encode(pa.array(texts, pa.string()), 9)
+    assert [a.tolist() for a in np.split(ids, np.cumsum(counts)[:-1])] == [plain_ids(t, 9) for t in texts]
+    assert plain_ids(texts[0], 9) == [64, 220, 50256, 275, 9]
+
+
 def test_packing(docs, rows):
     pieces = sorted(hilbert_pack.pack(docs, length=64).collect(), key=lambda r: (r.sequence_id, r.offset))
     held = {}
