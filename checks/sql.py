@@ -494,7 +494,7 @@ CATEGORY_TRIPS = [
     f"source AS (SELECT * REPLACE (vendor_id - 1 AS vendor_id), trip_duration AS y, true AS fit FROM featured WHERE {KEPT})",
     *tree_ctes("source", TRIP_FEATURES, 10, categorical=CATEGORICAL), model_cte(10, subsets=True),
 ]
-ORACLES["tree_exact_categorical"] = query(MODEL_COLUMNS.replace("round(gain", "subset::BIGINT AS subset, round(gain").replace("threshold::DOUBLE AS", "round(threshold::DOUBLE, 9) AS"), *CATEGORY_TRIPS)
+ORACLES["tree_exact_categorical"] = query(MODEL_COLUMNS.replace("round(gain::DOUBLE, 2)", "subset::BIGINT AS subset, floor(gain::DOUBLE * 1000 + 5e-1) / 1000").replace("threshold::DOUBLE AS", "round(threshold::DOUBLE, 9) AS"), *CATEGORY_TRIPS)
 # Every depth is a part of the deepest tree.
 ORACLES["depth_search_nested"] = query(
     "SELECT params, round(value, 6) AS value, value = min(value) OVER () AS is_best FROM ("
