@@ -49,7 +49,7 @@ def _packed(df: DataFrame, exprs: Sequence[str], label: str) -> DataFrame:
 
 
 def _partial_sums(rows: DataFrame, weights: Sequence[float]) -> DataFrame:
-    """One row per task: ``sums``, the summed gradient with the bias's last, then the summed log loss. Rows with a null are left out."""
+    """One row per task: ``sums``, the summed gradient with the bias's last, then the summed log loss. ``rows`` hold no null."""
     w = np.array(weights, np.float64)
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -67,8 +67,7 @@ def _partial_sums(rows: DataFrame, weights: Sequence[float]) -> DataFrame:
             sums[-1] += (np.logaddexp(0, z) - y * z).sum()
         yield pa.record_batch([pa.array([sums], pa.list_(pa.float64()))], ["sums"])
 
-    whole = rows.filter(F.col("y").isNotNull() & ~F.exists("x", lambda v: v.isNull()))
-    return whole.mapInArrow(add_up, "sums array<double>")
+    return rows.mapInArrow(add_up, "sums array<double>")
 
 
 def _sums(rows: DataFrame, weights: Sequence[float]) -> np.ndarray:
@@ -88,7 +87,8 @@ def gradient(df: DataFrame, features: Sequence[str] | str, label: str, weights:
     df, names, exprs = feature_exprs(df, features)
     terms = [*names, INTERCEPT]
     named = F.element_at(F.expr(f"array({', '.join(map(literal, terms))})"), F.col("pos") + 1)
-    sums = _partial_sums(_packed(df, exprs, label), weights).select(F.posexplode(F.slice("sums", 1, len(terms))).alias("pos", "value"))
+    rows = _packed(df, exprs, label).filter(F.col("y").isNotNull() & ~F.exists("x", lambda v: v.isNull()))
+    sums = _partial_sums(rows, weights).select(F.posexplode(F.slice("sums", 1, len(terms))).alias("pos", "value"))
     return sums.groupBy("pos").agg(F.sum("value").alias("g")).select(named.alias("term"), "g")
 
 

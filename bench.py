@@ -15,6 +15,9 @@ from checks.queries import QUERIES
 
 HEADLINE = [
     "csv_roundtrip",
+    "csv_inferred_reordered",
+    "roc_curve",
+    "join_predictions_skewed",
     "trip_features",
     "range_filter",
     "null_profile",
@@ -36,13 +39,16 @@ HEADLINE = [
     "tree_exact_log",
     "tree_exact_cells",
     "tree_exact_deep",
+    "tree_exact_categorical",
     "tree_score",
     "tree_binned",
     "tree_categorical",
     "depth_search",
+    "depth_search_nested",
     "gradient_step",
     "logistic_gd",
     "logistic_lbfgs",
+    "lbfgs_wide",
     "trip_job_exact",
     "trip_job_binned",
     "fraud_job_descent",
