@@ -545,6 +545,34 @@ def test_passages_without_spaces_and_short_whole_documents(spark):
     assert [(r.start, r.end, r.first_doc_id) for r in found if r.doc_id == 5] == [(0, len(short), 4)]
 
 
+@pytest.mark.parametrize("period", ["Of ", "a ", "Of Na ", "= ", "0 1 2 3 4 5 6 7 ", "哈", "日 本 ", "row\n"])
+def test_periodic_passages_in_other_surroundings(spark, period):
+    rng = random.Random(12)
+
+    def words(n):
+        return " ".join("".join(rng.choice("bcdeghijklmpqrstuvwxyz") for _ in range(rng.randint(2, 9))) for _ in range(n))
+
+    # Runs of unlike length that begin at any byte of the period, alone, within text and after a long run of it.
+    texts = {i: f"{words(rng.randint(0, 30))} {(period * 700)[rng.randint(0, 9) :][: rng.randint(300, 1900)]}{words(rng.randint(0, 30))}" for i in range(12)}
+    texts |= {12: words(80), 13: period * 3 + words(60), 14: f"{words(9)} {period * 2000} {words(9)}"}
+    found = chunk_dedup.repeated_passages(spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)).collect()
+    assert {r.doc_id for r in found} == {*range(12), 14}
+    for r in found:
+        assert texts[r.doc_id][r.start : r.end] in texts[r.first_doc_id]
+        assert not set(texts[r.doc_id][r.start : r.end][20:-20]) - set(period)
+    for i in range(12):
+        run = max(len(m[0]) for m in re.finditer(f"[{re.escape(period)}]+", texts[i]))
+        assert sum(r.end - r.start for r in found if r.doc_id == i) >= run - 100
+
+
+def test_short_copies_have_rows_and_short_parts_have_none(spark):
+    data = [(1, "Reorea. Nd."), (2, "Reorea. Nd."), (3, "Reorea."), (4, "Nd. Reorea. Nd."), (5, "one"), (6, "one"), (7, " \n"), (8, " \n"), (9, "one two"), (9, "one two")]
+    data += [(10, "日本"), (11, "日本"), (12, "日本日本")]
+    found = chunk_dedup.repeated_passages(spark.createDataFrame(data, "doc_id long, text string").repartition(3)).collect()
+    rows = sorted((r.doc_id, r.start, r.end, r.words, r.chunks, r.first_doc_id) for r in found)
+    assert rows == [(1, 0, 11, 2, 1, 1), (2, 0, 11, 2, 1, 1), (5, 0, 3, 1, 1, 5), (6, 0, 3, 1, 1, 5), (10, 0, 2, 1, 1, 10), (11, 0, 2, 1, 1, 10)]
+
+
 # Empty tables
 
 
