@@ -17,7 +17,7 @@ from arborlog.llm.mixing import mix
 from arborlog.llm.prefix_forest import nearest
 from arborlog.llm.rans import read_blocks, write_blocks
 from arborlog.llm.secret_scan import KINDS, LIVE_KIND, find_secrets
-from arborlog.llm.simhash import as_hex, edited_fingerprints, likeness
+from arborlog.llm.simhash import as_hex, edited_fingerprints, likeness, with_near
 from arborlog.llm.simhash_dedup import near_classes
 from arborlog.llm.spelling import delete_some, spelling_forms, word_counts
 from arborlog.llm.tokens import ordered_tokens, tokenizer_path
@@ -45,8 +45,9 @@ def op3_hilbert_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_simhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = edited_fingerprints(read_table(spark, sf_dir, "documents"))
-    return found.select(
+    found = written(edited_fingerprints(read_table(spark, sf_dir, "documents")), "fingerprints")
+    # The neighbours of every 50th id among all documents.
+    return with_near(found, F.col("doc_id") % 50 == 0).select(
         "doc_id",
         "n_chars",
         "edited_sha256",
@@ -54,6 +55,7 @@ def op4_simhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
         as_hex(F.col("edited_fp")).alias("edited_fingerprint"),
         likeness(F.col("fp"), F.col("edited_fp")).alias("near_edited"),
         likeness(F.col("fp"), F.col("next_fp")).alias("near_next"),
+        "n_near",
     )
 
 

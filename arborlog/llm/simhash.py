@@ -12,12 +12,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from arborlog.functions.buckets import quantile_bounds, with_buckets
+from arborlog.llm.common import written
+from arborlog.operators.metrics import join_skewed
 from arborlog.session import broadcast_if_small
 
 BITS = 64
 SPACE = r"[\x20\x09-\x0D]+"
 #: Rows of a range of ids that are looked at together; tables of over 200,000 such ranges get larger ones instead.
-RANGE_ROWS, MAX_RANGES = 8_000, 200_000
+RANGE_ROWS, MAX_RANGES = 1_000, 200_000
+#: Bits that fingerprints of near documents differ in at most.
+RADIUS = 3
 
 # Two counters in one long: bit k of a hash below, bit k + 32 above. A text has fewer than 2^31 words, so none overflows.
 _LOW = 0x1_0000_0001
@@ -120,27 +124,60 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     return kept.select("doc_id", "n_chars", F.lower(F.hex("_sha")).alias("edited_sha256"), "fp", "edited_fp", "next_fp")
 
 
-def _tables(fp: str, radius: int) -> Column:
-    """Keys of the permuted tables: of ``radius + 2`` blocks every two, moved to the front, with the table's number."""
+def _table_keys(fp: str, radius: int) -> tuple[list[str], list[int]]:
+    """Keys of the permuted tables, and the bits that each takes: of ``radius + 2`` blocks every two, moved to the front."""
     blocks = radius + 2
     edges = [BITS * i // blocks for i in range(blocks + 1)]
+    width = max(b - a for a, b in zip(edges, edges[1:]))
+    masks = [(1 << (b - a)) - 1 for a, b in zip(edges, edges[1:])]
 
     def block(i: int) -> str:
-        return f"shiftrightunsigned({fp}, {edges[i]}) & {(1 << (edges[i + 1] - edges[i])) - 1}L"
+        return f"(shiftrightunsigned({fp}, {edges[i]}) & {masks[i]}L)"
 
-    keys = [f"struct({t} AS t, {block(i)} AS x, {block(j)} AS y)" for t, (i, j) in enumerate(combinations(range(blocks), 2))]
-    return F.explode(F.expr(f"array({', '.join(keys)})"))
+    pairs = list(combinations(range(blocks), 2))
+    keys = [f"(shiftleft({t}L, {2 * width}) | shiftleft({block(i)}, {width}) | {block(j)})" for t, (i, j) in enumerate(pairs)]
+    taken = [masks[i] << edges[i] | masks[j] << edges[j] for i, j in pairs]
+    return keys, [m - (1 << BITS if m >> (BITS - 1) else 0) for m in taken]
 
 
-def within_radius(queries: DataFrame, fingerprints: DataFrame, radius: int = 3) -> DataFrame:
+def _met(asked: DataFrame, held: DataFrame, radius: int) -> DataFrame:
+    """Rows of ``asked`` (query_fp) and ``held`` (fp) at most ``radius`` bits apart, with their distance.
+
+    At most ``radius`` of ``radius + 2`` blocks differ, so two fingerprints that are near agree in two blocks and meet in the
+    table that has these in front. Of several such tables the first counts. Both tests are part of the join, so only near pairs
+    leave it; a hot key is dealt to a grid of tasks.
+    """
+    own, taken = _table_keys("query_fp", radius)
+    left = asked.filter("query_fp IS NOT NULL").select("*", F.explode(F.expr(f"array({', '.join(own)})")).alias("_key"))
+    right = held.filter("fp IS NOT NULL").select("*", F.explode(F.expr(f"array({', '.join(_table_keys('fp', radius)[0])})")).alias("_key"))
+    apart = F.col("query_fp").bitwiseXOR(F.col("fp"))
+    first = F.expr(f"CASE {' '.join(f'WHEN ((query_fp ^ fp) & {_long(m)}) = 0 THEN {k}' for k, m in zip(own, taken))} END")
+    met = join_skewed(left, right, "_key").filter((F.bit_count(apart) <= radius) & (F.col("_key") == first))
+    return met.drop("_key").withColumn("distance", F.bit_count(apart))
+
+
+def _long(number: int) -> str:
+    return f"{number}L" if number > -(1 << 63) else "(-9223372036854775807L - 1L)"
+
+
+def within_radius(queries: DataFrame, fingerprints: DataFrame, radius: int = RADIUS) -> DataFrame:
     """Pairs (query_fp, fp, distance) of distinct fingerprints (columns query_fp and fp) at most ``radius`` bits apart.
 
-    At most ``radius`` of ``radius + 2`` blocks differ, so two fingerprints that near agree in two blocks and meet in the table
-    that has these in front. Nulls are near nothing.
+    Nulls are near nothing.
+    """
+    met = _met(queries.select("query_fp").distinct(), fingerprints.select("fp").distinct(), radius)
+    return met.select("query_fp", "fp", "distance")
+
+
+def with_near(fingerprints: DataFrame, is_query: Column, radius: int = RADIUS) -> DataFrame:
+    """Add ``n_near`` to rows with an ``fp``: how many other rows have a fingerprint at most ``radius`` bits away.
+
+    It is null where ``is_query`` is not true or fp is null. Equal fingerprints are looked up once and weigh as many rows as have them, so copies
+    make no pairs. ``fingerprints`` is read several times: a written table.
     """
-    asked = queries.select("query_fp").distinct().select("query_fp", _tables("query_fp", radius).alias("k")).filter("query_fp IS NOT NULL")
-    held = fingerprints.select("fp").distinct().select("fp", _tables("fp", radius).alias("k")).filter("fp IS NOT NULL")
-    a, b = asked.select("query_fp", "k.t", "k.x", "k.y"), held.select("fp", "k.t", "k.x", "k.y")
-    distance = F.bit_count(F.col("query_fp").bitwiseXOR(F.col("fp")))
-    met = a.join(b, ["t", "x", "y"]).filter(distance <= radius)
-    return met.select("query_fp", "fp", distance.alias("distance")).distinct()
+    asked = fingerprints.filter(is_query & F.col("fp").isNotNull())
+    held = fingerprints.groupBy("fp").agg(F.count("*").alias("_rows"))
+    met = _met(asked.select(F.col("fp").alias("query_fp")).distinct(), held, radius)
+    counts = met.groupBy(F.col("query_fp").alias("fp")).agg((F.sum("_rows") - 1).alias("n_near"))
+    others = fingerprints.filter(~F.coalesce(is_query & F.col("fp").isNotNull(), F.lit(False))).withColumn("n_near", F.lit(None).cast("bigint"))
+    return join_skewed(asked, written(counts, "near"), "fp").select(*fingerprints.columns, "n_near").unionByName(others)

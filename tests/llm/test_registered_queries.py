@@ -113,6 +113,10 @@ def test_op4(spark, texts):
         assert (r.n_chars, r.edited_sha256) == (len(text), hashlib.sha256(edited.encode()).hexdigest())
         assert (r.fingerprint, r.edited_fingerprint) == (f"{fps[i]:016x}", f"{fp:016x}")
         assert (r.near_edited, r.near_next) == (1 - (fps[i] ^ fp).bit_count() / 64, 1 - (fps[i] ^ fps[after]).bit_count() / 64)
+        if i % 50:
+            assert np.isnan(r.n_near)
+        else:
+            assert r.n_near == sum((fps[i] ^ other).bit_count() <= 3 for other in fps.values()) - 1
 
 
 def test_op5_and_op6_on_held_out_rows(spark):

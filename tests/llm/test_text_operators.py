@@ -221,6 +221,23 @@ def test_block_tables_find_all_within_radius(spark):
     assert got == want
 
 
+@pytest.mark.parametrize("radius", [0, 1, 3])
+def test_near_counts_with_copies_hot_tables_and_nulls(spark, radius):
+    rng = random.Random(6)
+    hot = rng.getrandbits(64)
+    # A third are near one value, of which many meet in one table; a third are copies; sign bits and nulls take part.
+    values = [hot ^ (1 << rng.randrange(64)) ^ (1 << rng.randrange(64)) ^ (1 << rng.randrange(20)) for _ in range(80)]
+    values += [hot] * 40 + [0] * 40 + [1 << 63, 1, 3, 7, 15, (1 << 64) - 1] + [rng.getrandbits(64) for _ in range(60)]
+    data = [(i, v - (1 << 64 if v >> 63 else 0), "x") for i, v in enumerate(values)] + [(None, 5, "x"), (300, None, None)]
+    table = spark.createDataFrame(data, "doc_id long, fp long, query_fp string").repartition(5)
+    got = {r.doc_id: r.n_near for r in simhash.with_near(table, F.col("doc_id") % 3 == 0, radius).collect()}
+    every = [*values, 5]
+    want = {i: sum((v ^ other).bit_count() <= radius for other in every) - 1 if i % 3 == 0 else None for i, v in enumerate(values)}
+    assert got == {**want, None: None, 300: None}
+    none = table.limit(0)
+    assert simhash.with_near(none, F.col("doc_id") % 3 == 0, radius).count() == 0
+
+
 # Tokens, packing, blocks
 
 
