@@ -12,18 +12,24 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from arborlog.session import broadcast_if_small, reliable_checkpoint
+
 # Even a small table gets a few buckets, so that every size takes the same way.
 MIN_BUCKETS, MAX_BUCKETS = 8, 65_536
 ROWS_PER_BUCKET = 50_000
 BOUND_ROWS_PER_BUCKET = 500
+# Bounds that are constants of a plan; more buckets are cut inside these.
+COARSE_BUCKETS = 4096
 
 
-def bucket_count(rows: int) -> int:
-    """Buckets for a table of this size: one per 50,000 rows, 8 at least.
+def buckets_for(rows: int) -> int:
+    """Buckets for a table of this size: one per 50,000 rows, 8 at least."""
+    return max(MIN_BUCKETS, rows // ROWS_PER_BUCKET)
 
-    Beyond 3.3 billion rows they grow instead of their number: at 10^12 rows a bucket has 15 million, one task's sort.
-    """
-    return max(MIN_BUCKETS, min(MAX_BUCKETS, rows // ROWS_PER_BUCKET))
+
+def bucket_count(rows: int) -> int:
+    """The same where all bounds are constants of a plan: beyond 3.3 billion rows the buckets grow instead of their number."""
+    return min(MAX_BUCKETS, buckets_for(rows))
 
 
 def _constant_array(numbers: Sequence[float]) -> Column:
@@ -52,6 +58,32 @@ def quantile_bounds(df: DataFrame, cols: Sequence[str], buckets: int, rows: int
     return [sorted(set(q or ())) for q in row]
 
 
+def with_fine_buckets(df: DataFrame, order: str, buckets: int, coarse: int = COARSE_BUCKETS) -> tuple[DataFrame, bool]:
+    """``df`` with ``_bucket``, about ``buckets`` range buckets of ``order`` in ascending order, and whether there are any bounds.
+
+    Up to ``coarse`` bounds are constants of the plan. More buckets than that are cut inside the coarse ones: each coarse bucket gets
+    its own bounds, a row of a table that is kept in the shared folder, so the driver holds ``coarse`` numbers at most whatever the
+    size. ``df`` is read several times and should be a kept table.
+    """
+    count = df.count() if buckets > 1 else None
+    (bounds,) = quantile_bounds(df, [order], min(buckets, coarse), count)
+    if not bounds:
+        return df.withColumn("_bucket", F.lit(0).cast("bigint")), False
+    rows = with_buckets(df, {order: "_coarse"}, [bounds])
+    parts = -(-buckets // coarse)
+    if parts == 1:
+        return rows.withColumn("_bucket", F.col("_coarse").cast("bigint")).drop("_coarse"), True
+    value = F.col(order).cast("double")
+    steps = _constant_array([i / parts for i in range(1, parts)])
+    inner = F.array_distinct(F.percentile_approx(F.when(~F.isnan(value), value), steps, max(1000, 4 * parts)))
+    some = rows.sample(BOUND_ROWS_PER_BUCKET * buckets / count, seed=24) if count > 2 * BOUND_ROWS_PER_BUCKET * buckets else rows
+    fine = reliable_checkpoint(some.groupBy("_coarse").agg(inner.alias("_fine")))
+    # A coarse bucket without bounds (nulls or NaN alone, which are one value, or no sampled row) stays whole.
+    rows = rows.join(broadcast_if_small(fine, coarse * parts), "_coarse", "left")
+    below = F.size(F.filter(F.coalesce("_fine", F.array().cast("array<double>")), lambda b: b <= value))
+    return rows.withColumn("_bucket", F.col("_coarse") * F.lit(parts).cast("bigint") + below).drop("_coarse", "_fine"), True
+
+
 def with_buckets(df: DataFrame, columns: dict[str, str], bounds: Sequence[Sequence[float]]) -> DataFrame:
     """Add a bucket number for each column (``columns`` maps input to output names): its bounds at or below the value.
 

@@ -148,7 +148,7 @@ def roc_curve(df: DataFrame, label: str, score: str, bins: int = 1000) -> DataFr
     counts = reliable_checkpoint(known.groupBy(F.col(score).alias("score")).agg(positive.alias("pos"), negative.alias("neg")))
     whole = counts.agg(F.count("*").alias("n"), F.sum("pos").alias("pos"), F.sum("neg").alias("neg")).first()
     group = max(1, whole["n"] // bins) if bins else 1
-    ranked = prefix_sums(counts, "score", {"pos": F.col("pos"), "neg": F.col("neg"), "one": F.lit(1)})
+    ranked = prefix_sums(counts, "score", {"pos": F.col("pos"), "neg": F.col("neg"), "one": F.lit(1)}, kept=True)
     point = F.floor((F.lit(whole["n"]) - F.col("cum_one")) / group)
     below = ranked.groupBy(point.alias("point")).agg(
         F.min("score").alias("threshold"), F.min(F.col("cum_pos") - F.col("pos")).alias("pos"), F.min(F.col("cum_neg") - F.col("neg")).alias("neg")

@@ -4,7 +4,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from arborlog.functions.buckets import bucket_count, quantile_bounds, with_buckets
+from arborlog.functions.buckets import bucket_count, buckets_for, quantile_bounds, with_buckets, with_fine_buckets
 from arborlog.operators import metrics as M
 from arborlog.operators.moments import moments, zscore
 from arborlog.operators.prefix import prefix_sums, tie_ranks
@@ -120,6 +120,43 @@ def test_prefix_sums_with_a_hot_value_nulls_and_partitions(spark):
     assert plain[0] == (None, 3, 3, plain[1][0]) and plain[-1][2] == 1103
 
 
+def test_prefix_sums_cut_buckets_in_two_levels(spark):
+    rng = np.random.default_rng(8)
+    values = [float(v) for v in rng.lognormal(0, 3, 900)] + [None, None, float("nan"), float("inf"), float("-inf"), -0.0, 0.0] + [7.0] * 300
+    rows = [("ab"[i % 3 == 0], v) for i, v in enumerate(values)]
+    df = frame(spark, rows, "g string, v double").repartition(5)
+    plain, fine = (
+        sorted(map(str, prefix_sums(df, "v", {"n": F.lit(1)}, ["g"], buckets, coarse=4).collect())) for buckets in (1, 40)
+    )
+    assert plain == fine
+    # The numbers follow the order, no value is split, and the fine buckets are even.
+    cut, any_bounds = with_fine_buckets(df.select("v").distinct(), "v", 40, coarse=4)
+    numbers = [r[0] for r in cut.orderBy("v").select("_bucket").collect()]
+    assert any_bounds and numbers == sorted(numbers) and len(set(numbers)) > 30 and max(map(numbers.count, set(numbers))) < 80
+    nothing, any_bounds = with_fine_buckets(df.filter("v IS NULL").select("v"), "v", 40, coarse=4)
+    assert not any_bounds and nothing.select("_bucket").distinct().collect() == [(0,)]
+    assert buckets_for(10**13) == 200_000_000
+    assert prefix_sums(df.limit(0), "v", {"n": F.lit(1)}).count() == 0
+
+
+@pytest.mark.parametrize("operator", ["prefix_sums", "tie_ranks", "auc_rank"])
+def test_running_sums_read_the_source_once(spark, operator):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    source = frame(spark, [(i % 97 / 97, i % 2) for i in range(3000)], "s double, y int").mapInPandas(counted, "s double, y int")
+    run = {
+        "prefix_sums": lambda: prefix_sums(source, "s", {"n": F.lit(1)}, coarse=4, buckets=20),
+        "tie_ranks": lambda: tie_ranks(source, "s"),
+        "auc_rank": lambda: M.auc_rank(source, "y", "s"),
+    }[operator]
+    assert run().count() > 0 and seen.value == 3000
+
+
 def test_tie_ranks(spark):
     df = frame(spark, [(3,), (1,), (3,), (3,), (9,)], "s int")
     for buckets in (1, 3):
