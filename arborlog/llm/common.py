@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +25,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def columns(names: Iterable[str]) -> list[Column]:
+    """Columns by their whole names, which may hold dots and back quotes."""
+    return [F.col("`" + name.replace("`", "``") + "`") for name in names]
+
+
 def held_out(doc_id: str = "doc_id") -> Column:
     """The rows that no model of this subpackage learns from: crc32 of the id as text leaves 2 when divided by 4.
 

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from arborlog.llm.common import WORD_PATTERN, written
+from arborlog.llm.common import WORD_PATTERN, columns, written
 
 SEED = 24
 #: Rows of one size and source that are ranked in one group, on average.
@@ -74,7 +74,7 @@ def mix(
     table = written(
         docs.select(
             F.monotonically_increasing_id().alias("_row"),
-            F.struct(*kept).alias("_doc"),
+            F.struct(*columns(kept)).alias("_doc"),
             F.col("doc_id").alias("_id"),
             # Never null: null is the empty key, any other source follows a mark.
             F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("")).alias("source"),

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from arborlog.llm.common import written
+from arborlog.llm.common import columns, written
 
 # The kinds in the order of the joined text, and their patterns.
 KINDS = ("assign", "access", "hex")
@@ -76,7 +76,7 @@ def _scanned(docs: DataFrame, kept: list[str]) -> DataFrame:
     """``docs`` as a written table: _row (a number fixed by writing), _doc (the kept columns), source, _spans."""
     table = docs.select(
         F.monotonically_increasing_id().alias("_row"),
-        F.struct(*kept).alias("_doc"),
+        F.struct(*columns(kept)).alias("_doc"),
         F.coalesce(F.col("source").cast("string"), F.lit("\u0000")).alias("source"),
         _candidates(F.col("text")).alias("_spans"),
     )
@@ -150,7 +150,7 @@ def redact(docs: DataFrame, mask: str = "[SECRET]", max_owners: int = 1, min_ent
     live = F.filter("found", lambda s: s["live"])
     rows = rows.select("_doc", F.transform(live, lambda s: s["value_start"]).alias("first"), F.transform(live, lambda s: s["value_end"]).alias("last"))
     kept = rows.filter(F.size("first") == 0).select("_doc.*")
-    masked = rows.filter(F.size("first") > 0).select("_doc.*", _masked("_doc.text", "first", "last", F.lit(mask)).alias("_text"))
+    masked = rows.filter(F.size("first") > 0).select("_doc", _masked("_doc.text", "first", "last", F.lit(mask)).alias("_text"))
     new = {"text": F.col("_text"), "n_chars": F.length("_text").cast("bigint")}
-    changed = masked.select(*[new[c].alias(c) if c in new else F.col(f"`{c}`") for c in docs.columns])
+    changed = masked.select(*[new.get(c, F.col("_doc").getField(c)).alias(c) for c in docs.columns])
     return kept.unionByName(changed)

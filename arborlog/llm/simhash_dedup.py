@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from arborlog.llm.common import written
+from arborlog.llm.common import columns, written
 from arborlog.llm.components import component_labels
 
 SEED = 42
@@ -61,7 +61,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3, text: str = "text") -> DataF
         values = np.fromiter((fingerprint(t, shingle) for t in texts), np.uint64, len(texts))
         return pd.Series(values.view(np.int64))
 
-    return docs.select(F.struct(*docs.columns).alias("_doc"), hashed(F.col(text)).alias("fp"))
+    return docs.select(F.struct(*columns(docs.columns)).alias("_doc"), hashed(F.col(text)).alias("fp"))
 
 
 class BKTree:

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from arborlog.llm.common import held_out
+from arborlog.llm.common import columns, held_out
 
 #: The sample of labelled rows that a model is fitted on holds about so many rows, drawn by a hash of the id.
 SAMPLE_ROWS = 20_000
@@ -227,7 +227,7 @@ def scored(docs: DataFrame, model: Model, at_least: float = THRESHOLD) -> DataFr
             found = [scorer.offending(t, at_least) if s >= at_least else [] for t, s in zip(texts, scores)]
             yield pd.DataFrame({"score": scores, "offending": [[{"start": a, "end": b, "probability": p} for a, b, p in f] for f in found]})
 
-    return docs.select(F.struct(*docs.columns).alias("_doc"), score(F.col("text")).alias("s")).select("_doc", "s.score", "s.offending")
+    return docs.select(F.struct(*columns(docs.columns)).alias("_doc"), score(F.col("text")).alias("s")).select("_doc", "s.score", "s.offending")
 
 
 def reject_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

@@ -605,3 +605,36 @@ def test_empty_tables(spark, empty, tmp_path):
     assert rans.read_blocks(spark, str(tmp_path / "none")).count() == 0
     labels = spark.createDataFrame([], "doc_id long, toxic int")
     assert toxicity.reject_toxic(empty, labels).count() == 0
+
+
+# Column names
+
+
+def test_stages_keep_columns_of_any_name(spark, docs):
+    odd = ["x.y", "a`b", "_doc", "_text", "_row", "fp", "source.name", "score", "copies", "found", "_rank"]
+    wide = docs.drop("fp").withColumns({name: F.lit(f"<{name}>") for name in odd if "." not in name and "`" not in name})
+    for name in ("x.y", "a`b", "source.name"):
+        wide = wide.withColumn(name, F.lit(f"<{name}>"))
+    labels = spark.createDataFrame([(i, int(i % 2 == 0)) for i in range(20)], "doc_id long, toxic int")
+    for stage in (lambda d: toxicity.reject_toxic(d, labels), simhash_dedup.keep_one, secret_scan.redact, mixing.emit):
+        out = stage(wide)
+        assert out.columns == wide.columns
+        rows = out.collect()
+        assert rows and all(r[name] == f"<{name}>" for r in rows for name in odd)
+    assert hilbert_pack.pack(wide).count() > 0
+
+
+def test_near_classes_with_hot_fingerprints(spark):
+    # Two fingerprints hold most rows, one of them is within the radius of a third text.
+    rng = random.Random(21)
+    base = sentence(rng, 400)
+    texts = [base] * 300 + [""] * 200 + [sentence(rng, 30) for _ in range(60)] + [base + " end", None]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    found = {r.doc_id: (r.fp, r.component_id) for r in simhash_dedup.near_classes(table).select("_doc.doc_id", "fp", "component_id").collect()}
+    fps = [simhash_dedup.fingerprint(t) for t in texts]
+    parent = list(range(len(texts)))
+    for i in range(len(texts)):  # brute force, by distinct fingerprints
+        parent[i] = min(j for j in range(len(texts)) if (fps[j] ^ fps[i]).bit_count() <= 2)
+    while (again := [parent[p] for p in parent]) != parent:
+        parent = again
+    assert len(found) == len(texts) and [found[i] for i in range(len(texts))] == [(f - (1 << 64) * (f >> 63), p) for f, p in zip(fps, parent)]
