@@ -27,6 +27,8 @@ BITS = 64
 TREE_NODES = 4096
 #: Nodes that one task of small shards holds, on average.
 TASK_NODES = 50_000
+#: A fingerprint is hot if it has more than this part of all rows, so there are fewer hot ones than that.
+HOT_PART = 64
 
 
 def fingerprint(text: str | None, shingle: int = 3) -> int:
@@ -196,7 +198,7 @@ def near_classes(docs: DataFrame, shingle: int = 3, radius: int = 2, text: str =
     an empty result.
     """
     table = written(fingerprints(docs, shingle, text), "fingerprints")
-    nodes = written(table.groupBy("fp").agg(F.min("_doc.doc_id").alias("doc_id")), "fingerprint-nodes")
+    nodes = written(table.groupBy("fp").agg(F.min("_doc.doc_id").alias("doc_id"), F.count("*").alias("n")), "fingerprint-nodes")
     labels = component_labels(links(nodes.select("fp"), radius))
     # Classes of several fingerprints; all others are their fingerprint alone.
     named = nodes.join(labels, nodes["fp"] == labels["node"]).select("fp", "doc_id", "label")
@@ -208,7 +210,15 @@ def near_classes(docs: DataFrame, shingle: int = 3, radius: int = 2, text: str =
         F.when(one, nodes["doc_id"]).otherwise(F.col("component_id")).alias("component_id"),
         F.coalesce("class", "fp").alias("class"),
     )
-    return table.join(whole, "fp", "left")
+    # Rows of a hot fingerprint are dealt to HOT_PART tasks, each of which gets its class; they are numbered within the parts of a
+    # written table, so a task that runs again deals them as before.
+    rows = nodes.agg(F.sum("n")).first()[0] or 0
+    hot = [r["fp"] for r in nodes.filter(F.col("n") > max(1, rows // HOT_PART)).select("fp").collect()]
+    is_hot, none = F.col("fp").isin(hot), F.lit(0).cast("bigint")
+    dealt = table.withColumn("_part", F.when(is_hot, F.pmod(F.monotonically_increasing_id(), F.lit(HOT_PART))).otherwise(none))
+    every = F.sequence(none, F.lit(HOT_PART - 1).cast("bigint"))
+    whole = whole.withColumn("_part", F.explode(F.when(is_hot, every).otherwise(F.array(none))))
+    return dealt.join(whole, ["fp", "_part"], "left").select("_doc", "fp", "component_id", "class")
 
 
 def keep_one(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFrame:
