@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arborlog.session import new_path
+from arborlog.session import written  # noqa: F401
 
 # ASCII white space, as the word patterns of this subpackage use it: space and the five controls 09 to 0D.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
@@ -17,14 +17,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a table in the shared folder, read again: computed once, and safe from lost executors."""
-    spark = df.sparkSession
-    path = new_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def columns(names: Iterable[str]) -> list[Column]:
     """Columns by their whole names, which may hold dots and back quotes."""
     return [F.col("`" + name.replace("`", "``") + "`") for name in names]

@@ -139,6 +139,29 @@ def test_exact_job_in_cells_equals_the_plain_one(spark):
     assert [tuple(r) for r in plain.rules.collect()] == [tuple(r) for r in cells.rules.collect()]
 
 
+def counted(spark, trips):
+    """Trips that count how often one of them is worked out."""
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("int")
+    def count(value):
+        seen.add(1)
+        return value
+
+    return trips.withColumn("vendor_id", count("vendor_id")), seen
+
+
+def test_trips_are_worked_out_once(spark):
+    plain = V.trips(spark, SMALL)
+    train, seen = counted(spark, plain)
+    test, seen_test = counted(spark, plain.drop("trip_duration"))
+    baseline = spark.createDataFrame([("rmse", 1.0), ("r2", 0.5)], "metric string, value double")
+    result = run_trips(train, test, "exact", max_depth=2, buckets=4, local_values=0, baseline=baseline)
+    assert result.metrics.count() == result.delta.count() == 2 and result.nulls.filter("null_count > 0").count() == 0
+    assert result.predictions.count() == result.predictions.select("id").distinct().count() == plain.count()
+    assert (seen.value, seen_test.value) == (plain.count(), plain.count())
+
+
 def test_fraud_job(spark, tmp_path):
     cards = V.cards(spark, SMALL)
     found = {s: run_fraud(cards, keys=["event_id"], solver=s, scale=True, **kw) for s, kw in (("lbfgs", {}), ("gd", {}))}
