@@ -9,6 +9,7 @@ from arborlog import session
 from arborlog.plans.fraud import run_fraud, run_fraud_file
 from arborlog.plans.trips import FEATURES, clean_trips, run_trip_files, run_trips, trip_features
 from arborlog.sources.delimited import header_of, preview, read_delimited, read_labelled, write_predictions
+from checks import queries as Q
 from checks import views as V
 
 SMALL = "/root/testdata/sf0.001"
@@ -162,6 +163,13 @@ def test_trips_are_worked_out_once(spark):
     assert (seen.value, seen_test.value) == (plain.count(), plain.count())
 
 
+def test_tree_queries_work_out_the_trips_once(spark, monkeypatch):
+    rows, seen = counted(spark, V.trips(spark, SMALL))
+    monkeypatch.setattr(Q.V, "trips", lambda *_: rows)
+    assert Q.exact_tree_categorical(spark, SMALL).count() > 1
+    assert seen.value == rows.count()
+
+
 def test_fraud_job(spark, tmp_path):
     cards = V.cards(spark, SMALL)
     found = {s: run_fraud(cards, keys=["event_id"], solver=s, scale=True, **kw) for s, kw in (("lbfgs", {}), ("gd", {}))}
