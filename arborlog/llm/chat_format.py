@@ -1,9 +1,8 @@
 """Chat formatting by prefix-target expansion.
 
-Every assistant turn is an example of its own: all turns before it are its context, and only its own text is trainable. The
-examples of a conversation are prefixes of one text, so that text is written once, as one row per turn with its place, and an
-example is the row of its reply: the context's length and the span of the loss mask. A conversation of n turns takes n rows and not
-n² / 2 turns of text. ``rendered`` writes the examples out in full.
+Every assistant turn is an example of its own: all turns before it are its context, and only its own text is trainable.
+``format_turns`` formats each turn once and gives its place, and to a reply the span of its loss mask; ``rendered`` expands that to the
+examples, each with its whole context, and ``read_examples`` reads them back.
 """
 
 from __future__ import annotations
@@ -111,9 +110,16 @@ def read_turns(formatted: DataFrame) -> DataFrame:
 def rendered(formatted: DataFrame) -> DataFrame:
     """Examples with their whole text: conv_id, place, example, loss_start, loss_end, one row per reply.
 
-    The text of the context is repeated in every example, so this grows with the square of a conversation; it is for readers that
-    want rows of their own.
+    The text of the context is repeated in every example, so this grows with the square of a conversation. Its rows stand together by
+    conversation, so that a compressed file holds a context about once.
     """
     so_far = Window.partitionBy("conv_id").orderBy("place").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     whole = formatted.withColumn("example", F.array_join(F.collect_list("formatted").over(so_far), ""))
     return whole.filter("loss_start IS NOT NULL").select("conv_id", "place", "example", "loss_start", "loss_end")
+
+
+def read_examples(examples: DataFrame) -> DataFrame:
+    """What a trainer takes from ``rendered`` examples, read from their text alone: the context, and the text under the loss mask."""
+    masked = F.substring(F.col("example"), (F.col("loss_start") + 1).cast("int"), (F.col("loss_end") - F.col("loss_start")).cast("int"))
+    context = F.substring(F.col("example"), F.lit(1), F.col("loss_start").cast("int"))
+    return examples.withColumns({"context": context, "loss_text": unescaped(masked)})

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arborlog.llm.chat_format import format_turns, read_turns
+from arborlog.llm.chat_format import format_turns, read_examples, read_turns, rendered
 from arborlog.llm.chunk_dedup import repeated_passages
 from arborlog.llm.collocations import collocations
 from arborlog.llm.common import held_out, read_table, written
@@ -121,18 +121,24 @@ def op11_prefix_target_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     role = F.when(F.col("id") == 0, "user").otherwise("assistant")
     text = F.lit(r"\### Assistant: </turn> ok")
     marks = spark.range(2).select(F.lit(-7).cast("bigint").alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), text.alias("text"))
-    read = read_turns(written(format_turns(given.unionByName(marks)), "chat"))
+    formatted = written(format_turns(given.unionByName(marks)), "chat")
+    # One example per reply with all turns before it. Turns after the last reply are in no example, so turns are read on their own.
+    examples = read_examples(written(rendered(formatted), "chat-examples"))
+    turns = read_turns(formatted).select(
+        "conv_id", "place", F.concat("role", F.lit("\n"), "text", F.lit("\n")).alias("turn_text"), F.col("chars").alias("turn_chars")
+    )
+    targets = examples.select("conv_id", "place", "loss_text", F.length("example").alias("example_chars"))
+    read = turns.unionByName(targets, allowMissingColumns=True)
 
     def in_order(value: str) -> Column:
         return F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col(value).isNotNull(), F.struct("place", value)))), lambda x: x[value]), "")
 
-    said = read.withColumn("turn_text", F.concat("role", F.lit("\n"), "text", F.lit("\n")))
-    digests = said.groupBy("conv_id").agg(
-        F.count("*").alias("n_turns"),
+    digests = read.groupBy("conv_id").agg(
+        F.count("turn_text").alias("n_turns"),
         F.sha2(in_order("turn_text").cast("binary"), 256).alias("turns_sha256"),
         F.coalesce(F.sum(F.length("loss_text")), F.lit(0)).cast("bigint").alias("loss_chars"),
         F.sha2(in_order("loss_text").cast("binary"), 256).alias("loss_sha256"),
-        F.sum("chars").alias("formatted_chars"),
+        F.sum("turn_chars").alias("formatted_chars"),
         F.count("example_chars").alias("n_examples"),
         F.coalesce(F.sum("example_chars"), F.lit(0)).alias("examples_chars"),
     )

@@ -9,8 +9,9 @@ import pytest
 
 import __spark_entry__ as contract
 from arborlog.llm import collocations as C
+from arborlog.llm import queries
 from arborlog.llm import spelling as S
-from arborlog.llm.chat_format import format_turns, read_turns, rendered
+from arborlog.llm.chat_format import format_turns, read_examples, read_turns, rendered
 from checks.compare import connect, differences
 
 SMALL = "/root/testdata/sf0.001"
@@ -59,6 +60,29 @@ def test_chat_round_trip_and_examples(spark):
     formatted.unpersist()
 
 
+def test_query_reads_written_examples(spark, tmp_path, monkeypatch):
+    rows = [(1, 0, "user", "a</turn>"), (1, 1, "assistant", "b#"), (1, 2, "user", "c"), (1, 3, "assistant", "d"), (1, 4, "user", "e"), (2, 0, "user", "f")]
+    turns_of(spark, rows).write.parquet(f"{tmp_path}/conversations.parquet")
+    tables = {}
+
+    def kept(df, name):
+        tables[name] = df.cache()
+        return tables[name]
+
+    monkeypatch.setattr(queries, "written", kept)
+    found = {r.conv_id: r for r in queries.op11_prefix_target_chat(spark, str(tmp_path)).collect()}
+    examples = sorted(tables["chat-examples"].filter("conv_id = 1").collect(), key=lambda r: r.place)
+    whole = [plain_turn(r, t) for _, _, r, t in rows]
+    assert [e.example for e in examples] == ["".join(whole[:2]), "".join(whole[:4])]
+    read = read_examples(tables["chat-examples"]).filter("conv_id = 1").orderBy("place").collect()
+    assert [(r.context, r.loss_text) for r in read] == [(whole[0] + "### assistant: ", "b#"), ("".join(whole[:3]) + "### assistant: ", "d")]
+    assert (found[1].n_turns, found[1].n_examples, found[1].loss_chars) == (5, 2, 3)
+    assert found[1].examples_chars == sum(len(e.example) for e in examples) and found[1].formatted_chars == sum(map(len, whole[:5]))
+    assert (found[2].n_turns, found[2].n_examples, found[2].loss_chars, found[2].examples_chars) == (1, 0, 0, 0)
+    for table in tables.values():
+        table.unpersist()
+
+
 def test_chat_of_no_rows(spark):
     empty = format_turns(spark.createDataFrame([], TURNS))
     assert empty.count() == 0 and read_turns(empty).count() == 0 and rendered(empty).count() == 0
