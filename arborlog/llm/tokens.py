@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import array
+import functools
 import os
 from collections.abc import Iterator, Sequence
 
@@ -123,6 +124,12 @@ class Encoder:
         return ids, np.diff(np.append(0, upto[ends]))
 
 
+@functools.cache
+def task_encoder(path: str) -> Encoder:
+    """The encoder of this Python worker: a worker runs many tasks, one at a time, and keeps the loaded file and the words it has met."""
+    return Encoder(path)
+
+
 def _parts(word: str) -> list[str]:
     """The pieces of a word that are encoded apart; none if it is to be encoded in one.
 
@@ -150,7 +157,7 @@ def _slices(texts: pa.Array, parts: pa.Array) -> Iterator[tuple[int, int]]:
 
 def _encoded(path: str, end_id: int):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path)
+        encoder = task_encoder(path)
         part, start = None, 0
         for batch in batches:
             for a, b in _slices(batch["text"], batch["part"]):

@@ -6,6 +6,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -638,3 +639,18 @@ def test_near_classes_with_hot_fingerprints(spark):
     while (again := [parent[p] for p in parent]) != parent:
         parent = again
     assert len(found) == len(texts) and [found[i] for i in range(len(texts))] == [(f - (1 << 64) * (f >> 63), p) for f, p in zip(fps, parent)]
+
+
+def test_a_worker_keeps_its_encoder():
+    path = tokens.tokenizer_path()
+    encode = tokens._encoded(path, 9)
+
+    def run(texts):
+        batch = pa.record_batch([pa.array(range(len(texts))), pa.array([0] * len(texts)), pa.array(texts)], names=["doc_id", "part", "text"])
+        return [row for out in encode(iter([batch])) for row in out.to_pylist()]
+
+    first = run(["a bird sings", "a bird"])
+    kept = tokens.task_encoder(path)
+    words = set(kept.lately) | set(kept.before)
+    assert "sings" in words and run(["a bird sings", "a bird"]) == first
+    assert tokens.task_encoder(path) is kept and set(kept.lately) | set(kept.before) == words
