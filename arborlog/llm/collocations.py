@@ -12,7 +12,8 @@ costs a row in the shuffle and never changes a count.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import contextlib
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +29,8 @@ from arborlog.llm.common import written
 FILTER_BITS = 26
 #: Bytes of text that a task counts at a time; a longer text is taken in parts that end with a piece.
 PART_BYTES = 8_000_000
+#: Rows of a batch of texts on its way to Python, and stripes of one on its way back.
+TEXTS, STRIPES = 500, 5_000
 #: Rows over which the totals of single words are dealt, where a hot word meets the phrases that begin or end with it.
 SALTS = 16
 NO_LANG = "und"
@@ -38,10 +41,14 @@ _plain = bytes.maketrans(_ends + b"\t", b"\n" * len(_ends) + b" ")
 _TEXT_END = b"\r"  # no word holds it, as it ends pieces
 
 
-def _parts(langs: list[str], texts: pa.Array) -> Iterator[tuple[list[str], list[bytes]]]:
+def _parts(langs: Iterable[str], texts: Iterable[pa.Scalar]) -> Iterator[tuple[list[str], list[bytes]]]:
     """Languages and translated texts, some ``PART_BYTES`` at a time."""
+    return _parts_of(zip(langs, texts))
+
+
+def _parts_of(rows: Iterable[tuple[str, pa.Scalar]]) -> Iterator[tuple[list[str], list[bytes]]]:
     some_langs, some, size = [], [], 0
-    for lang, value in zip(langs, texts):
+    for lang, value in rows:
         text = value.as_py()
         if not text:
             continue
@@ -151,17 +158,35 @@ class _Tokens:
         )
 
 
-def _merged_stripes(texts: DataFrame, length: int, filter_: Broadcast | None) -> DataFrame:
-    """Elements of all stripes of prefixes of ``length`` − 1 words: lang, prefix, next, n."""
+@contextlib.contextmanager
+def _small_batches(spark: SparkSession) -> Iterator[None]:
+    """Jobs send batches of ``TEXTS`` rows to Python at most; the setting decides about memory, never about a result."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(int(before), TEXTS) if int(before) > 0 else TEXTS))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
 
+def _counter(length: int, filter_: Broadcast | None):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for langs, some in _parts(batch.column(0).to_pylist(), batch.column(1)):
-                found = _Tokens(langs, some).stripes(length, filter_.value if filter_ else None)
-                if found is not None:
-                    yield found
+        # Small batches come and go, so that no process holds much more than a part.
+        rows = (row for batch in batches for row in zip(batch.column(0).to_pylist(), batch.column(1)))
+        for langs, some in _parts_of(rows):
+            found = _Tokens(langs, some).stripes(length, filter_.value if filter_ else None)
+            if found is not None:
+                yield from (found.slice(i, STRIPES) for i in range(0, found.num_rows, STRIPES))
+            found = None
+            pa.default_memory_pool().release_unused()
+
+    return count
+
 
-    stripes = texts.mapInArrow(count, "lang string, prefix string, next array<string>, n array<bigint>")
+def _merged_stripes(texts: DataFrame, length: int, filter_: Broadcast | None) -> DataFrame:
+    """Elements of all stripes of prefixes of ``length`` − 1 words: lang, prefix, next, n."""
+    stripes = texts.mapInArrow(_counter(length, filter_), "lang string, prefix string, next array<string>, n array<bigint>")
     elements = stripes.select("lang", "prefix", F.explode(F.arrays_zip("next", "n")).alias("e"))
     return elements.groupBy("lang", "prefix", F.col("e.next").alias("next")).agg(F.sum("e.n").alias("n"))
 
@@ -200,7 +225,8 @@ def collocations(docs: DataFrame, min_count: int = 30, longest: int = 4, top: in
     """
     spark = docs.sparkSession
     texts = docs.filter("text <> ''").select(F.coalesce("lang", F.lit(NO_LANG)).alias("lang"), "text")
-    words = written(_merged_stripes(texts, 1, None), "stripes")
+    with _small_batches(spark):
+        words = written(_merged_stripes(texts, 1, None), "stripes")
     totals = words.groupBy("lang").agg(F.sum("n").alias("all_words"))
     levels, filter_ = [], None
     for length in range(1, longest + 1):
@@ -208,7 +234,8 @@ def collocations(docs: DataFrame, min_count: int = 30, longest: int = 4, top: in
         frequent = elements.filter(F.col("n") >= min_count)
         phrase = F.concat_ws(" ", "prefix", "next") if length > 1 else F.col("next")
         level = frequent.select("lang", phrase.alias("phrase"), "prefix", F.lit(length).alias("length"), F.col("n").alias("a"))
-        level = written(level, "phrases")
+        with _small_batches(spark):
+            level = written(level, "phrases")
         levels.append(level)
         if length < longest:
             filter_ = _filter_of(spark, level)

@@ -5,6 +5,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import duckdb
+import numpy as np
 import pytest
 
 import __spark_entry__ as contract
@@ -127,6 +128,29 @@ def test_phrases_against_a_plain_count(spark):
     assert C.collocations(table.limit(0)).count() == 0
 
 
+def test_small_batches_are_counted_together_and_leave_in_small_batches(spark, monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(C, "STRIPES", 3)
+    texts = [f"a{i % 5} b{i % 3} a{i % 5}" for i in range(40)] + [None, ""]
+    seen = []
+    batches = (seen.append(i) or pa.record_batch([pa.array(["en"]), pa.array([t], pa.string())], ["lang", "text"]) for i, t in enumerate(texts))
+
+    class All:
+        value = np.full(1 << (C.FILTER_BITS - 6), (1 << 64) - 1, np.uint64)
+
+    out = list(C._counter(2, All)(batches))
+    assert [b.num_rows for b in out] == [3, 3, 2] and len(seen) == len(texts)  # a prefix is one stripe, whatever the batches
+    rows = [r for b in out for r in b.to_pylist()]
+    assert {(r["prefix"], w): n for r in rows for w, n in zip(r["next"], r["n"])} == Counter(p for t in texts if t for p in zip(t.split(), t.split()[1:]))
+
+    name, given = "spark.sql.execution.arrow.maxRecordsPerBatch", spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    with C._small_batches(spark):
+        sizes = spark.range(2000).coalesce(1).mapInArrow(lambda bs: (pa.record_batch([pa.array([b.num_rows])], ["n"]) for b in bs), "n long").collect()
+        assert [r.n for r in sizes] == [C.TEXTS] * 4
+    assert spark.conf.get(name) == given
+
+
 def test_long_texts_are_taken_in_parts_that_end_with_a_piece(monkeypatch):
     import pyarrow as pa
 
