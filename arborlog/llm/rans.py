@@ -15,7 +15,7 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,6 +34,8 @@ BLOCK_SCHEMA = (
     "states binary, words binary, words_crc32 bigint, ids_crc32 bigint, checkpoint_steps array<int>, "
     "checkpoint_words array<bigint>, checkpoint_states binary"
 )
+_ARROW = {"bigint": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "array<bigint>": pa.list_(pa.int64()), "array<int>": pa.list_(pa.int32())}
+BLOCK_FIELDS = pa.schema([(name, _ARROW[kind]) for name, kind in map(str.split, BLOCK_SCHEMA.split(", "))])
 
 
 class Table:
@@ -157,35 +159,45 @@ def decode_blocks(sizes: np.ndarray, states: list[bytes], words: list[bytes], ta
     return out
 
 
+def _ids(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(where the ids of each row begin and the last ones end, all ids) of a column of binaries."""
+    column = column.cast(pa.large_binary())
+    if not len(column):
+        return np.zeros(1, np.int64), np.zeros(0, "<u4")
+    _, places, raw = column.buffers()
+    places = np.frombuffer(places, np.int64)[column.offset : column.offset + len(column) + 1]
+    ids = np.frombuffer(raw, "<u4", (places[-1] - places[0]) // 4, places[0])
+    return (places - places[0]) // 4, ids
+
+
 def count_ids(tokens: DataFrame) -> DataFrame:
     """(id, n) over all ``ids`` of the table. A task adds up in an array as long as the largest id, before the shuffle."""
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in batches:
-            got = np.bincount(np.frombuffer(b"".join(batch["ids"]), "<u4"))
+            got = np.bincount(_ids(batch["ids"])[1])
             total, less = (got, total) if len(got) > len(total) else (total, got)
             total[: len(less)] += less
         seen = np.flatnonzero(total)
-        yield pd.DataFrame({"id": seen.astype(np.int64), "n": total[seen]})
+        yield pa.record_batch({"id": pa.array(seen, pa.int64()), "n": pa.array(total[seen], pa.int64())})
 
-    return tokens.select("ids").mapInPandas(count, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
+    return tokens.select("ids").mapInArrow(count, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
 
 
-def _runs(batch: pd.DataFrame) -> Iterator[tuple[int, int]]:
+def _runs(starts: list[int], sizes: list[int]) -> Iterator[tuple[int, int]]:
     """Row ranges of blocks: documents that follow each other, closed at the least size."""
-    starts, sizes = batch["start"].to_numpy(), batch["n_ids"].to_numpy()
     first, held = 0, 0
-    for i in range(len(batch)):
+    for i, size in enumerate(sizes):
         if held and starts[i] != starts[i - 1] + sizes[i - 1]:
             yield first, i
             first, held = i, 0
-        held += sizes[i]
+        held += size
         if held >= BLOCK_IDS:
             yield first, i + 1
             first, held = i + 1, 0
     if held:
-        yield first, len(batch)
+        yield first, len(sizes)
 
 
 def _together(runs: list, sizes: list[int]) -> Iterator[list]:
@@ -201,27 +213,28 @@ def _together(runs: list, sizes: list[int]) -> Iterator[list]:
 
 
 def _block_rows(table: Table):
-    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes = batch["n_ids"].to_numpy()
-            runs = list(_runs(batch))
-            for some in _together(runs, [int(sizes[a:b].sum()) for a, b in runs]):
-                raw = [b"".join(batch["ids"].iloc[a:b]) for a, b in some]
-                coded = encode_blocks([np.frombuffer(r, "<u4") for r in raw], table)
-                yield pd.DataFrame(
+            doc_ids, starts, sizes = (batch[name].to_pylist() for name in ("doc_id", "start", "n_ids"))
+            places, ids = _ids(batch["ids"])
+            runs = list(_runs(starts, sizes))
+            for some in _together(runs, [sum(sizes[a:b]) for a, b in runs]):
+                raw = [ids[places[a] : places[b]] for a, b in some]
+                rows = [
                     {
-                        "start": int(batch["start"].iloc[a]),
-                        "n_ids": len(r) // 4,
-                        "doc_ids": [None if pd.isna(d) else int(d) for d in batch["doc_id"].iloc[a:b]],
-                        "doc_sizes": sizes[a:b].tolist(),
+                        "start": starts[a],
+                        "n_ids": len(r),
+                        "doc_ids": doc_ids[a:b],
+                        "doc_sizes": sizes[a:b],
                         "lanes": LANES,
                         "table_crc32": table.crc32,
                         "words_crc32": zlib.crc32(c["words"]),
                         "ids_crc32": zlib.crc32(r),
                         **c,
                     }
-                    for (a, b), r, c in zip(some, raw, coded)
-                )[[field.split()[0] for field in BLOCK_SCHEMA.split(", ")]]
+                    for (a, b), r, c in zip(some, raw, encode_blocks(raw, table))
+                ]
+                yield pa.RecordBatch.from_pylist(rows, BLOCK_FIELDS)
 
     return encode
 
@@ -237,33 +250,34 @@ def write_blocks(tokens: DataFrame, path: str) -> None:
     table = Table.scaled(counted["id"].to_numpy(), counted["n"].to_numpy()) if len(counted) else None
     rows = [] if table is None else list(zip(table.ids.tolist(), table.freqs.astype(np.int64).tolist()))
     spark.createDataFrame(rows, "id bigint, frequency bigint").coalesce(1).write.parquet(f"{path}/table")
-    blocks = tokens.mapInPandas(_block_rows(table), BLOCK_SCHEMA) if table else spark.createDataFrame([], BLOCK_SCHEMA)
+    blocks = tokens.mapInArrow(_block_rows(table), BLOCK_SCHEMA) if table else spark.createDataFrame([], BLOCK_SCHEMA)
     blocks.write.option("compression", "none").parquet(f"{path}/blocks")
 
 
 def _document_rows(table: Table):
-    def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for some in _together(list(range(len(batch))), batch["n_ids"].tolist()):
-                part = batch.iloc[some]
-                for row in part.itertuples():
-                    if row.table_crc32 != table.crc32 or zlib.crc32(row.words) != row.words_crc32:
-                        raise ValueError(f"block at {row.start}: the table or the words are not those it was written with")
-                found = decode_blocks(part["n_ids"].to_numpy(), list(part["states"]), list(part["words"]), table)
-                for ids, row in zip(found, part.itertuples()):
-                    raw = ids.astype("<u4").tobytes()
-                    if zlib.crc32(raw) != row.ids_crc32:
-                        raise ValueError(f"block at {row.start}: the ids differ from those written")
-                    sizes = np.asarray(row.doc_sizes, np.int64)
-                    ends = np.cumsum(sizes)
-                    yield pd.DataFrame(
-                        {
-                            "doc_id": pd.array(row.doc_ids, "Int64"),
-                            "start": row.start + ends - sizes,
-                            "n_ids": sizes,
-                            "ids": [raw[4 * (e - n) : 4 * e] for e, n in zip(ends.tolist(), sizes.tolist())],
-                        }
-                    )
+            for some in _together(list(range(len(batch))), batch["n_ids"].to_pylist()):
+                part = batch.slice(some[0], len(some))
+                rows = part.select(["start", "table_crc32", "words", "words_crc32", "ids_crc32", "states", "n_ids"]).to_pylist()
+                for row in rows:
+                    if row["table_crc32"] != table.crc32 or zlib.crc32(row["words"]) != row["words_crc32"]:
+                        raise ValueError(f"block at {row['start']}: the table or the words are not those it was written with")
+                sizes = np.array([row["n_ids"] for row in rows], np.int64)
+                found = decode_blocks(sizes, [row["states"] for row in rows], [row["words"] for row in rows], table)
+                for ids, row in zip(found, rows):
+                    if zlib.crc32(ids.astype("<u4", copy=False)) != row["ids_crc32"]:
+                        raise ValueError(f"block at {row['start']}: the ids differ from those written")
+                # The documents of all these blocks; each follows the one before it, or is the first of its block.
+                held = part["doc_sizes"].value_lengths().to_numpy()
+                doc_sizes = part["doc_sizes"].flatten().to_numpy()
+                ends = np.cumsum(doc_sizes)
+                starts = ends - doc_sizes + np.repeat(part["start"].to_numpy() - (np.cumsum(sizes) - sizes), held)
+                places = np.append(0, 4 * ends).astype(np.int32)
+                raw = pa.py_buffer(np.concatenate(found).astype("<u4", copy=False))
+                texts = pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(places), raw])
+                columns = [part["doc_ids"].flatten(), pa.array(starts), pa.array(doc_sizes), texts]
+                yield pa.record_batch(columns, names=["doc_id", "start", "n_ids", "ids"])
 
     return decode
 
@@ -275,4 +289,4 @@ def read_blocks(spark: SparkSession, path: str) -> DataFrame:
     if rows.empty:
         return spark.createDataFrame([], schema)
     table = Table(rows["id"].to_numpy(), rows["frequency"].to_numpy())
-    return spark.read.schema(BLOCK_SCHEMA).parquet(f"{path}/blocks").mapInPandas(_document_rows(table), schema)
+    return spark.read.schema(BLOCK_SCHEMA).parquet(f"{path}/blocks").mapInArrow(_document_rows(table), schema)

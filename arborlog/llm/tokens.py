@@ -17,12 +17,12 @@ from arborlog.llm.common import written
 
 BYTES_PER_ID = 4
 #: Pieces whose ids a task remembers, twice so many at most: those met lately and those met before them; and characters of the longest.
-REMEMBERED = 250_000
+REMEMBERED = 500_000
 LONG = 64
-#: New pieces that are encoded as lines of one text.
+#: New pieces that are encoded in one text.
 LINES = 1000
 #: Characters of the texts that are encoded together.
-TOGETHER_CHARS = 4_000_000
+TOGETHER_CHARS = 20_000_000
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -61,7 +61,43 @@ def _cuts() -> np.ndarray:
     return cuts.ravel()
 
 
-_KIND_OF, _CUT_OF = _kinds(), _cuts()
+_KIND_OF, _CUT_OF = _kinds().tobytes(), _cuts().tobytes()
+#: A piece without white space but a space at its beginning, and with something else.
+_LINE = "^ ?[^\\x09-\\x0d\\x1c-\\x20%s]+$" % "".join(_WHITE)
+
+
+class Met:
+    """Pieces and their ids, held by Arrow: a look-up is one call for many, and no piece becomes an object of Python's."""
+
+    def __init__(self, pieces: pa.Array | None = None, ids: pa.Array | None = None):
+        self.pieces = pa.array([], pa.large_string()) if pieces is None else pieces
+        self.ids = pa.array([], pa.large_binary()) if ids is None else ids
+
+    def __iter__(self) -> Iterator[str]:
+        """The pieces, without a space before."""
+        return (piece.as_py().removeprefix(" ") for piece in self.pieces)
+
+    def __len__(self) -> int:
+        return len(self.pieces)
+
+    def find(self, pieces: pa.Array) -> np.ndarray:
+        """Where each of ``pieces`` stands here, -1 for none."""
+        return pc.index_in(pieces, value_set=self.pieces).fill_null(-1).to_numpy().astype(np.int64)
+
+    def more(self, pieces: pa.Array, ids: pa.Array) -> Met:
+        return Met(pa.concat_arrays([self.pieces, pieces]), pa.concat_arrays([self.ids, ids]))
+
+
+def _bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(where each of the texts begins and the last one ends, their bytes); none is null."""
+    _, places, raw = texts.buffers()
+    places = np.frombuffer(places, np.int64)[texts.offset : texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, np.int64)
+    return places - places[0], np.frombuffer(raw or b"", np.uint8)[places[0] : places[-1]]
+
+
+def _binary(ids: np.ndarray, places: np.ndarray) -> pa.Array:
+    """The bytes of the ids from each place to the next."""
+    return pa.Array.from_buffers(pa.large_binary(), len(places) - 1, [None, pa.py_buffer(BYTES_PER_ID * places), pa.py_buffer(ids)])
 
 
 class Encoder:
@@ -79,51 +115,68 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
+        # The ids with which a line's piece begins: a line break before it, or a space of its own.
         (self.line_break,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
-        # Ids of pieces: of a word after a space by the word, of any other piece by its bytes.
-        self.lately: dict[str | bytes, bytes] = {}
-        self.before: dict[str | bytes, bytes] = {}
+        ((space, _),) = self.tokenizer.pre_tokenizer.pre_tokenize_str(" ")
+        vocabulary = self.tokenizer.get_vocab()
+        self.begins = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.begins[[self.line_break, *(i for token, i in vocabulary.items() if token.startswith(space))]] = True
+        self.lately, self.before = Met(), Met()
 
     def whole(self, text: str) -> bytes:
         return array.array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def _lines(self, pieces: list[str]) -> Iterator[bytes]:
-        """The ids of pieces without white space but at their beginning, many at a time, as lines; the line break's id parts them."""
-        for i in range(0, len(pieces), LINES):
-            text = "\n".join([*pieces[i : i + LINES], ""])
-            (coded,) = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
-            ids = np.array(coded.ids, "<u4")
-            cuts = [-BYTES_PER_ID, *(BYTES_PER_ID * np.flatnonzero(ids == self.line_break)).tolist()]
-            raw = ids.tobytes()
-            yield from [raw[a + BYTES_PER_ID : b] for a, b in zip(cuts, cuts[1:])]
-
-    def _pieces(self, pieces: list[str], whole: set[str]) -> list[bytes]:
+    def _lines(self, pieces: pa.Array) -> pa.Array:
+        """The ids of pieces without white space but at their beginning, many at a time: those without a space before stand on new lines."""
+        places, raw = _bytes(pieces)
+        broken = np.flatnonzero(raw[places[:-1]] != ord(" "))
+        raw, places = np.insert(raw, places[broken], ord("\n")), places + np.searchsorted(broken, np.arange(len(places)))
+        cuts = [*range(0, len(pieces), LINES), len(pieces)]
+        coded = [np.zeros(0, "<u4")]
+        for a, b in zip(cuts, cuts[1:]):
+            (text,) = self.tokenizer.encode_batch_fast([raw[places[a] : places[b]].tobytes().decode()], add_special_tokens=False)
+            coded.append(np.array(text.ids, "<u4"))
+        ids = np.concatenate(coded)
+        begins = np.flatnonzero(self.begins[ids])
+        if len(begins) != len(pieces):
+            raise ValueError("pieces are not tokens of the pre-tokenizer")
+        begins -= np.searchsorted(broken, np.arange(len(begins)))
+        ids = ids[ids != self.line_break]
+        return _binary(ids, np.append(begins, len(ids)))
+
+    def _new(self, pieces: pa.Array, whole: pa.Array) -> pa.Array:
+        """The ids of different pieces that were not met; those of ``whole`` hold the string of an added token."""
+        lines = pc.match_substring_regex(pieces, _LINE).to_numpy(zero_copy_only=False)
+        if len(whole):
+            lines &= ~pc.is_in(pieces, value_set=whole).to_numpy(zero_copy_only=False)
+        alone = [self.whole(piece) for piece in pieces.filter(pa.array(~lines)).to_pylist()]
+        coded = pa.concat_arrays([self._lines(pieces.filter(pa.array(lines))), pa.array(alone, pa.large_binary())])
+        return coded.take(pa.array(np.argsort(np.argsort(~lines, kind="stable"), kind="stable")))
+
+    def _pieces(self, pieces: pa.Array, whole: pa.Array) -> pa.Array:
         """The ids of different pieces; those of ``whole`` hold the string of an added token. Long ones are not remembered."""
         if len(self.lately) >= REMEMBERED:
-            self.before, self.lately = self.lately, {}
-        lately, before = self.lately, self.before
-        keys = [p[1:] if p[0] == " " else p.encode() for p in pieces]
-        found = list(map(lately.get, keys))
-        new = [i for i, ids in enumerate(found) if ids is None]
-        for i in new:
-            found[i] = before.get(keys[i])
-        lines, alone = [], []
-        for i in new:
-            if (piece := pieces[i]) in whole:
-                found[i] = self.whole(piece)
-            elif found[i] is None:
-                words = piece.split()
-                (lines if len(words) == 1 and len(words[0]) >= len(piece) - (piece[0] == " ") else alone).append(i)
-        for i in alone:
-            found[i] = self.whole(pieces[i])
-        for i, ids in zip(lines, self._lines([pieces[i] for i in lines]), strict=True):
-            found[i] = ids
-        lately.update((keys[i], found[i]) for i in new if len(pieces[i]) <= LONG and pieces[i] not in whole)
+            self.before, self.lately = self.lately, Met()
+        place = self.lately.find(pieces)
+        missing = np.flatnonzero(place < 0)
+        older = self.before.find(pieces.take(pa.array(missing)))
+        new = missing[older < 0]
+        older = np.where(older < 0, len(self.before) + np.cumsum(older < 0) - 1, older)
+        place[missing] = len(self.lately) + older
+        coded = self._new(pieces.take(pa.array(new)), whole)
+        found = pa.concat_arrays([self.lately.ids, self.before.ids, coded]).take(pa.array(place))
+        # What was met before is met lately now.
+        missed = pieces.take(pa.array(missing))
+        kept = pc.less_equal(pc.utf8_length(missed), LONG).to_numpy(zero_copy_only=False)
+        if len(whole):
+            kept &= ~pc.is_in(missed, value_set=whole).to_numpy(zero_copy_only=False)
+        self.lately = self.lately.more(missed.filter(pa.array(kept)), found.take(pa.array(missing[kept])))
         return found
 
     def _begins(self, raw: np.ndarray, places: np.ndarray, odd: np.ndarray) -> np.ndarray:
         """Where the pieces of texts begin in their bytes; ``places`` are those of the texts and the end, ``odd`` texts are one piece."""
-        kinds = _KIND_OF[raw]
+        # One byte for each; to index by bytes would make eight of each.
+        kinds = np.frombuffer(bytearray(raw).translate(_KIND_OF), np.uint8)
         maybe = np.flatnonzero(kinds == _MAYBE)
         if len(maybe):
             # The two bytes after the first; a character of two bytes has none of a third.
@@ -131,7 +184,7 @@ class Encoder:
             three = (raw[maybe].astype(np.int64) << 16) + (after[0] << 8) + np.where(raw[maybe] == 0xC2, 0, after[1])
             kinds[maybe] = np.where(np.isin(three, _WHITE_BYTES), _REST, _OTHER)
         cut = np.zeros(len(raw), bool)
-        pairs = _CUT_OF[(kinds[:-1] << 4) + kinds[1:]]
+        pairs = np.frombuffer(bytearray((kinds[:-1] << 4) | kinds[1:]).translate(_CUT_OF), np.uint8)
         edges = places[(places > 0) & (places < len(raw))]
         pairs[edges - 1] = 0  # the last of a text and the first of the next
         cut[1:] = pairs & 1
@@ -147,19 +200,15 @@ class Encoder:
         odd = np.zeros(len(texts), bool)
         for token in self.added:
             odd |= pc.match_substring(texts, token).to_numpy(zero_copy_only=False)
-        _, places, raw = texts.buffers()
-        places = np.frombuffer(places, np.int64)[texts.offset : texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, np.int64)
-        raw = np.frombuffer(raw or b"", np.uint8)[places[0] : places[-1]]
-        places = places - places[0]
+        places, raw = _bytes(texts)
         begins = self._begins(raw, places, odd) if len(raw) else np.zeros(0, np.int64)
         cuts = pa.py_buffer(np.append(begins, len(raw)))
         coded = pa.Array.from_buffers(pa.large_string(), len(begins), [None, cuts, pa.py_buffer(raw)]).dictionary_encode()
-        whole = set(texts.filter(pa.array(odd)).to_pylist())
-        pieces = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
-        entries = pa.array([*self._pieces(pieces, whole), array.array("I", [end_id]).tobytes()], pa.large_binary())
+        found = self._pieces(coded.dictionary, texts.filter(pa.array(odd)))
+        entries = pa.concat_arrays([found, pa.array([array.array("I", [end_id]).tobytes()], pa.large_binary())])
         # The end id is a piece after the last one of each text.
         ends = np.searchsorted(begins, places[1:])
-        _, upto, ids = entries.take(pa.array(np.insert(coded.indices.to_numpy(), ends, len(pieces)))).buffers()
+        _, upto, ids = entries.take(pa.array(np.insert(coded.indices.to_numpy(), ends, len(found)))).buffers()
         upto = np.frombuffer(upto, np.int64)[np.append(0, ends + np.arange(1, len(ends) + 1))] // BYTES_PER_ID
         return np.frombuffer(ids, "<u4")[: upto[-1]], np.diff(upto)
 
@@ -171,9 +220,10 @@ def task_encoder(path: str) -> Encoder:
 
 
 def _slices(texts: pa.Array, parts: pa.Array) -> Iterator[tuple[int, int]]:
-    """Row ranges of one part each and about ``TOGETHER_CHARS`` characters."""
-    upto = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)) // TOGETHER_CHARS
-    new = (np.diff(upto) > 0) | (np.diff(parts.to_numpy(zero_copy_only=False)) != 0)
+    """Row ranges of one part each, about equally long and of about ``TOGETHER_CHARS`` characters at most."""
+    upto = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    each = -(-int(upto[-1]) // -(-int(upto[-1]) // TOGETHER_CHARS)) if len(upto) and upto[-1] else 1
+    new = (np.diff((upto - 1) // each) > 0) | (np.diff(parts.to_numpy(zero_copy_only=False)) != 0)
     cuts = [0, *(np.flatnonzero(new) + 1).tolist(), len(texts)]
     return ((a, b) for a, b in zip(cuts, cuts[1:]) if b > a)
 

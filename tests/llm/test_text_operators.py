@@ -298,6 +298,55 @@ def test_a_word_is_encoded_once_whatever_signs_and_breaks_follow_it():
     assert sum(len(t) for t in seen) < 2 * sum(map(len, texts)) / len(signs)
 
 
+def test_new_words_are_encoded_by_their_spaces_without_a_line_break_each():
+    encoder, whole = tokens.Encoder(tokens.tokenizer_path()), tokens.Encoder(tokens.tokenizer_path()).whole
+    library, seen = encoder.tokenizer, []
+
+    class Seen:
+        def encode(self, text, **more):
+            seen.append(text)
+            return library.encode(text, **more)
+
+        def encode_batch_fast(self, texts, **more):
+            seen.extend(texts)
+            return library.encode_batch_fast(texts, **more)
+
+    encoder.tokenizer = Seen()
+    rng = random.Random(5)
+    words = sorted({"".join(rng.choices("aeioumnrstñé", k=rng.randint(3, 9))) for _ in range(3000)})
+    texts = [" ".join(words[i : i + 50]) + rng.choice([".", "\n", " 's", "'s", " \u0416", " 7,"]) for i in range(0, len(words), 50)]
+    for _ in range(2):  # the second time from memory
+        ids, counts = encoder.encode(pa.array(texts), 9)
+        assert [a.tobytes()[:-4] for a in np.split(ids, np.cumsum(counts)[:-1])] == [whole(t) for t in texts]
+    # Only pieces without a space before, like the first of each text, stand on new lines, and none is encoded twice.
+    assert sum(t.count("\n") for t in seen) < len(words) / 10 and sum(map(len, seen)) < 1.1 * sum(map(len, texts))
+
+
+def test_pieces_are_remembered_in_two_generations(monkeypatch):
+    monkeypatch.setattr(tokens, "REMEMBERED", 40)
+    encoder, whole = tokens.Encoder(tokens.tokenizer_path()), tokens.Encoder(tokens.tokenizer_path()).whole
+    rng = random.Random(11)
+    words = ["".join(rng.choices("bdklmnop", k=5)) for _ in range(150)]
+    held = 0
+    for _ in range(60):
+        texts = [" ".join(["", *rng.sample(words, 8), "ever"]) + "x" * 80 for _ in range(3)] + ["ever <|endoftext|>"]
+        ids, counts = encoder.encode(pa.array(texts), 9)
+        assert [a.tobytes()[:-4] for a in np.split(ids, np.cumsum(counts)[:-1])] == [whole(t) for t in texts]
+        assert len(set(encoder.lately)) == len(encoder.lately) < 40 + 30 and max(map(len, encoder.lately)) <= tokens.LONG
+        held = max(held, len(encoder.before))
+    assert held >= 40
+
+
+def test_slices_of_a_batch_are_about_equally_long(monkeypatch):
+    monkeypatch.setattr(tokens, "TOGETHER_CHARS", 100)
+    texts = pa.array(["x" * 10] * 21 + [None, ""] + ["y" * 10] * 4)
+    cuts = list(tokens._slices(texts, pa.array([0] * 23 + [1] * 4)))
+    assert [a for a, _ in cuts] == [0, *[b for _, b in cuts[:-1]]] and cuts[-1][1] == 27 and 23 in [a for a, _ in cuts]
+    assert [b - a for a, b in cuts][:2] == [8, 8]
+    assert list(tokens._slices(pa.array([None, ""], pa.string()), pa.array([0, 0]))) == [(0, 2)]
+    assert list(tokens._slices(pa.array([], pa.string()), pa.array([], pa.int32()))) == []
+
+
 def test_added_tokens_are_what_the_library_makes_of_them():
     import pyarrow as pa
 
@@ -377,6 +426,21 @@ def test_rans_round_trip_and_checkpoints():
             assert np.array_equal(rest, blocks[3][at:])
 
 
+def test_rans_reads_many_blocks_in_one_batch():
+    rng = np.random.default_rng(3)
+    sizes = [1, 40_000, 5, 5, 33_000, 70_000, 1, 12]
+    ids = rng.integers(0, 500, sum(sizes)).astype("<u4")
+    raw, ends = ids.tobytes(), np.cumsum(sizes)
+    table = rans.Table.scaled(*np.unique(ids, return_counts=True))
+    doc_ids = pa.array([3, None, 4, 4, 9, 10, 11, 12], pa.int64())
+    columns = [doc_ids, pa.array(ends - sizes + 7), pa.array(sizes), pa.array([raw[4 * (e - n) : 4 * e] for e, n in zip(ends.tolist(), sizes)])]
+    documents = pa.record_batch(columns, names=["doc_id", "start", "n_ids", "ids"])
+    given = pa.Table.from_batches([documents]).append_column("part", pa.array([0] * 8)).combine_chunks().to_batches()[0]
+    blocks = pa.Table.from_batches(list(rans._block_rows(table)(iter([given.slice(0, 4), given.slice(4, 4)])))).combine_chunks().to_batches()
+    (read,) = rans._document_rows(table)(iter(blocks))
+    assert blocks[0].num_rows == 5 and read.to_pylist() == documents.to_pylist()
+
+
 def test_rans_files(spark, docs, rows, tmp_path):
     path = str(tmp_path / "blocks")
     rans.write_blocks(tokens.ordered_tokens(docs.withColumn("tie", F.xxhash64("text")), ["doc_id", "tie"], 2, tokens.tokenizer_path()), path)
