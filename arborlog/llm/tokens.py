@@ -17,12 +17,12 @@ from arborlog.llm.common import written
 
 BYTES_PER_ID = 4
 #: Pieces whose ids a task remembers, twice so many at most: those met lately and those met before them; and characters of the longest.
-REMEMBERED = 500_000
+REMEMBERED = 250_000
 LONG = 64
 #: New pieces that are encoded in one text.
 LINES = 1000
 #: Characters of the texts that are encoded together.
-TOGETHER_CHARS = 20_000_000
+TOGETHER_CHARS = 9_000_000
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -244,6 +244,8 @@ def _encoded(path: str, end_id: int):
                 columns = [rows["doc_id"], rows["part"], pa.array(start + upto - counts), pa.array(counts), coded]
                 yield pa.record_batch(columns, names=["doc_id", "part", "local_start", "n_ids", "ids"])
                 start += int(upto[-1])
+                # Arrow would keep what a slice took, in each worker, beside the JVM.
+                pa.default_memory_pool().release_unused()
 
     return encode
 
