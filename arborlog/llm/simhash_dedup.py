@@ -2,8 +2,8 @@
 
 Equal fingerprints are one node. Nodes that differ in at most ``radius`` bits share at least one of ``radius + 1`` bit blocks, so
 a shard holds the nodes that agree in one block; its BK-tree (children keyed by their integer Hamming distance to the parent) is
-searched by the shard's nodes, following only edges within the radius. Only links that join two classes of a shard leave its
-task, so no pairs of a large group are written out. Links of all shards meet in connected components.
+searched by the shard's nodes, following only edges within the radius. Only a link of each node to the smallest of its class leaves
+the task, so no pairs of a large group are written out. Links of all shards meet in connected components.
 """
 
 from __future__ import annotations
@@ -98,32 +98,35 @@ class BKTree:
                 stack += [edges[edge] for edge in range(d - radius, d + radius + 1) if edge in edges]
 
 
-def _forest_links(tree: np.ndarray, queries: np.ndarray, radius: int) -> list[tuple[int, int]]:
-    """Links between ``queries`` and the nodes of ``tree`` (both distinct), less those that only close a ring."""
-    nodes = [int(v) for v in tree.view(np.uint64)]
-    asked = nodes if tree is queries else [int(v) for v in queries.view(np.uint64)]
-    parent: dict[int, int] = {}
+class _Classes:
+    """Classes of linked integers; each hangs under its smallest."""
 
-    def root(v: int) -> int:
+    def __init__(self) -> None:
+        self.parent: dict[int, int] = {}
+
+    def root(self, v: int) -> int:
+        parent = self.parent
         while (p := parent.get(v, v)) != v:
             parent[v] = parent.get(p, p)
             v = parent[v]
         return v
 
-    links = []
-    found = BKTree(nodes)
-    for q in asked:
-        for at in found.within(q, radius):
-            a, b = root(q), root(nodes[at])
-            if a != b:
-                parent[max(a, b)] = min(a, b)
-                links.append((q, nodes[at]))
-    return links
-
+    def link(self, tree: np.ndarray, queries: np.ndarray, radius: int) -> None:
+        """Joins the classes of ``queries`` and the nodes of ``tree`` (both distinct) near them."""
+        nodes = [int(v) for v in tree.view(np.uint64)]
+        asked = nodes if tree is queries else [int(v) for v in queries.view(np.uint64)]
+        found = BKTree(nodes)
+        for q in asked:
+            for at in found.within(q, radius):
+                a, b = self.root(q), self.root(nodes[at])
+                if a != b:
+                    self.parent[max(a, b)] = min(a, b)
 
-def _frame(links: list[tuple[int, int]]) -> pd.DataFrame:
-    flat = np.fromiter(chain.from_iterable(links), np.uint64, 2 * len(links)).view(np.int64).reshape(-1, 2)
-    return pd.DataFrame({"a": flat[:, 0], "b": flat[:, 1]})
+    def links(self) -> pd.DataFrame:
+        """A link from every member of a class to its smallest, so that no chain leaves a task."""
+        flat = np.fromiter(chain.from_iterable((v, self.root(v)) for v in list(self.parent)), np.uint64, 2 * len(self.parent))
+        flat = flat.view(np.int64).reshape(-1, 2)
+        return pd.DataFrame({"a": flat[:, 0], "b": flat[:, 1]})
 
 
 def _small_shards(radius: int):
@@ -132,11 +135,11 @@ def _small_shards(radius: int):
         fps = rows["fp"].to_numpy()
         change = (np.diff(rows["value"].to_numpy()) != 0) | (np.diff(rows["block"].to_numpy()) != 0)
         cuts = np.concatenate([[0], np.flatnonzero(change) + 1, [len(fps)]]).tolist()
-        links: list[tuple[int, int]] = []
+        classes = _Classes()
         for a, b in zip(cuts, cuts[1:]):
             if b - a > 1:
-                links += _forest_links(part := fps[a:b], part, radius)
-        return _frame(links)
+                classes.link(part := fps[a:b], part, radius)
+        return classes.links()
 
     return search
 
@@ -146,13 +149,17 @@ def _large_shard(radius: int):
         rows = rows.sort_values("fp")
         tree = rows.loc[rows["is_tree"], "fp"].to_numpy()
         queries = rows.loc[~rows["is_tree"], "fp"].to_numpy()
-        return _frame(_forest_links(tree, queries if len(queries) else tree, radius))
+        classes = _Classes()
+        classes.link(tree, queries if len(queries) else tree, radius)
+        return classes.links()
 
     return search
 
 
 def links(nodes: DataFrame, radius: int = 2, tree_nodes: int = TREE_NODES) -> DataFrame:
-    """Links (a, b) between distinct fingerprints (column fp) at most ``radius`` bits apart, enough to join every class.
+    """Links (a, b) of distinct fingerprints (column fp) that join every class of those at most ``radius`` bits apart.
+
+    A link goes to the smallest fingerprint that a task's links reach, so its ends may be further apart than ``radius``.
 
     A shard (the nodes that agree in one bit block) with more than ``tree_nodes`` nodes is cut by hash into trees i and query
     blocks j ≤ i; the task (i, j) holds one of each, so no task grows with the shard.

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from arborlog.llm import chunk_dedup, hilbert_pack, langid, mixing, rans, secret_scan, simhash, simhash_dedup, tokens, toxicity
 from arborlog.llm.common import held_out
+from arborlog.llm.components import component_labels
 
 WORDS = "the of and river stone cloud über naïve 日本 data model train house green light sound paper".split()
 SECRET = 'token = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff"'
@@ -177,6 +178,33 @@ def test_links_join_what_all_pairs_join(spark, tree_nodes):
             assert (labels.get(v, v) == labels.get(u, u)) == (roots[i] == roots[j])
 
 
+def test_links_of_a_task_are_stars(spark):
+    # A chain in one shard: each node is near the next alone.
+    chain = [(1 << 3 * i) - 1 for i in range(7)]
+    found = simhash_dedup.links(spark.createDataFrame([(v,) for v in chain], "fp long"), 3).collect()
+    assert {r.b for r in found} == {0} and {r.a for r in found} == {*chain[1:]}
+
+
+def test_components_of_few_links_take_few_tasks(spark):
+    names = list(range(600))
+    random.Random(3).shuffle(names)
+    chains = [(names[i], names[i + 1]) for i in range(599) if i % 200 != 199] + [(7, 7)]
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    tracker = spark.sparkContext.statusTracker()
+    try:
+        for k, v in zip(kept, ("64", "false")):
+            spark.conf.set(k, v)
+        spark.sparkContext.setJobGroup("components", "components")
+        labels = {r.node: r.label for r in component_labels(spark.createDataFrame(chains, "a long, b long")).collect()}
+    finally:
+        spark.sparkContext.setJobGroup("rest", "rest")
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    assert labels == {v: min(names[k // 200 * 200 : k // 200 * 200 + 200]) for k, v in enumerate(names)}
+    stages = {s for j in tracker.getJobIdsForGroup("components") for s in tracker.getJobInfo(j).stageIds}
+    assert sum(info.numCompletedTasks for s in stages if (info := tracker.getStageInfo(s))) < 2_500
+
+
 def test_bk_tree_finds_all_within():
     rng = random.Random(2)
     values = list({rng.getrandbits(12) for _ in range(600)})
