@@ -99,40 +99,52 @@ class _Tokens:
         joined = (b" " + _TEXT_END + b" ").join(t.replace(b"\n", b" \n ") for t in texts)
         coded = pc.split_pattern(pa.array([joined], pa.large_binary()), b" ").flatten().dictionary_encode()
         self.names = coded.dictionary
-        words = self.names.to_pylist()
-        numbers = coded.indices.to_numpy().astype(np.int64)
-        known = {w: i for i, w in enumerate(words)}
-        numbers = numbers[numbers != known.get(b"", -1)]
-        ends_text = numbers == known.get(_TEXT_END, -1)
+        empty, text_end, piece_end = (pc.index(self.names, pa.scalar(w, pa.large_binary())).as_py() for w in (b"", _TEXT_END, b"\n"))
+        numbers = coded.indices.to_numpy()
+        numbers = numbers[numbers != empty].astype(np.int64)
+        ends_text = numbers == text_end
         self.number = numbers
-        self.is_word = ~ends_text & (numbers != known.get(b"\n", -1))
+        self.is_word = ~ends_text & (numbers != piece_end)
         self.langs = sorted(set(langs))
         place = {lang: i for i, lang in enumerate(self.langs)}
         self.lang = np.array([place[lang] for lang in langs], np.int64)[np.cumsum(ends_text) - ends_text]
-        self.hash, self.lang_hash = _word_hash(words), _word_hash([lang.encode() for lang in self.langs])
+
+    def maybe_frequent(self, length: int, filter_: np.ndarray) -> np.ndarray:
+        """Whether a phrase of ``length`` words that the filter has begins at a place."""
+        found = self.begins(length)
+        at = np.flatnonzero(found)
+        word_hash = _word_hash(self.names.to_numpy(zero_copy_only=False).tolist())
+        h = _word_hash([lang.encode() for lang in self.langs])[self.lang[at]]
+        for k in range(length):
+            h = _extended(h, word_hash[self.number[at + k]])
+        found[at] = _maybe(filter_, h)
+        return found
+
+    def begins(self, length: int) -> np.ndarray:
+        """Whether a phrase of ``length`` words begins at a place; none does at the last ones."""
+        n = len(self.number) - length + 1
+        found = np.zeros(len(self.number), bool)
+        if n > 0:
+            found[:n] = self.is_word[:n]
+            for k in range(1, length):
+                found[:n] &= self.is_word[k : k + n]
+        return found
 
     def stripes(self, length: int, filter_: np.ndarray | None) -> pa.RecordBatch | None:
         """Counters of the words after each prefix of ``length`` − 1 words. Phrases of one word less must pass the filter."""
-        n = len(self.number) - length + 1
-        if n <= 0:
-            return None
-        fits = np.ones(n, bool)
-        for k in range(length):
-            fits &= self.is_word[k : k + n]
-        at = np.flatnonzero(fits)
         if length > 1:
-            for shift in (0, 1):
-                if len(at):
-                    h = self.lang_hash[self.lang[at]]
-                    for k in range(length - 1):
-                        h = _extended(h, self.hash[self.number[at + shift + k]])
-                    at = at[_maybe(filter_, h)]
+            shorter = self.maybe_frequent(length - 1, filter_)
+            at = np.flatnonzero(self.begins(length)[:-1] & shorter[:-1] & shorter[1:])
+        else:
+            at = np.flatnonzero(self.is_word)
         if not len(at):
             return None
         # Numbers of the prefixes, one word after another, so that no product passes 64 bits.
         prefix, first = self.lang[at], None
         for k in range(length - 1):
-            _, first, prefix = np.unique(prefix * len(self.names) + self.number[at + k], return_index=True, return_inverse=True)
+            prefix = prefix * len(self.names) + self.number[at + k]
+            if k:
+                _, first, prefix = np.unique(prefix, return_index=True, return_inverse=True)
         last = self.number[at + length - 1]
         pairs, n_of = np.unique(prefix * len(self.names) + last, return_counts=True)
         prefix_of = pairs // len(self.names)
@@ -140,6 +152,8 @@ class _Tokens:
         which = prefix_of[begins]
         if length == 1:
             langs, text = which, pa.array([b""] * len(which), pa.large_binary())
+        elif length == 2:
+            langs, text = which // len(self.names), self.names.take(pa.array(which % len(self.names)))
         else:
             places = at[first[which]]
             langs = self.lang[places]

@@ -151,6 +151,27 @@ def test_small_batches_are_counted_together_and_leave_in_small_batches(spark, mo
     assert spark.conf.get(name) == given
 
 
+def test_words_are_hashed_for_the_filter_alone_and_once(monkeypatch):
+    words, places, hashed, looked_up = C._word_hash, C._maybe, [], []
+    monkeypatch.setattr(C, "_word_hash", lambda names: hashed.append(len(names)) or words(names))
+    monkeypatch.setattr(C, "_maybe", lambda filter_, h: looked_up.append(len(h)) or places(filter_, h))
+    every = np.full(1 << (C.FILTER_BITS - 6), (1 << 64) - 1, np.uint64)
+    texts, langs = [b"a b  a b c\nb a", b"", b"c", b" a b "], ["x", "x", "y", "y"]
+    assert C._Tokens(langs, texts).stripes(1, None).num_rows == 2 and not hashed
+    for length in (2, 3, 4):
+        looked_up.clear()
+        found = C._Tokens(langs, texts).stripes(length, every)
+        want = Counter()
+        for lang, text in zip(langs, texts):
+            for piece in text.split(b"\n"):
+                of = piece.decode().split()
+                want.update((lang, " ".join(of[i : i + length - 1]), of[i + length - 1]) for i in range(len(of) - length + 1))
+        stripes = zip(*(c.to_pylist() for c in found.columns))
+        assert {(lang, prefix, w): n for lang, prefix, ws, ns in stripes for w, n in zip(ws, ns)} == want
+        # Each phrase of one word less is looked up once.
+        assert looked_up == [sum(max(0, len(p.split()) - length + 2) for t in texts for p in t.split(b"\n"))]
+
+
 def test_long_texts_are_taken_in_parts_that_end_with_a_piece(monkeypatch):
     import pyarrow as pa
 
