@@ -132,8 +132,9 @@ def _chunk_rows(min_words: int, min_bytes: int) -> Callable[[Iterator[pd.DataFra
                 starts = np.append(0, ends[:-1])
                 view, seed = memoryview(raw), int(short)
                 digests = [xxhash.xxh3_64_intdigest(view[a:b], seed) for a, b in zip(starts.tolist(), ends.tolist())]
-                size = (begins[ends] - begins[starts]) << 13 | (ends - starts) << 1 | (ends == len(raw))
-                frame = {"digest": _numbered(np.array(digests, np.uint64)).view(np.int64), "row": row, "doc_id": doc_id, "start": points[starts], "end": points[ends], "size": size}
+                words, chars = begins[ends] - begins[starts], points[ends] - points[starts]
+                size = (ends - starts - chars) << 24 | words << 13 | chars << 1 | (ends == len(raw))
+                frame = {"digest": _numbered(np.array(digests, np.uint64)).view(np.int64), "row": row, "doc_id": doc_id, "start": points[starts], "size": size}
                 parts.append(pd.DataFrame(frame))
                 held += len(ends)
                 if held > 50_000:
@@ -145,8 +146,11 @@ def _chunk_rows(min_words: int, min_bytes: int) -> Callable[[Iterator[pd.DataFra
     return rows
 
 
-# A chunk's size in one number, as it passes two shuffles: the words begun in it, its bytes (13 bits with the next), whether it ends its text.
-_WORDS, _BYTES, _LAST = "size >> 13", "(size >> 1) & 4095", "size & 1"
+# A chunk's size in one number, as it passes four shuffles: by how much its bytes outnumber its code points (0 in ASCII), the words
+# begun in it (11 bits), its code points (12 bits), whether it ends its text.
+_WORDS, _CHARS, _LAST = "(size >> 13) & 2047", "(size >> 1) & 4095", "size & 1"
+_BYTES = f"(size >> 24) + ({_CHARS})"
+_END = f"CAST(start + ({_CHARS}) AS INT)"
 
 
 def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, min_bytes: int = MIN_BYTES) -> DataFrame:
@@ -162,24 +166,27 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, min_bytes: in
     empty text, a short text without words or a row without an id. Repeated rows of one id are one document.
     """
     rows = docs.filter("doc_id IS NOT NULL").select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    schema = "digest bigint, row bigint, doc_id bigint, start int, end int, size int"
+    schema = "digest bigint, row bigint, doc_id bigint, start int, size bigint"
     chunks = written(rows.mapInPandas(_chunk_rows(min_words, min_bytes), schema), "chunks")
     held = chunks.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
     shared = held.filter("first <> last").select("digest")
-    # Digests that one document has alone leave here; the rest keep the chunks' side, which adaptive execution may split.
-    repeated = chunks.join(shared, "digest")
+    # Digests that one document has alone leave here; the rest keep the chunks' side, which adaptive execution may split. The id of a
+    # document stays behind and comes back by its row: each has one chunk at 0.
+    repeated = chunks.select("digest", "row", "start", "size").join(shared, "digest")
+    owners = chunks.filter("start = 0").select("row", "doc_id")
     in_order = Window.partitionBy("row").orderBy("start")
     # A run breaks where a chunk does not begin at the end of the one before it.
-    broken = (F.col("start") != F.lag("end").over(in_order)).cast("int")
+    broken = (F.col("start") != F.lag(F.expr(_END)).over(in_order)).cast("int")
     runs = repeated.withColumn("broken", F.coalesce(broken, F.lit(0))).withColumn("run", F.sum("broken").over(in_order))
     own = Window.partitionBy("row", "run")
     whole = (F.min("start").over(own) == 0) & (F.max(F.expr(_LAST)).over(own) == 1)
     long = (F.sum(F.expr(_WORDS)).over(own) >= min_words) | (F.sum(F.expr(_BYTES)).over(own) >= min_bytes) | whole
-    passages = written(runs.withColumn("long", long).filter("long").drop("broken", "run", "long"), "passages")
+    passages = runs.withColumn("long", long).filter("long").drop("broken", "run", "long")
+    passages = written(passages.join(owners, "row").select("digest", "row", "doc_id", "start", "size"), "passages")
     keepers = passages.groupBy("digest").agg(F.min("doc_id").alias("first_doc_id"))
-    kept = passages.join(keepers, "digest").select("row", "doc_id", "start", "end", "size", "first_doc_id")
+    kept = passages.select("digest", "row", "start", "size").join(keepers, "digest").select("row", "start", "size", "first_doc_id")
     in_order = Window.partitionBy("row").orderBy("start")
-    same = F.coalesce((F.col("start") == F.lag("end").over(in_order)) & (F.col("first_doc_id") == F.lag("first_doc_id").over(in_order)), F.lit(False))
-    stretches = kept.withColumn("new", (~same).cast("int")).withColumn("stretch", F.sum("new").over(in_order)).groupBy("row", "doc_id", "first_doc_id", "stretch")
-    out = stretches.agg(F.min("start").alias("start"), F.max("end").alias("end"), F.sum(F.expr(_WORDS)).alias("words"), F.count("*").alias("chunks"))
-    return out.select("doc_id", "start", "end", "words", "chunks", "first_doc_id")
+    same = F.coalesce((F.col("start") == F.lag(F.expr(_END)).over(in_order)) & (F.col("first_doc_id") == F.lag("first_doc_id").over(in_order)), F.lit(False))
+    stretches = kept.withColumn("new", (~same).cast("int")).withColumn("stretch", F.sum("new").over(in_order)).groupBy("row", "first_doc_id", "stretch")
+    out = stretches.agg(F.min("start").alias("start"), F.max(F.expr(_END)).alias("end"), F.sum(F.expr(_WORDS)).alias("words"), F.count("*").alias("chunks"))
+    return out.join(owners, "row").select("doc_id", "start", "end", "words", "chunks", "first_doc_id")

@@ -6,6 +6,7 @@ import re
 import zlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
 import xxhash
@@ -632,6 +633,25 @@ def test_chunks_come_back_after_an_insertion():
     assert chunks(("日本" * 3000).encode()) and chunks(b"a")
 
 
+def test_chunk_rows_carry_their_sizes_in_one_number(spark):
+    texts = ["a b " * 3_000, "é ü\tx\n" * 900, "字" * 5_000, "z" * 9_000, "one two three", "  lead and trail  ", " ".join(f"w{i}" for i in range(4_000))]
+    rows = pd.DataFrame({"row": range(len(texts)), "doc_id": range(len(texts)), "text": texts})
+    found = pd.concat(chunk_dedup._chunk_rows(18, 160)(iter([rows])))
+    assert list(found.columns) == ["digest", "row", "doc_id", "start", "size"]
+    decoded = spark.createDataFrame(found[["row", "start", "size"]]).selectExpr(
+        "row", "start", f"{chunk_dedup._END} AS end", f"{chunk_dedup._WORDS} AS words", f"{chunk_dedup._BYTES} AS bytes", f"{chunk_dedup._LAST} AS last"
+    )
+    parts = {}
+    for r in decoded.orderBy("row", "start").collect():
+        parts.setdefault(r.row, []).append(r)
+    for k, text in enumerate(texts):
+        assert [p.start for p in parts[k]] == [0, *(p.end for p in parts[k][:-1])] and parts[k][-1].end == len(text)
+        assert [p.last for p in parts[k]] == [0] * (len(parts[k]) - 1) + [1]
+        for p in parts[k]:
+            begun = sum(not text[i].isspace() and (i == 0 or text[i - 1].isspace()) for i in range(p.start, p.end))
+            assert (p.bytes, p.words) == (len(text[p.start : p.end].encode()), begun)
+
+
 def test_repeated_passages_are_found_and_clean_texts_left(spark):
     rng = random.Random(9)
     vocabulary = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 9))) for _ in range(3000)]
